@@ -129,4 +129,7 @@ VIEW_SQL = {
 def with_views(names: list[str], body: str) -> str:
     """Prefix a DuckDB query with the named views as CTEs."""
     ctes = ",\n".join(f"{n} AS ({VIEW_SQL[n]})" for n in names)
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{stripped[5:]}"
     return f"WITH {ctes}\n{body}"
