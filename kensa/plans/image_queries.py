@@ -1 +1,86 @@
-"""Registered queries."""
+"""Registered image queries: the ``features`` vectors read as 8 x 8
+one-channel images (I1-I7).  Array forms are checked against DuckDB; the
+NumPy jobs are checked by row counts and by the tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kensa.operators import images as im
+from kensa.plans import views as v
+from kensa.plans.registry import register
+
+SIDE = 8
+UPSCALE = 12
+_PIX_SQL = ("list_transform(embedding, lambda x: CAST(least(greatest(floor((CAST(x AS DOUBLE) + 0.5) * 255), 0), 255) AS INTEGER))")
+_PIXELS_SQL = f"SELECT vec_id, {_PIX_SQL} AS p FROM features"
+
+
+def _pixels(spark, sf_dir):
+    return v.features(spark, sf_dir).select("vec_id", im.pixels_from_floats("embedding").alias("p"))
+
+
+def _exploded(df, arr):
+    return df.select("vec_id", F.posexplode(arr).alias("idx", "value"))
+
+
+@register("I1_to_rgb", v.with_views(["features"], f"""
+SELECT vec_id, 8 AS height, 8 AS width, 3 AS channels,
+       array_to_string(list_transform(p, lambda x: repeat(lpad(hex(x), 2, '0'), 3)), '') AS data_hex
+FROM ({_PIXELS_SQL})"""))
+def i1(spark, sf_dir):
+    df = _pixels(spark, sf_dir).select("vec_id", im.gray_image_struct("vec_id", F.col("p"), SIDE, SIDE).alias("image"))
+    out = im.to_rgb(df)
+    return out.select("vec_id", "pixels.height", "pixels.width", "pixels.channels",
+                      F.hex("pixels.data").alias("data_hex"))
+
+
+@register("I2_square_resize", v.with_views(["features"], f"""
+SELECT vec_id, CAST(k AS INTEGER) AS idx,
+       p[CAST(floor((floor(k / {UPSCALE}) + 0.5) * 8 / {UPSCALE}) * 8 + floor((k % {UPSCALE} + 0.5) * 8 / {UPSCALE}) + 1 AS INTEGER)] AS value
+FROM ({_PIXELS_SQL}) AS px, range(0, {UPSCALE * UPSCALE}) AS r(k)"""))
+def i2(spark, sf_dir):
+    df = _pixels(spark, sf_dir)
+    return _exploded(df, im.square_resize_array(F.col("p"), SIDE, SIDE, UPSCALE))
+
+
+@register("I3_margin_crop", v.with_views(["features"], f"""
+SELECT vec_id, CAST(k AS INTEGER) AS idx, p[CAST(floor(k / 7) * 8 + k % 7 + 1 AS INTEGER)] AS value
+FROM ({_PIXELS_SQL}) AS px, range(0, 49) AS r(k)"""))
+def i3(spark, sf_dir):
+    return _exploded(_pixels(spark, sf_dir), im.margin_crop_array(F.col("p"), SIDE, SIDE, 0.1))
+
+
+@register("I5_to_tensor", v.with_views(["features"], f"""
+SELECT vec_id, CAST(i - 1 AS INTEGER) AS idx, round(CAST(p[i] AS DOUBLE) / 255.0, 9) AS value
+FROM ({_PIXELS_SQL}) AS px, range(1, 65) AS r(i)"""))
+def i5(spark, sf_dir):
+    df = _exploded(_pixels(spark, sf_dir), im.to_tensor_array(F.col("p")))
+    return df.withColumn("value", F.round("value", 9))
+
+
+@register("I6_normalise", v.with_views(["features"], f"""
+SELECT vec_id, CAST(i - 1 AS INTEGER) AS idx, round((CAST(p[i] AS DOUBLE) / 255.0 - 0.485) / 0.229, 9) AS value
+FROM ({_PIXELS_SQL}) AS px, range(1, 65) AS r(i)"""))
+def i6(spark, sf_dir):
+    df = _exploded(_pixels(spark, sf_dir), im.normalise_array(F.col("p")))
+    return df.withColumn("value", F.round("value", 9))
+
+
+def _gray_images(spark, sf_dir):
+    return _pixels(spark, sf_dir).select(
+        "vec_id", im.gray_image_struct("vec_id", F.col("p"), SIDE, SIDE).alias("image"))
+
+
+@register("I4_resize_center_crop")
+def i4(spark, sf_dir):
+    out = im.resize_center_crop(im.to_rgb(_gray_images(spark, sf_dir)))
+    return out.select("vec_id", "pixels.height", "pixels.width", "pixels.channels",
+                      F.sha1("pixels.data").alias("digest"))
+
+
+@register("I7_training_tensors")
+def i7(spark, sf_dir):
+    out = im.training_tensors(_gray_images(spark, sf_dir), keep=("vec_id",))
+    return out.select("vec_id", F.size("tensor").alias("n_values"),
+                      F.round(F.array_max("tensor"), 4).alias("max_value"), "error")

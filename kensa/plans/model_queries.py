@@ -1 +1,85 @@
-"""Registered queries."""
+"""Registered model queries: clean-up, forest, training run, scoring (M3-M7,
+A7, I8).  The forest runs on ``features`` with the planted label."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kensa.operators import ml
+from kensa.operators import splits as sp
+from kensa.plans import views as v
+from kensa.plans.image_queries import _PIXELS_SQL, _gray_images
+from kensa.plans.registry import register
+from kensa.sources.tables import table
+
+FEATURES = ["embedding"]
+
+
+def _code_sql(col: str) -> str:
+    return f"""{col}_codes AS (SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) AS code
+      FROM (SELECT DISTINCT {col} AS v FROM s WHERE split = 'train' AND {col} IS NOT NULL))"""
+
+
+@register("M3_sanitise", f"""
+WITH s AS (SELECT *, {sp.split_sql('o_orderkey')} AS split FROM orders),
+{_code_sql('o_orderstatus')}, {_code_sql('o_orderpriority')}
+SELECT s.o_orderkey, coalesce(s.o_custkey, 0) AS o_custkey, coalesce(a.code, -1) AS o_orderstatus,
+       coalesce(s.o_totalprice, 0) AS o_totalprice, coalesce(b.code, -1) AS o_orderpriority, s.split
+FROM s LEFT JOIN o_orderstatus_codes a ON s.o_orderstatus = a.v
+       LEFT JOIN o_orderpriority_codes b ON s.o_orderpriority = b.v""")
+def m3(spark, sf_dir):
+    df = sp.assign_split(table(spark, sf_dir, "orders"), "o_orderkey")
+    return ml.sanitise(df)
+
+
+def _split_features(spark, sf_dir):
+    return sp.assign_split(v.features(spark, sf_dir), "vec_id")
+
+
+@register("M4_fit_forest")
+def m4(spark, sf_dir):
+    df = _split_features(spark, sf_dir)
+    model = ml.fit_forest(df.where(F.col("split") == "train"), "planted", FEATURES)
+    forest = model.stages[-1]
+    imp = forest.featureImportances.toArray().tolist()  # one value per feature
+    return spark.createDataFrame([(i, float(x)) for i, x in enumerate(imp)], "feature int, importance double")
+
+
+@register("M5_predict")
+def m5(spark, sf_dir):
+    df = _split_features(spark, sf_dir)
+    model = ml.fit_forest(df.where(F.col("split") == "train"), "planted", FEATURES)
+    out = ml.predict(model, df.where(F.col("split") == "val"), FEATURES)
+    return out.select("vec_id", "planted", "prediction", F.element_at("probability", 2).alias("p_damaged"))
+
+
+@register("M6_run_training")
+def m6(spark, sf_dir):
+    return ml.run_training(_split_features(spark, sf_dir), "planted", FEATURES, run_id="kensa-m6")
+
+
+_SCORE_SQL = v.with_views(["features"], f"""
+SELECT vec_id, CASE WHEN list_avg(p) > 128 THEN 'damaged' ELSE 'normal' END AS label,
+       list_avg(p) / 255.0 AS score, CAST(NULL AS VARCHAR) AS error
+FROM ({_PIXELS_SQL})""")
+
+
+def _scored(spark, sf_dir, batch_rows):
+    return ml.score_images(_gray_images(spark, sf_dir), ml.BrightnessScorer, keep=("vec_id",),
+                           batch_rows=batch_rows)
+
+
+@register("M7_score_images", _SCORE_SQL)
+def m7(spark, sf_dir):
+    return _scored(spark, sf_dir, 64).drop("elapsed_s")
+
+
+@register("I8_score_batches", _SCORE_SQL)
+def i8(spark, sf_dir):
+    # An odd batch size must not change any result.
+    return _scored(spark, sf_dir, 7).drop("elapsed_s")
+
+
+@register("A7_score_timing")
+def a7(spark, sf_dir):
+    return ml.score_timing(_scored(spark, sf_dir, 64))

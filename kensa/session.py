@@ -66,3 +66,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``kensa`` importable on the executors' Python workers.
+
+    Pandas UDFs and ``mapInPandas`` functions are pickled by reference to
+    this package, so executors need it.  Zips the package once per
+    application and hands it to ``addPyFile``; Spark distributes it.  A
+    deployment that already ships it with ``--py-files`` can skip this.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import kensa
+    import zipfile
+    root = os.path.dirname(os.path.abspath(kensa.__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="kensa-pyfiles-"), "kensa.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(dirpath, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(out)
+    _SHIPPED.add(app)
