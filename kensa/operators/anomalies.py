@@ -49,7 +49,7 @@ def anomaly_share(df: DataFrame, kind: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_anomalies"),
     ).select(
         F.lit(kind).alias("kind"), "n_kind", "n_anomalies",
-        F.round(F.try_divide(F.col("n_kind"), F.col("n_anomalies")), 6).alias("share"))
+        F.try_divide(F.col("n_kind").cast("double"), F.col("n_anomalies")).alias("share"))
 
 
 def anomaly_counts(df: DataFrame, exclude: list[str] | None = None) -> DataFrame:

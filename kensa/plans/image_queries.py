@@ -52,19 +52,17 @@ def i3(spark, sf_dir):
 
 
 @register("I5_to_tensor", v.with_views(["features"], f"""
-SELECT vec_id, CAST(i - 1 AS INTEGER) AS idx, round(CAST(p[i] AS DOUBLE) / 255.0, 9) AS value
+SELECT vec_id, CAST(i - 1 AS INTEGER) AS idx, CAST(p[i] AS DOUBLE) / 255.0 AS value
 FROM ({_PIXELS_SQL}) AS px, range(1, 65) AS r(i)"""))
 def i5(spark, sf_dir):
-    df = _exploded(_pixels(spark, sf_dir), im.to_tensor_array(F.col("p")))
-    return df.withColumn("value", F.round("value", 9))
+    return _exploded(_pixels(spark, sf_dir), im.to_tensor_array(F.col("p")))
 
 
 @register("I6_normalise", v.with_views(["features"], f"""
-SELECT vec_id, CAST(i - 1 AS INTEGER) AS idx, round((CAST(p[i] AS DOUBLE) / 255.0 - 0.485) / 0.229, 9) AS value
+SELECT vec_id, CAST(i - 1 AS INTEGER) AS idx, (CAST(p[i] AS DOUBLE) / 255.0 - 0.485) / 0.229 AS value
 FROM ({_PIXELS_SQL}) AS px, range(1, 65) AS r(i)"""))
 def i6(spark, sf_dir):
-    df = _exploded(_pixels(spark, sf_dir), im.normalise_array(F.col("p")))
-    return df.withColumn("value", F.round("value", 9))
+    return _exploded(_pixels(spark, sf_dir), im.normalise_array(F.col("p")))
 
 
 def _gray_images(spark, sf_dir):

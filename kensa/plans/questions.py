@@ -13,8 +13,8 @@ from kensa.plans.registry import register
 SELECT 'bent' AS kind,
        CAST(count(*) FILTER (WHERE list_contains(list_transform(string_split(kind, ','), lambda k: trim(k)), 'bent')) AS BIGINT) AS n_kind,
        CAST(count(*) AS BIGINT) AS n_anomalies,
-       round(CAST(count(*) FILTER (WHERE list_contains(list_transform(string_split(kind, ','), lambda k: trim(k)), 'bent')) AS DOUBLE)
-             / nullif(count(*), 0), 6) AS share
+       CAST(count(*) FILTER (WHERE list_contains(list_transform(string_split(kind, ','), lambda k: trim(k)), 'bent')) AS DOUBLE)
+             / nullif(count(*), 0) AS share
 FROM inspection WHERE label = 'damaged'"""))
 def a1(spark, sf_dir):
     return an.anomaly_share(v.inspection(spark, sf_dir), "bent")
@@ -61,3 +61,45 @@ def p9(spark, sf_dir):
 def flagship(spark, sf_dir):
     """Which lines made the bent items, ranked (answers the first three questions)."""
     return t5(spark, sf_dir)
+
+
+# ---- T3: report passages for the lines -----------------------------------------
+
+from kensa.operators import retrieval as rt  # noqa: E402
+
+# Query terms for the maintenance question (the report texts are invented, so
+# common words stand in for the topic).
+TOPIC_TERMS = ["the", "bent", "line"]
+TOP_K = 5
+# A fixed query vector: +1/8 and -1/8 alternating (exact in binary).
+QUERY_VECTOR = [0.125 if i % 2 == 0 else -0.125 for i in range(64)]
+
+
+@register("T3_top_passages", v.with_views(["report"], r"""
+SELECT line, doc_id, CAST(passage_no AS INTEGER) AS passage_no, passage, score, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY score DESC, doc_id, passage_no) AS rank
+      FROM (SELECT line, doc_id, passage_no, passage,
+                   CAST(len(list_filter(string_split_regex(lower(passage), '[^\p{L}\p{N}_]+'),
+                                        lambda w: w IN ('the', 'bent', 'line'))) AS BIGINT) AS score
+            FROM (SELECT doc_id, line, unnest(string_split(text, chr(10))) AS passage,
+                         unnest(range(len(string_split(text, chr(10))))) AS passage_no FROM report))
+      WHERE score > 0)
+WHERE rank <= 5"""))
+def t3(spark, sf_dir):
+    return rt.top_passages(v.report(spark, sf_dir), TOPIC_TERMS, TOP_K)
+
+
+_QVEC_SQL = "[" + ", ".join(repr(x) for x in QUERY_VECTOR) + "]"
+
+
+@register("T3_top_vectors", v.with_views(["features"], f"""
+SELECT vec_id, planted, score, CAST(rank AS INTEGER) AS rank
+FROM (SELECT vec_id, planted, score, row_number() OVER (PARTITION BY planted ORDER BY score DESC, vec_id) AS rank
+      FROM (SELECT vec_id, planted,
+                   list_reduce(list_transform(range(1, 65), lambda i: CAST(embedding[i] AS DOUBLE) * ({_QVEC_SQL})[i]),
+                               lambda a, b: a + b) AS score
+            FROM features))
+WHERE rank <= {TOP_K}"""))
+def t3v(spark, sf_dir):
+    df = v.features(spark, sf_dir).select("vec_id", "planted", "embedding")
+    return rt.top_vectors(df, "embedding", QUERY_VECTOR, TOP_K, ["planted"], "vec_id").drop("embedding")

@@ -30,7 +30,11 @@ def _case(col: Column, mapping: dict, default) -> Column:
 
 
 def inspection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return inspection_of(table(spark, sf_dir, "events"))
+
+
+def inspection_of(ev: DataFrame) -> DataFrame:
+    """The inspection mapping on any events DataFrame (batch or streaming)."""
     kind = _case(F.col("event_type"), KIND_OF_EVENT, OTHER_KIND)
     return ev.select(
         F.col("event_id").alias("item_id"), "ts", F.col("user_id").alias("unit_id"),
