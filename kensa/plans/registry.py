@@ -31,4 +31,4 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from kensa.plans import (questions, relational, payload_queries, image_queries,  # noqa: F401
-                             model_queries, stream_queries)
+                             model_queries, stream_queries, storage_queries)
