@@ -27,7 +27,7 @@ def read_images(spark: SparkSession, path: str, drop_invalid: bool = False,
                 glob: str | None = None) -> DataFrame:
     """Decoded images ``image struct<origin, height, width, nChannels, mode,
     data>`` (BGR(A) byte order).  An unreadable file gives a row with
-    height/width -1 and null data, or is dropped with ``drop_invalid``."""
+    height/width -1 and empty data, or is dropped with ``drop_invalid``."""
     r = (spark.read.format("image").option("dropInvalid", drop_invalid)
          .option("recursiveFileLookup", "true"))
     if glob:
