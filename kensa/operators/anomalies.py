@@ -38,6 +38,14 @@ def anomalies(df: DataFrame, label: str = "label") -> DataFrame:
     return df.where(F.col(label) == DAMAGED)
 
 
+def with_line(inspections: DataFrame, production: DataFrame) -> DataFrame:
+    """Each anomaly with the production line of the unit that made it
+    (null line when the unit is unknown).  A plain equi join: AQE picks a
+    broadcast only if the measured production side is small."""
+    anom = anomalies(inspections)
+    return anom.join(production.select("unit_id", "line"), "unit_id", "left")
+
+
 def anomaly_share(df: DataFrame, kind: str) -> DataFrame:
     """How many anomalies are of ``kind``, out of how many, and the share.
 

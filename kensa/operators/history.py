@@ -50,3 +50,9 @@ def transcript(df: DataFrame) -> DataFrame:
     """
     numbered = number_turns(normalise_role(df))
     return numbered.select("conv_id", "position", "role", "text").orderBy("conv_id", "position")
+
+
+def sample_input(df: DataFrame, key: str) -> DataFrame:
+    """The first row by ``key`` as a sample model input (an explicit key:
+    Spark tables have no row order).  Planned as a top-1, not a sort."""
+    return df.orderBy(key).limit(1)

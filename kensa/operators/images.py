@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kensa.functions.errors import capture_error
+from kensa.operators.partitioning import spread
 from kensa.session import ship_package
 
 # Training-time normalisation (ImageNet channel statistics).
@@ -179,7 +181,7 @@ def to_rgb(df: DataFrame, image: str = "image", out: str = "pixels") -> DataFram
     """Decoded image -> RGB pixels (gray repeated, alpha dropped).
     Unreadable images give null pixels."""
     ship_package(df.sparkSession)
-    return df.withColumn(out, _to_rgb_udf(F.col(image)))
+    return spread(df).withColumn(out, _to_rgb_udf(F.col(image)))
 
 
 def _pixel_udf(fn):
@@ -231,6 +233,14 @@ def normalise(df: DataFrame, col: str = "pixels", out: str = "tensor", mean=MEAN
 # ---- Spark: one pass for training tensors, batched scoring ----------------------
 
 
+@capture_error
+def _tensor_of(img) -> np.ndarray:
+    if img is None or img["data"] is None or img["height"] < 1:
+        raise ValueError("unreadable image")
+    rgb = image_to_rgb(int(img["height"]), int(img["width"]), int(img["nChannels"]), img["data"])
+    return training_tensor_np(rgb).ravel()
+
+
 def training_tensors(df: DataFrame, image: str = "image", keep: tuple = ()) -> DataFrame:
     """RGB, resize 256, centre crop 224, tensor, normalise -- one
     ``mapInArrow`` pass, so pixels cross to Python once and the tensors go
@@ -251,19 +261,14 @@ def training_tensors(df: DataFrame, image: str = "image", keep: tuple = ()) -> D
             rows = imgs.to_pylist()
             flat, offsets, errors, valid = [], [0], [], []
             for img in rows:
-                try:
-                    if img is None or img["data"] is None or img["height"] < 1:
-                        raise ValueError("unreadable image")
-                    rgb = image_to_rgb(int(img["height"]), int(img["width"]), int(img["nChannels"]), img["data"])
-                    t = training_tensor_np(rgb).ravel()
+                t, err = _tensor_of(img)
+                if err is None:
                     flat.append(t)
                     offsets.append(offsets[-1] + t.size)
-                    errors.append(None)
-                    valid.append(True)
-                except Exception as e:  # noqa: BLE001 - reported per row
+                else:
                     offsets.append(offsets[-1])
-                    errors.append(f"{type(e).__name__}: {e}")
-                    valid.append(False)
+                errors.append(err)
+                valid.append(err is None)
             values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.float32), pa.float32())
             mask = pa.array([not v for v in valid])
             tensor = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=mask)
@@ -271,7 +276,7 @@ def training_tensors(df: DataFrame, image: str = "image", keep: tuple = ()) -> D
             cols = [rb.column(k) for k in range(len(keep))] + [origin, tensor, pa.array(errors, pa.string())]
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, "origin", "tensor", "error"])
 
-    return df.select(*keep, image).mapInArrow(run, schema)
+    return spread(df.select(*keep, image)).mapInArrow(run, schema)
 
 
 def in_batches(pdf_iter, rows: int = BATCH_ROWS):
@@ -282,6 +287,18 @@ def in_batches(pdf_iter, rows: int = BATCH_ROWS):
             yield pdf.iloc[start:start + rows]
 
 
+def score_batches(df: DataFrame, fn, schema: T.StructType | str, rows: int = BATCH_ROWS) -> DataFrame:
+    """I8: run ``fn(pandas batch) -> pandas batch`` over batches of at most
+    ``rows`` rows, on the executors (``mapInPandas``)."""
+    ship_package(df.sparkSession)
+
+    def run(batches):
+        for pdf in in_batches(batches, rows):
+            yield fn(pdf)
+
+    return df.mapInPandas(run, schema)
+
+
 def image_batch_conf(rows: int = BATCH_ROWS) -> dict:
     """Session settings for image jobs: small Arrow batches cap executor memory."""
     return {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}

@@ -23,10 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kensa.functions.errors import capture_error
 from kensa.operators import images as im
 from kensa.operators.encoding import apply_codes, fit_codes, string_columns
 from kensa.operators.filters import drop_datetime, fill_zero
 from kensa.operators.metrics import weighted_f1
+from kensa.operators.partitioning import spread
 from kensa.session import ship_package
 
 FOREST_TREES, FOREST_SEED, FOREST_DEPTH = 100, 42, 8
@@ -144,6 +146,14 @@ class BrightnessScorer:
         return out
 
 
+@capture_error
+def _square_of(img, size: int) -> np.ndarray:
+    if img is None or img["data"] is None or img["height"] < 1:
+        raise ValueError("unreadable image")
+    rgb = im.image_to_rgb(int(img["height"]), int(img["width"]), int(img["nChannels"]), img["data"])
+    return im.square_resize_np(rgb, size)
+
+
 def score_images(df: DataFrame, scorer_factory: Callable[[], Scorer], image: str = "image",
                  keep: tuple = (), size: int = im.SCORE_SIZE, batch_rows: int = im.BATCH_ROWS) -> DataFrame:
     """M7: image -> RGB -> centre square, nearest resize -> scorer -> (label,
@@ -161,15 +171,10 @@ def score_images(df: DataFrame, scorer_factory: Callable[[], Scorer], image: str
             t0 = time.perf_counter()
             ready, idx, errors = [], [], [None] * len(pdf)
             for i, img in enumerate(pdf[image]):
-                try:
-                    if img is None or img["data"] is None or img["height"] < 1:
-                        raise ValueError("unreadable image")
-                    rgb = im.image_to_rgb(int(img["height"]), int(img["width"]),
-                                          int(img["nChannels"]), img["data"])
-                    ready.append(im.square_resize_np(rgb, size))
+                rgb, errors[i] = _square_of(img, size)
+                if errors[i] is None:
+                    ready.append(rgb)
                     idx.append(i)
-                except Exception as e:  # noqa: BLE001 - reported per row
-                    errors[i] = f"{type(e).__name__}: {e}"
             labels, scores = [None] * len(pdf), [None] * len(pdf)
             try:
                 for i, (lab, sc) in zip(idx, model(ready) if ready else []):
@@ -183,7 +188,7 @@ def score_images(df: DataFrame, scorer_factory: Callable[[], Scorer], image: str
             out["elapsed_s"] = per_row
             yield out
 
-    return df.select(*keep, image).mapInPandas(run, schema)
+    return spread(df.select(*keep, image)).mapInPandas(run, schema)
 
 
 def score_timing(scored: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kensa.operators.partitioning import spread
+
 TOKEN_SPLIT = r"[^\p{L}\p{N}_]+"
 
 
@@ -50,7 +52,7 @@ def top_k(df: DataFrame, score: str, k: int, by: list[str], tie: list[str]) -> D
 def top_passages(reports: DataFrame, terms: list[str], k: int, by: list[str] = ("line",)) -> DataFrame:
     """T3, term form: the ``k`` best passages with at least one hit, per group."""
     by = list(by)
-    p = passages(reports, keep=("doc_id", *by))
+    p = passages(spread(reports), keep=("doc_id", *by))
     scored = p.withColumn("score", term_score(F.col("passage"), terms)).where(F.col("score") > 0)
     return top_k(scored, "score", k, by, ["doc_id", "passage_no"])
 

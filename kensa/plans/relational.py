@@ -138,8 +138,7 @@ def j1(spark, sf_dir):
 SELECT i.item_id, i.kind, p.line FROM inspection i LEFT JOIN production p ON i.unit_id = p.unit_id
 WHERE i.label = 'damaged'"""))
 def j2(spark, sf_dir):
-    anom = an.anomalies(v.inspection(spark, sf_dir)).select("item_id", "unit_id", "kind")
-    return anom.join(v.production(spark, sf_dir), "unit_id", "left").select("item_id", "kind", "line")
+    return an.with_line(v.inspection(spark, sf_dir), v.production(spark, sf_dir)).select("item_id", "kind", "line")
 
 
 @register("J3_reports_for", v.with_views(["inspection", "production", "report"], """
@@ -211,7 +210,7 @@ def t4(spark, sf_dir):
 @register("T6_sample_input", v.with_views(["features"], """
 SELECT vec_id, label, planted FROM features ORDER BY vec_id LIMIT 1"""))
 def t6(spark, sf_dir):
-    return v.features(spark, sf_dir).select("vec_id", "label", "planted").orderBy("vec_id").limit(1)
+    return hi.sample_input(v.features(spark, sf_dir).select("vec_id", "label", "planted"), "vec_id")
 
 
 @register("T7_number_turns", v.with_views(["chat"], """

@@ -4,7 +4,6 @@ is the batch verdict, so the check also shows stream == batch."""
 
 from __future__ import annotations
 
-from kensa.operators import anomalies as an
 from kensa.plans import views as v
 from kensa.plans.questions import p9
 from kensa.plans.registry import ORACLE, register
@@ -13,18 +12,18 @@ from kensa.sources.tables import table
 from kensa.streaming import streams as st
 
 
-def stream_verdicts(spark, sf_dir: str, name: str = "kensa_verdicts"):
-    """Events arriving as files -> inspection view -> verdict, appended."""
+def events_verdict_stream(spark, sf_dir: str):
+    """Events arriving as files -> inspection view -> verdict."""
     schema = table(spark, sf_dir, "events").schema
     events = st.stream_table_files(spark, sf_dir, schema, glob="events.parquet")
-    return an.verdict(v.inspection_of(events).select("item_id", "label"))
+    return st.stream_verdicts(v.inspection_of(events).select("item_id", "label"))
 
 
 @register("X2_stream_verdicts", ORACLE[next(k for k in ORACLE if k.startswith("P9_"))])
 def x2(spark, sf_dir):
     out = scratch_path(spark, "x2-out")
     ckpt = scratch_path(spark, "x2-ckpt")
-    return st.drain(stream_verdicts(spark, sf_dir), "kensa_x2_verdicts", out, checkpoint=ckpt)
+    return st.drain(events_verdict_stream(spark, sf_dir), "kensa_x2_verdicts", out, checkpoint=ckpt)
 
 
 assert p9  # the batch form X2 is compared with

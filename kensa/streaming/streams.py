@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from kensa.operators.anomalies import verdict
 from kensa.session import ensure_checkpoint_dir
 
 # Spark's image source schema, needed to open it as a stream.
@@ -53,6 +54,12 @@ def stream_table_files(spark: SparkSession, folder: str, schema: T.StructType,
     return r.format(fmt).load(folder)
 
 
+def stream_verdicts(src: DataFrame, label: str = "label") -> DataFrame:
+    """The batch verdict rule (P9) applied to each arriving row; a
+    stateless, append-only stream."""
+    return verdict(src, label)
+
+
 def checkpoint_location(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "kensa-streams", name)
 

@@ -4,14 +4,14 @@ import time
 
 from conftest import SF_SMALL, png_bytes, pattern
 from kensa.plans import views as v
-from kensa.plans.stream_queries import stream_verdicts
+from kensa.plans.stream_queries import events_verdict_stream
 from kensa.operators import anomalies as an
 from kensa.session import scratch_path
 from kensa.streaming import streams as st
 
 
 def test_drained_stream_equals_batch(spark):
-    out = st.drain(stream_verdicts(spark, SF_SMALL), "t_verdicts", scratch_path(spark, "tv"),
+    out = st.drain(events_verdict_stream(spark, SF_SMALL), "t_verdicts", scratch_path(spark, "tv"),
                    checkpoint=scratch_path(spark, "tv-ckpt"))
     batch = an.verdict(v.inspection(spark, SF_SMALL).select("item_id", "label"))
     assert out.exceptAll(batch).count() == 0 and batch.exceptAll(out).count() == 0
