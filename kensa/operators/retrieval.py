@@ -53,8 +53,11 @@ def top_passages(reports: DataFrame, terms: list[str], k: int, by: list[str] = (
     """T3, term form: the ``k`` best passages with at least one hit, per group."""
     by = list(by)
     p = passages(spread(reports), keep=("doc_id", *by))
-    scored = p.withColumn("score", term_score(F.col("passage"), terms)).where(F.col("score") > 0)
-    return top_k(scored, "score", k, by, ["doc_id", "passage_no"])
+    scored = p.withColumn("score", term_score(F.col("passage"), terms))
+    # Zero scores sort last, so dropping them after the top-k gives the same
+    # rows as before it -- and the tokens are computed once, not copied into
+    # a pushed-down filter.
+    return top_k(scored, "score", k, by, ["doc_id", "passage_no"]).where(F.col("score") > 0)
 
 
 def top_vectors(df: DataFrame, vec: str, query: list[float], k: int, by: list[str],

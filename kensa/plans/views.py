@@ -39,7 +39,8 @@ def inspection_of(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.col("event_id").alias("item_id"), "ts", F.col("user_id").alias("unit_id"),
         F.col("value").alias("score"), kind.alias("kind"),
-        F.when(kind == "normal", F.lit("normal")).otherwise(F.lit("damaged")).alias("label"))
+        F.when(F.col("event_type").eqNullSafe("view"), F.lit("normal"))
+         .otherwise(F.lit("damaged")).alias("label"))
 
 
 def production(spark: SparkSession, sf_dir: str) -> DataFrame:
