@@ -12,14 +12,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kensa.operators.joins import checked_small
 from kensa.operators.numbering import dense_codes
 
 UNKNOWN_CODE = -1
 
 
 def fit_codes(df: DataFrame, cols: list[str]) -> dict[str, DataFrame]:
-    """Code tables ``(value, code)`` per column, fitted on ``df``."""
-    return {c: dense_codes(df, c, out="code") for c in cols}
+    """Code tables ``(value, code)`` per column, fitted on ``df``.
+
+    Each table is materialised once and counted: a table within the
+    broadcast row limit is marked for broadcast, so the coded table is not
+    hashed on a low-cardinality column (few hot partitions); a larger one
+    is joined normally, where AQE splits skewed partitions."""
+    out = {}
+    for c in cols:
+        tbl, small = checked_small(dense_codes(df, c, out="code"))
+        out[c] = F.broadcast(tbl) if small else tbl
+    return out
 
 
 def apply_codes(df: DataFrame, codes: dict[str, DataFrame]) -> DataFrame:

@@ -12,6 +12,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kensa.session import cut_lineage
+
+# Largest side (rows) broadcast after a size check; beyond it a plain join.
+BROADCAST_ROW_LIMIT = 1_000_000
+
+
+def checked_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> tuple[DataFrame, bool]:
+    """Materialise ``df`` once in the shared checkpoint folder and count it
+    there; returns the materialised frame and whether it may be broadcast.
+    For sides that come out of an aggregate or a window, whose size the
+    planner cannot estimate but which are small by construction."""
+    m = cut_lineage(df)
+    return m, m.count() <= max_rows
+
+
+def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
+                 max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Equi join that broadcasts ``small`` only after its size is checked."""
+    s, ok = checked_small(small, max_rows)
+    return big.join(F.broadcast(s) if ok else s, on, how)
+
 
 def label_images(images: DataFrame, labels: DataFrame, key: str | list[str]) -> DataFrame:
     """Every image with its annotation (null label when none)."""
@@ -20,8 +41,12 @@ def label_images(images: DataFrame, labels: DataFrame, key: str | list[str]) ->
 
 def reports_for(lines: DataFrame, reports: DataFrame, line: str = "line") -> DataFrame:
     """Reports of the given lines (semi join: each report at most once,
-    however many times its line is listed)."""
-    return reports.join(lines.select(line), line, "left_semi")
+    however many times its line is listed).
+
+    There are few lines, so hashing reports by line would pile each line's
+    reports into one task; the line list is checked and broadcast instead,
+    and the reports are filtered where they are read, without a shuffle."""
+    return join_checked(reports, lines.select(line).distinct(), line, "left_semi")
 
 
 def unmatched(left: DataFrame, right: DataFrame, key: str,
