@@ -97,10 +97,14 @@ def _bilinear_weights(in_size: int, out_size: int) -> np.ndarray:
 
 
 def _resample_axis(img: np.ndarray, wts: np.ndarray, axis: int) -> np.ndarray:
-    moved = np.moveaxis(img.astype(np.int64), axis, 0)
-    out = np.tensordot(wts, moved, axes=([1], [0])) + (1 << (_PRECISION_BITS - 1))
-    out = np.clip(out >> _PRECISION_BITS, 0, 255).astype(np.uint8)
-    return np.moveaxis(out, 0, axis)
+    """One separable pass in fixed point.  Weights (< 2^23) times pixels
+    (< 2^8), summed, stay integers far below 2^53, so a float64 matrix
+    product (BLAS) gives exactly the integer result, in any summation order."""
+    moved = np.moveaxis(img, axis, 0)
+    flat = moved.reshape(moved.shape[0], -1).astype(np.float64)
+    acc = wts.astype(np.float64) @ flat + float(1 << (_PRECISION_BITS - 1))
+    out = np.clip(np.floor(acc / float(1 << _PRECISION_BITS)), 0, 255).astype(np.uint8)
+    return np.moveaxis(out.reshape((wts.shape[0],) + moved.shape[1:]), 0, axis)
 
 
 def bilinear_resize_np(img: np.ndarray, out_w: int, out_h: int) -> np.ndarray:
