@@ -303,9 +303,13 @@ def score_batches(df: DataFrame, fn, schema: T.StructType | str, rows: int = BAT
     return df.mapInPandas(run, schema)
 
 
-def image_batch_conf(rows: int = BATCH_ROWS) -> dict:
-    """Session settings for image jobs: small Arrow batches cap executor memory."""
-    return {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}
+def image_batch_conf(rows: int = BATCH_ROWS, max_bytes: str = "64m") -> dict:
+    """Session settings for image jobs.  Arrow batches sent to Python are cut
+    by rows *and* by bytes (``maxBytesPerBatch``, 64 MB by default in Spark
+    4.x), so a batch of large images stays bounded; inside a batch the jobs
+    work on at most ``BATCH_ROWS`` images at a time (``in_batches``)."""
+    return {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+            "spark.sql.execution.arrow.maxBytesPerBatch": max_bytes}
 
 # ---- SQL array forms (JVM only), for one-channel images as int arrays -----------
 

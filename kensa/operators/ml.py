@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -29,7 +30,7 @@ from kensa.operators.encoding import apply_codes, fit_codes, string_columns
 from kensa.operators.filters import drop_datetime, fill_zero
 from kensa.operators.metrics import weighted_f1
 from kensa.operators.partitioning import spread
-from kensa.session import ship_package
+from kensa.session import cut_lineage, ship_package
 
 FOREST_TREES, FOREST_SEED, FOREST_DEPTH = 100, 42, 8
 
@@ -106,6 +107,8 @@ def run_training(df: DataFrame, label: str, feature_cols: list[str], split_col:
     the run record ``(run_id, metric, value)`` (appended to ``table`` when
     given).  The split must already be assigned (``splits.assign_split``)."""
     run_id = run_id or uuid.uuid4().hex
+    # Read three times (fit, validation, counts): keep it between the steps.
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     train = df.where(F.col(split_col) == "train")
     val = df.where(F.col(split_col) == "val")
     model = fit_forest(train, label, feature_cols, num_trees, max_depth, seed)
@@ -116,6 +119,8 @@ def run_training(df: DataFrame, label: str, feature_cols: list[str], split_col:
     record = (f1.select(F.lit("val_f1_score").alias("metric"), F.col("f1").alias("value"))
               .unionByName(counts.select(F.concat(F.lit("n_"), F.col(split_col)).alias("metric"), "value"))
               .select(F.lit(run_id).alias("run_id"), "metric", "value"))
+    record = cut_lineage(record)  # a few rows; computed once, then the cache can go
+    df.unpersist()
     if table:
         record.write.mode("append").saveAsTable(table)
     return record
