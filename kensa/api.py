@@ -37,6 +37,6 @@ from kensa.sources.files import (  # S1-S3, S6, A5
     any_folder_empty, file_counts, folder_is_empty, ingest_files, read_image_bytes, read_images,
     read_labels)
 from kensa.streaming.streams import (  # X1-X5
-    active_streams, await_streams, stop_streams, stream_images, stream_verdicts)
+    active_streams, await_streams, score_stream, stop_streams, stream_images, stream_verdicts)
 
 __all__ = [n for n in dir() if not n.startswith("_") and n != "annotations"]

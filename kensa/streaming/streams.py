@@ -60,6 +60,18 @@ def stream_verdicts(src: DataFrame, label: str = "label") -> DataFrame:
     return verdict(src, label)
 
 
+def score_stream(spark: SparkSession, path: str, scorer_factory, glob: str | None = None,
+                 batch_rows: int = 64) -> DataFrame:
+    """X1 + M7 + P9: new image files -> scores -> verdicts, as a stream.
+    The same functions as batch scoring; a bad file gives an ``error`` row
+    (and no verdict), never a failed micro-batch."""
+    from kensa.operators.ml import score_images  # image stack only when used
+    images = stream_images(spark, path, glob=glob).withColumn("origin", F.col("image.origin"))
+    scored = score_images(images, scorer_factory, keep=("origin",), batch_rows=batch_rows)
+    present = F.col("error").isNull()
+    return verdict(scored.withColumn("_present", present), "label", present="_present").drop("_present")
+
+
 def checkpoint_location(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "kensa-streams", name)
 

@@ -53,3 +53,20 @@ def test_manage_streams_by_prefix(spark, tmp_path):
     finally:
         st.stop_streams(spark, "")
     assert not q1.isActive and not q2.isActive
+
+
+def test_streamed_scores_equal_batch(spark, image_tree):
+    from pyspark.sql import functions as F
+    from kensa.operators import ml
+    from kensa.sources import files as fs
+    root, files = image_tree
+    streamed = st.drain(st.score_stream(spark, str(root), ml.BrightnessScorer, glob=fs.IMAGE_GLOB),
+                        "t_scores", scratch_path(spark, "ts"), checkpoint=scratch_path(spark, "ts-ck"))
+    batch = ml.score_images(fs.read_images(spark, str(root), glob=fs.IMAGE_GLOB)
+                            .withColumn("origin", F.col("image.origin")), ml.BrightnessScorer, keep=("origin",))
+    cols = ["origin", "label", "score", "error"]
+    s = sorted(map(tuple, streamed.select(*cols).collect()))
+    b = sorted(map(tuple, batch.select(*cols).collect()))
+    assert s == b and len(s) == len(files) + 1
+    bad = streamed.where(F.col("error").isNotNull()).first()
+    assert bad.verdict is None and bad.origin.endswith("broken.jpg")
