@@ -28,19 +28,27 @@ def confusion(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def per_class_f1(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """Precision, recall, F1 and support per class; 0 where undefined."""
+    """Precision, recall, F1 and support per class; 0 where undefined.
+
+    Each confusion cell counts once for its true class (support, true
+    positives) and once for its predicted class (predictions), so one
+    aggregate gives every class -- no join between per-class tables."""
     cm = confusion(df, label, pred)
-    by_label = cm.groupBy(F.col("label").alias("cls")).agg(
-        F.sum("n").alias("support"),
-        F.sum(F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0)).alias("tp"))
-    by_pred = cm.groupBy(F.col("pred").alias("cls")).agg(F.sum("n").alias("predicted"))
-    j = by_label.join(by_pred, "cls", "full_outer").na.fill(0, ["support", "tp", "predicted"])
+    hit = F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(F.lit(0))
+    sides = F.array(
+        F.struct(F.col("label").alias("cls"), F.col("n").alias("support"), hit.alias("tp"),
+                 F.lit(0).cast("bigint").alias("predicted")),
+        F.struct(F.col("pred").alias("cls"), F.lit(0).cast("bigint").alias("support"),
+                 F.lit(0).cast("bigint").alias("tp"), F.col("n").alias("predicted")))
+    per = (cm.select(F.inline(sides)).groupBy("cls")
+             .agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"),
+                  F.sum("predicted").alias("predicted")))
     p = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     r = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     f1 = F.when(F.col("precision") + F.col("recall") > 0,
                 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))
                 ).otherwise(F.lit(0.0))
-    return j.withColumn("precision", p).withColumn("recall", r).withColumn("f1", f1)
+    return per.withColumn("precision", p).withColumn("recall", r).withColumn("f1", f1)
 
 
 def weighted_f1(df: DataFrame, label: str, pred: str) -> DataFrame:
