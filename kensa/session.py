@@ -29,11 +29,20 @@ LOCAL_CONF = {
 }
 
 
+def _driver_memory() -> str:
+    """60% of this machine's memory, at most 16 GB (local mode: one JVM)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, int(total * 0.6 / 2**30)))}g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "kensa", extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "16g"))
+               .config("spark.driver.memory", _driver_memory()))
     for k, v in {**LOCAL_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
