@@ -9,26 +9,47 @@ list ever passes through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kensa.operators.joins import checked_small
-from kensa.operators.numbering import dense_codes
+from kensa.operators.joins import BROADCAST_ROW_LIMIT
+from kensa.operators.numbering import number_rows
+from kensa.session import cut_lineage
 
 UNKNOWN_CODE = -1
 
 
-def fit_codes(df: DataFrame, cols: list[str]) -> dict[str, DataFrame]:
+def fit_codes(df: DataFrame, cols: list[str], max_rows: int = BROADCAST_ROW_LIMIT) -> dict[str, DataFrame]:
     """Code tables ``(value, code)`` per column, fitted on ``df``.
 
-    Each table is materialised once and counted: a table within the
-    broadcast row limit is marked for broadcast, so the coded table is not
-    hashed on a low-cardinality column (few hot partitions); a larger one
-    is joined normally, where AQE splits skewed partitions."""
+    All columns are fitted in one pass: one scan and one shuffle produce the
+    distinct ``(column, value)`` pairs, which are materialised once and
+    counted per column.  A column within ``max_rows`` values is small by
+    proof: its codes come from a window over at most ``max_rows`` values and
+    its table is broadcast, so the coded table is never hashed on a
+    low-cardinality column.  A larger column is numbered by the distributed,
+    skew-safe numbering and joined normally (AQE splits skewed partitions)."""
+    if not cols:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value"))
+                                for c in cols]))
+    values = df.select(pairs.alias("p")).select("p.*").where(F.col("value").isNotNull()).distinct()
+    values = cut_lineage(values)
+    sizes = {r["col"]: r["n"] for r in values.groupBy("col").agg(F.count(F.lit(1)).alias("n")).collect()}
+    small = [c for c in cols if sizes.get(c, 0) <= max_rows]
+    large = [c for c in cols if c not in small]
     out = {}
-    for c in cols:
-        tbl, small = checked_small(dense_codes(df, c, out="code"))
-        out[c] = F.broadcast(tbl) if small else tbl
+    if small:
+        w = Window.partitionBy("col").orderBy("value")
+        ranked = values.where(F.col("col").isin(*small)).withColumn("code", F.row_number().over(w) - 1)
+        for c in small:
+            out[c] = F.broadcast(ranked.where(F.col("col") == c).select(
+                F.col("value").cast(df.schema[c].dataType).alias(c), "code"))
+    if large:
+        numbered = number_rows(values.where(F.col("col").isin(*large)), ["col"], ["value"], out="_n")
+        for c in large:
+            out[c] = numbered.where(F.col("col") == c).select(
+                F.col("value").cast(df.schema[c].dataType).alias(c), (F.col("_n") - 1).alias("code"))
     return out
 
 
