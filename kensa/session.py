@@ -57,15 +57,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only when it is unset
     (tests on one machine) do we pick a folder ourselves.
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    sc = _context(spark)
+    path = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getConf().get(CHECKPOINT_CONF, None) if sc else None)
     if not path:
         path = os.path.join(tempfile.gettempdir(), f"kensa-ckpt-{uuid.uuid4().hex[:8]}")
         spark.conf.set(CHECKPOINT_CONF, path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect,
+    where the server owns the context and its checkpoint folder."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "kensa", f"{name}-{uuid.uuid4().hex}")
@@ -88,7 +98,10 @@ def ship_package(spark: SparkSession) -> None:
     application and hands it to ``addPyFile``; Spark distributes it.  A
     deployment that already ships it with ``--py-files`` can skip this.
     """
-    app = spark.sparkContext.applicationId
+    sc = _context(spark)
+    if sc is None:  # Spark Connect: the package must be installed server-side
+        return
+    app = sc.applicationId
     if app in _SHIPPED:
         return
     import kensa
@@ -101,5 +114,5 @@ def ship_package(spark: SparkSession) -> None:
                 if n.endswith(".py"):
                     full = os.path.join(dirpath, n)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    spark.sparkContext.addPyFile(out)
+    sc.addPyFile(out)
     _SHIPPED.add(app)

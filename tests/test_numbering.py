@@ -42,3 +42,31 @@ def test_dense_codes_skip_nulls(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "g int, o int")
     assert number_rows(df, ["g"], ["o"]).count() == 0
+
+
+def test_spread_only_fans_out_small_inputs(spark):
+    from kensa.operators.partitioning import spread
+    one = spark.range(0, 100, 1, 1)
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 100, 1, spark.sparkContext.defaultParallelism + 2)
+    assert spread(many) is many
+
+
+def test_helpers_tolerate_sessions_without_context(spark, monkeypatch):
+    """Spark Connect sessions have no SparkContext: the helpers fall back."""
+    from kensa import session as ks
+    from kensa.operators.partitioning import spread
+
+    class NoContext:
+        conf = spark.conf
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no context under Connect")
+
+    assert ks._context(NoContext()) is None
+    assert ks.ensure_checkpoint_dir(NoContext())
+    ks.ship_package(NoContext())  # no error
+    df = spark.range(5)
+    monkeypatch.setattr(type(df), "rdd", property(lambda self: (_ for _ in ()).throw(RuntimeError("no rdd"))))
+    assert spread(df) is df
