@@ -70,15 +70,62 @@ def _gray_images(spark, sf_dir):
         "vec_id", im.gray_image_struct("vec_id", F.col("p"), SIDE, SIDE).alias("image"))
 
 
-@register("I4_resize_center_crop")
+def _bilinear_ctes(side: int, size: int, crop: int) -> str:
+    """DuckDB form of I4 on the 8x8 images, up to the cropped pixels ``vp``:
+    triangle-filter weights from the same rule (support 1 when enlarging),
+    fixed point with 22 fraction bits, horizontal then vertical pass with
+    8-bit rounding between them, centre crop."""
+    off = int(round((size - crop) / 2.0))
+    one, half = 1 << 22, 1 << 21
+    return f"""
+px AS ({_PIXELS_SQL}),
+ctr AS (SELECT o, (o + 0.5) * ({side} / {size}.0) AS center FROM range({size}) t(o)),
+k AS (SELECT o, i, greatest(1.0 - abs(i - center + 0.5), 0.0) AS k
+      FROM ctr, range({side}) s(i)
+      WHERE i >= greatest(CAST(trunc(center - 1.0 + 0.5) AS INTEGER), 0)
+        AND i < least(CAST(trunc(center + 1.0 + 0.5) AS INTEGER), {side})),
+wt AS (SELECT o, i, CAST(trunc(0.5 + k / sum(k) OVER (PARTITION BY o) * {one}) AS BIGINT) AS w FROM k),
+hp AS (SELECT vec_id, y, wt.o AS x,
+              least(greatest(floor((sum(p[CAST(y * {side} + wt.i + 1 AS INTEGER)] * wt.w) + {half}) / {one}.0), 0), 255) AS v
+       FROM px, range({side}) r(y), wt GROUP BY vec_id, y, wt.o),
+vp AS (SELECT hp.vec_id, wt.o AS y, hp.x,
+              least(greatest(floor((sum(hp.v * wt.w) + {half}) / {one}.0), 0), 255) AS v
+       FROM hp JOIN wt ON hp.y = wt.i
+       WHERE wt.o BETWEEN {off} AND {off + crop - 1} AND hp.x BETWEEN {off} AND {off + crop - 1}
+       GROUP BY hp.vec_id, wt.o, hp.x)"""
+
+
+_CROP = im.TRAIN_CROP
+_BILINEAR = _bilinear_ctes(SIDE, im.TRAIN_RESIZE, _CROP)
+
+
+# Gray repeated to RGB, SHA-1 of the bytes.
+@register("I4_resize_center_crop", v.with_views(["features"], f"""WITH {_BILINEAR}
+SELECT vec_id, {_CROP} AS height, {_CROP} AS width, 3 AS channels,
+       sha1(unhex(string_agg(repeat(lpad(hex(CAST(v AS INTEGER)), 2, '0'), 3), '' ORDER BY y, x))) AS digest
+FROM vp GROUP BY vec_id"""))
 def i4(spark, sf_dir):
     out = im.resize_center_crop(im.to_rgb(_gray_images(spark, sf_dir)))
     return out.select("vec_id", "pixels.height", "pixels.width", "pixels.channels",
                       F.sha1("pixels.data").alias("digest"))
 
 
-@register("I7_training_tensors")
+def _channels_sql(expr: str, fn: str) -> str:
+    """(v / 255 - mean_c) / sd_c over the three channels, combined by ``fn``."""
+    return fn + "(" + ", ".join(f"({expr} / 255.0 - {m}) / {sd}" for m, sd in zip(im.MEAN, im.STD)) + ")"
+
+
+# The tensors are float32; rounded to 3 decimals every reachable value
+# (256 levels x 3 channels) rounds the same in float32 and double, so the
+# extremes can be compared exactly with DuckDB's double arithmetic.
+@register("I7_training_tensors", v.with_views(["features"], f"""WITH {_BILINEAR}
+SELECT vec_id, {3 * _CROP * _CROP} AS n_values,
+       round({_channels_sql('max(v)', 'greatest')}, 3) AS max_value,
+       round({_channels_sql('min(v)', 'least')}, 3) AS min_value,
+       CAST(NULL AS VARCHAR) AS error
+FROM vp GROUP BY vec_id"""))
 def i7(spark, sf_dir):
     out = im.training_tensors(_gray_images(spark, sf_dir), keep=("vec_id",))
     return out.select("vec_id", F.size("tensor").alias("n_values"),
-                      F.round(F.array_max("tensor"), 4).alias("max_value"), "error")
+                      F.round(F.array_max("tensor").cast("double"), 3).alias("max_value"),
+                      F.round(F.array_min("tensor").cast("double"), 3).alias("min_value"), "error")
