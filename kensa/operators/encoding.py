@@ -22,17 +22,26 @@ UNKNOWN_CODE = -1
 def fit_codes(df: DataFrame, cols: list[str], max_rows: int = BROADCAST_ROW_LIMIT) -> dict[str, DataFrame]:
     """Code tables ``(value, code)`` per column, fitted on ``df``.
 
-    All columns are fitted in one pass: one scan and one shuffle produce the
-    distinct ``(column, value)`` pairs, which are materialised once and
-    counted per column.  A column within ``max_rows`` values is small by
-    proof: its codes come from a window over at most ``max_rows`` values and
-    its table is broadcast, so the coded table is never hashed on a
-    low-cardinality column.  A larger column is numbered by the distributed,
-    skew-safe numbering and joined normally (AQE splits skewed partitions)."""
-    if not cols:
-        return {}
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value"))
-                                for c in cols]))
+    Columns of one data type are fitted in one pass: one scan and one
+    shuffle produce the distinct ``(column, value)`` pairs, which are
+    materialised once and counted per column (values keep their type, so
+    codes follow the type's own order).  A column within ``max_rows``
+    values is small by proof: its codes come from a window over at most
+    ``max_rows`` values and its table is broadcast, so the coded table is
+    never hashed on a low-cardinality column.  A larger column is numbered
+    by the distributed, skew-safe numbering and joined normally (AQE splits
+    skewed partitions)."""
+    by_type: dict[str, list[str]] = {}
+    for c in cols:
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    out: dict[str, DataFrame] = {}
+    for group in by_type.values():
+        out.update(_fit_same_type(df, group, max_rows))
+    return {c: out[c] for c in cols}
+
+
+def _fit_same_type(df: DataFrame, cols: list[str], max_rows: int) -> dict[str, DataFrame]:
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("value")) for c in cols]))
     values = df.select(pairs.alias("p")).select("p.*").where(F.col("value").isNotNull()).distinct()
     values = cut_lineage(values)
     sizes = {r["col"]: r["n"] for r in values.groupBy("col").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -43,13 +52,11 @@ def fit_codes(df: DataFrame, cols: list[str], max_rows: int = BROADCAST_ROW_LIMI
         w = Window.partitionBy("col").orderBy("value")
         ranked = values.where(F.col("col").isin(*small)).withColumn("code", F.row_number().over(w) - 1)
         for c in small:
-            out[c] = F.broadcast(ranked.where(F.col("col") == c).select(
-                F.col("value").cast(df.schema[c].dataType).alias(c), "code"))
+            out[c] = F.broadcast(ranked.where(F.col("col") == c).select(F.col("value").alias(c), "code"))
     if large:
         numbered = number_rows(values.where(F.col("col").isin(*large)), ["col"], ["value"], out="_n")
         for c in large:
-            out[c] = numbered.where(F.col("col") == c).select(
-                F.col("value").cast(df.schema[c].dataType).alias(c), (F.col("_n") - 1).alias("code"))
+            out[c] = numbered.where(F.col("col") == c).select(F.col("value").alias(c), (F.col("_n") - 1).alias("code"))
     return out
 
 

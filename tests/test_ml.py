@@ -66,3 +66,10 @@ def test_code_tables_small_and_large_paths_agree(spark):
     large = {r.k: r.s for r in apply_codes(df, fit_codes(df, ["s"], max_rows=5)).collect()}
     assert small == large
     assert min(small.values()) == -1 and max(small.values()) == 36
+
+
+def test_codes_follow_each_type_order(spark):
+    from kensa.operators.encoding import category_codes
+    df = spark.createDataFrame([(1, 9, "b"), (2, 10, "a"), (3, 100, "c")], "k int, n int, s string")
+    got = {r.k: (r.n, r.s) for r in category_codes(df, ["n", "s"]).collect()}
+    assert got == {1: (0, 1), 2: (1, 0), 3: (2, 2)}  # 9 < 10 < 100 numerically
