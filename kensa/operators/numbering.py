@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kensa.session import cut_lineage
 
@@ -30,7 +31,8 @@ def number_rows(df: DataFrame, group_cols: list[str], order_cols: list[str],
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tie")
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    tie = F.xxhash64(*[F.col(c) for c in hashable]).alias("_tie")
     keys = [F.col(c) for c in [*group_cols, *order_cols]] + [F.col("_tie")]
     ranged = (df.withColumn("_tie", tie).repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
@@ -42,10 +44,13 @@ def number_rows(df: DataFrame, group_cols: list[str], order_cols: list[str],
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("_offset", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-    joined = ranged.join(pieces.select("_pid", *group_cols, "_start", "_offset"),
-                         ["_pid", *group_cols], "inner")
+    # Null-safe on the group keys: a null group is a group, not a lost row.
+    p = pieces.select(F.col("_pid").alias("_p_pid"), *[F.col(c).alias(f"_p_{c}") for c in group_cols],
+                      "_start", "_offset")
+    cond = [F.col("_pid") == F.col("_p_pid")] + [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in group_cols]
+    joined = ranged.join(p, cond, "inner")
     return (joined.withColumn(out, F.col("_rid") - F.col("_start") + F.col("_offset") + 1)
-            .drop("_tie", "_rid", "_pid", "_start", "_offset"))
+            .select(*df.columns, out))
 
 
 def dense_codes(df: DataFrame, value_col: str, out: str = "code") -> DataFrame:

@@ -70,3 +70,15 @@ def test_helpers_tolerate_sessions_without_context(spark, monkeypatch):
     df = spark.range(5)
     monkeypatch.setattr(type(df), "rdd", property(lambda self: (_ for _ in ()).throw(RuntimeError("no rdd"))))
     assert spread(df) is df
+
+
+def test_null_group_is_numbered_not_dropped(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), (1, 5), (1, 3)], "g int, o int")
+    got = sorted((r.g if r.g is not None else -1, r.o, r.n) for r in number_rows(df, ["g"], ["o"], out="n").collect())
+    assert got == [(-1, 1, 1), (-1, 2, 2), (1, 3, 1), (1, 5, 2)]
+
+
+def test_map_columns_are_carried(spark):
+    df = spark.createDataFrame([(1, 2, {"a": 1}), (1, 1, {"b": 2})], "g int, o int, m map<string,int>")
+    got = sorted((r.o, r.n, dict(r.m)) for r in number_rows(df, ["g"], ["o"], out="n").collect())
+    assert got == [(1, 1, {"b": 2}), (2, 2, {"a": 1})]
