@@ -7,9 +7,11 @@ Inputs are inspection facts ``(item_id, unit_id, kind, label, ...)`` where
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kensa.operators.numbering import dense_rank_desc
+
 DAMAGED = "damaged"
 
 
@@ -90,11 +92,10 @@ def anomalies_by_line(inspections: DataFrame, production: DataFrame,
 
 
 def rank_lines(by_line: DataFrame, kind: str) -> DataFrame:
-    """Lines ranked by the count of one kind (1 = most).
+    """Lines ranked by the count of one kind (1 = most, dense ranks).
 
-    The window has no partition key, which is fine only because its input
-    is already aggregated to one row per line.
-    """
-    w = Window.orderBy(F.desc("n_anomalies"))
-    return (by_line.where(F.col("kind") == kind)
-            .withColumn("rank", F.dense_rank().over(w)))
+    The input is already one row per line; it is materialised and counted,
+    and only a frame within the broadcast row limit is ranked by a single
+    ordered window (``numbering.dense_rank_desc``); a larger one is ranked
+    by the distributed numbering."""
+    return dense_rank_desc(by_line.where(F.col("kind") == kind), "n_anomalies", "rank")

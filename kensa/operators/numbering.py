@@ -59,3 +59,24 @@ def dense_codes(df: DataFrame, value_col: str, out: str = "code") -> DataFrame:
     distinct = df.select(value_col).where(F.col(value_col).isNotNull()).distinct()
     numbered = number_rows(distinct, [], [value_col], out="_n")
     return numbered.select(value_col, (F.col("_n") - 1).alias(out))
+
+
+def dense_rank_desc(df: DataFrame, value_col: str, out: str = "rank", max_rows: int | None = None) -> DataFrame:
+    """Dense rank by a numeric column, highest first (1 = highest; nulls
+    last), over the whole frame.
+
+    The frame is materialised once and counted.  Within ``max_rows`` rows
+    an ordered window in one task is bounded by proof; beyond it the
+    distinct values are numbered with the distributed numbering and the
+    ranks joined back, so no task ever holds the whole frame."""
+    from kensa.operators.joins import BROADCAST_ROW_LIMIT, checked_small
+    m, small = checked_small(df, max_rows or BROADCAST_ROW_LIMIT)
+    if small:
+        return m.withColumn(out, F.dense_rank().over(Window.orderBy(F.desc(value_col))))
+    # Nulls get their own value below every number, so they rank last.
+    key = F.when(F.col(value_col).isNull(), F.lit(1)).otherwise(F.lit(0))
+    values = (m.select(value_col).distinct()
+               .withColumn("_null", key).withColumn("_neg", -F.col(value_col)))
+    ranks = number_rows(values, [], ["_null", "_neg"], out=out).select(value_col, out)
+    ranked = m.join(ranks, m[value_col].eqNullSafe(ranks[value_col]), "left").drop(ranks[value_col])
+    return ranked.select(*m.columns, F.col(out).cast("int").alias(out))

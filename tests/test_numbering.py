@@ -82,3 +82,13 @@ def test_map_columns_are_carried(spark):
     df = spark.createDataFrame([(1, 2, {"a": 1}), (1, 1, {"b": 2})], "g int, o int, m map<string,int>")
     got = sorted((r.o, r.n, dict(r.m)) for r in number_rows(df, ["g"], ["o"], out="n").collect())
     assert got == [(1, 1, {"b": 2}), (2, 2, {"a": 1})]
+
+
+def test_dense_rank_small_and_large_paths_agree(spark):
+    from kensa.operators.numbering import dense_rank_desc
+    rows = [(i, (i * 7) % 13) for i in range(60)] + [(100, None)]
+    df = spark.createDataFrame(rows, "k int, n int")
+    small = {r.k: r.rank for r in dense_rank_desc(df, "n").collect()}
+    large = {r.k: r.rank for r in dense_rank_desc(df, "n", max_rows=3).collect()}
+    assert small == large
+    assert small[100] == 14 and min(small.values()) == 1
