@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kensa.llm import common, langid, quality
+from kensa.llm import ann, common, decontamination, langid, licenses, quality
 from kensa.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,24 @@ def quality_model(spark, sf_dir, stats):
     """Fit on the labelled rows among ``stats`` (doc_id, stats)."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return quality.fit(stats.join(labels, "doc_id").withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.lit(7))))
+
+
+@query
+def op5_nearest_neighbours(spark, sf_dir):
+    common.prepare(spark)
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, vectors.where("vec_id % 20 = 0"), "vec_id", "embedding", k=20)
+
+
+@query
+def op8_license_scan(spark, sf_dir):
+    return licenses.scan(common.documents(spark, sf_dir))
+
+
+ORACLE["op8_license_scan"] = licenses.oracle()
+
+
+@query
+def op1_decontamination(spark, sf_dir):
+    common.prepare(spark)
+    return decontamination.contaminated(common.documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
