@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kensa.llm import ann, common, decontamination, langid, licenses, quality
+from kensa.llm import ann, common, decontamination, langid, licenses, minmax, quality
 from kensa.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,9 @@ ORACLE["op8_license_scan"] = licenses.oracle()
 def op1_decontamination(spark, sf_dir):
     common.prepare(spark)
     return decontamination.contaminated(common.documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_near_duplicates(spark, sf_dir):
+    common.prepare(spark)
+    return minmax.groups(common.documents(spark, sf_dir), k=2)
