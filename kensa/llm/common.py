@@ -148,7 +148,7 @@ def smallest_labels(links: DataFrame, a: str = "a", b: str = "b", rounds: int =
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        edges = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        edges = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         low = edges.groupBy("u").agg(F.min("v").alias("m"))
         hung = edges.join(low, "u")
         edges = scratch(hung.select(F.col("v").alias("u"), F.col("m").alias("v"))

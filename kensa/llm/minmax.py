@@ -8,12 +8,10 @@ agree too little to be similar (six standard deviations) are given up.  All
 others are confirmed on their full shingle sets.
 
 Texts with equal sets are one class from the start and are never paired.  In a
-bucket of classes, one member is the pivot of a round and the others are paired
-with it if they are in another component; further rounds use other pivots in
-buckets that still hold several components.  When a round adds no link, what is
-left is compared pair by pair, each pair once, and only across components: no
-link between different components is lost, and a large group never becomes all
-its pairs.
+bucket of classes, two members are pivots and the others are paired with them.
+Where a bucket then still holds several components, the classes of different
+components are compared pair by pair, each pair once: no link between different
+components is lost, and a large group does not become all its pairs.
 
 Words are runs without white space, A-Z lower-cased.  A text with fewer words
 than a shingle is one shingle; null texts and texts without words have an empty
@@ -35,7 +33,6 @@ N_PERMUTATIONS = 80
 ROWS = 5
 N_BANDS = 2 * N_PERMUTATIONS // ROWS
 SLACK = 0.2            # how far below the threshold a signature may agree
-MAX_PIVOT_ROUNDS = 8   # then the exhaustive comparison takes over
 
 _RNG = np.random.default_rng(77)
 _MUL = _RNG.integers(0, 2**32, N_PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -180,31 +177,18 @@ def groups(df: DataFrame, k: int, num: int = 80, den: int = 100, key: str = "doc
         full_pairs = pairs.join(sets.select(F.col("cls").alias("a"), F.col("x").alias("xa")), "a").join(sets.select(F.col("cls").alias("b"), F.col("x").alias("xb")), "b")
         return full_pairs.select("a", "b", "xa", "xb").mapInArrow(_confirm(num, den), "a long, b long").distinct()
 
-    links = None
-    found = None
-    for turn in range(MAX_PIVOT_ROUNDS + 1):
-        placed = buckets.withColumn("comp", F.col("cls")) if found is None else \
-            buckets.join(found, F.col("cls") == F.col("node"), "left").select("key", "cls", F.coalesce("component", "cls").alias("comp"))
-        pick = F.col("cls") if turn == 0 else F.xxhash64("cls", "key", F.lit(turn))
-        pivot = placed.groupBy("key").agg(F.min(F.struct(pick.alias("h"), F.col("cls").alias("p"), F.col("comp").alias("pc"))).alias("s"), F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-            .where("lo != hi").select("key", "s.p", "s.pc")
-        if turn < MAX_PIVOT_ROUNDS:
-            pairs = placed.join(pivot, "key").where("comp != pc").select(F.least("cls", "p").alias("a"), F.greatest("cls", "p").alias("b")).distinct()
-        else:
-            pairs = _across(placed.join(pivot.select("key"), "key"), classes)
-        new = common.scratch(confirmed(pairs), "pairs")
-        grown = not new.isEmpty()
-        if grown:
-            links = new if links is None else links.unionByName(new)
-            found = common.smallest_labels(links)
-        if turn < MAX_PIVOT_ROUNDS and not grown:
-            placed = common.scratch(placed, "placed")
-            pivot = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-            new = common.scratch(confirmed(_across(placed.join(pivot, "key"), classes)), "pairs")
-            if not new.isEmpty():
-                links = new if links is None else links.unionByName(new)
-                found = common.smallest_labels(links)
-            break
+    # two pivots of every bucket: its smallest class, and one by a hash of class and bucket
+    pivots = buckets.groupBy("key").agg(F.min("cls").alias("p"), F.min(F.struct(F.xxhash64("cls", "key").alias("h"), F.col("cls").alias("q"))).alias("s")).select("key", F.array("p", "s.q").alias("ps"))
+    pairs = buckets.join(pivots, "key").select("cls", F.explode(F.array_distinct("ps")).alias("p")).where("cls != p")
+    links = common.scratch(confirmed(pairs.select(F.least("cls", "p").alias("a"), F.greatest("cls", "p").alias("b")).distinct()), "pairs")
+    found = None if links.isEmpty() else common.smallest_labels(links)
+    placed = buckets.withColumn("comp", F.col("cls")) if found is None else \
+        buckets.join(found, F.col("cls") == F.col("node"), "left").select("key", "cls", F.coalesce("component", "cls").alias("comp"))
+    placed = common.scratch(placed, "placed")
+    split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
+    new = common.scratch(confirmed(_across(placed.join(split, "key"), classes)), "pairs")
+    if not new.isEmpty():
+        found = common.smallest_labels(links.unionByName(new))
     members = some.select("doc_id", "f1", "f2").distinct().join(classes.select("f1", "f2", "cls"), ["f1", "f2"])
     if found is not None:
         members = members.join(found, F.col("cls") == F.col("node"), "left").select("doc_id", "f1", "f2", F.coalesce("component", "cls").alias("component_id"))

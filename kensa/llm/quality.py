@@ -202,3 +202,15 @@ def score(df: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> D
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
     return narrow.mapInArrow(run, f"{schema}, score double, predicted int")
+
+
+def accepted(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text scores ``THRESHOLD`` or more, with all their columns."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for rows, data, offsets in common.pieces(batch, text):
+                yield rows.filter(pa.array(shared.value.score(statistics(data, offsets)) >= THRESHOLD))
+
+    return df.mapInArrow(run, df.schema)

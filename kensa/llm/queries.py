@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kensa.llm import ann, common, decontamination, langid, licenses, minmax, quality
+from kensa.llm import ann, common, decontamination, langid, licenses, lm, minmax, pii, quality, substrings, wfst
 from kensa.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +68,36 @@ def op1_decontamination(spark, sf_dir):
 def op6_near_duplicates(spark, sf_dir):
     common.prepare(spark)
     return minmax.groups(common.documents(spark, sf_dir), k=2)
+
+
+@query
+def op3_substring_dedup(spark, sf_dir):
+    common.prepare(spark)
+    kept = substrings.remove_repeats(common.documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+TOKENIZER = os.environ.get("KENSA_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+@query
+def op10_sentencepiece(spark, sf_dir):
+    common.prepare(spark)
+    model = Path(TOKENIZER).read_bytes()
+    ids = wfst.encode(common.documents(spark, sf_dir).select("doc_id", "text"), model, normal="normal")
+    back = wfst.decode(ids.drop("text"), model)
+    return back.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+                       F.col("decoded").eqNullSafe(F.col("normal")).alias("round_trip"))
+
+
+@query
+def op4_personal_data(spark, sf_dir):
+    common.prepare(spark)
+    docs = common.documents(spark, sf_dir).select("doc_id", "text")
+    return pii.pseudonymise(docs, pii.demo_key("documents"), count="n_entities")
+
+
+@query
+def op9_lm_scores(spark, sf_dir):
+    common.prepare(spark)
+    return lm.score(common.documents(spark, sf_dir))
