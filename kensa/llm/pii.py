@@ -42,7 +42,7 @@ _NUMBERS = (
     ("ip", re.compile(rf"(?<![0-9A-Za-z.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9A-Za-z]|\.\d)")),
     ("ssn", re.compile(rf"(?<![0-9A-Za-z-])\d{{3}}-\d{{2}}-\d{{4}}(?![0-9A-Za-z-])")),
     ("card", re.compile(rf"{_EDGE}(?:\d{{13,19}}|\d{{4}}(?:[ -]\d{{4}}){{2}}[ -]\d{{1,7}}){_END}")),
-    ("phone", re.compile(r"(?<![0-9A-Za-z])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![0-9A-Za-z])")),
+    ("phone", re.compile(r"(?<![0-9A-Za-z])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![0-9A-Za-z]|\.\d)")),
 )
 # Titles and the gender they tell.
 _TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Frau": "f", "Monsieur": "m", "Madame": "f", "Mme": "f", "Señor": "m", "Señora": "f", "Господин": "m", "Госпожа": "f", "Dr": "n", "Prof": "n"}
