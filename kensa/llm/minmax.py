@@ -9,9 +9,9 @@ others are confirmed on their full shingle sets.
 
 Texts with equal sets are one class from the start and are never paired.  In a
 bucket of classes, two members are pivots and the others are paired with them.
-Where a bucket then still holds several components, the classes of different
-components are compared pair by pair, each pair once: no link between different
-components is lost, and a large group does not become all its pairs.
+Where a bucket then still holds several components, its classes are compared in
+blocks on their full sets, and only links between different components leave
+that step: none is lost, and a large group does not become all its pairs.
 
 Words are runs without white space, A-Z lower-cased.  A text with fewer words
 than a shingle is one shingle; null texts and texts without words have an empty
@@ -33,6 +33,7 @@ N_PERMUTATIONS = 80
 ROWS = 5
 N_BANDS = 2 * N_PERMUTATIONS // ROWS
 SLACK = 0.2            # how far below the threshold a signature may agree
+BLOCK = 128            # classes of a block in the comparison across components
 
 _RNG = np.random.default_rng(77)
 _MUL = _RNG.integers(0, 2**32, N_PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -185,8 +186,8 @@ def groups(df: DataFrame, k: int, num: int = 80, den: int = 100, key: str = "doc
     placed = buckets.withColumn("comp", F.col("cls")) if found is None else \
         buckets.join(found, F.col("cls") == F.col("node"), "left").select("key", "cls", F.coalesce("component", "cls").alias("comp"))
     placed = common.scratch(placed, "placed")
-    split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    new = common.scratch(confirmed(_across(placed.join(split, "key"), classes)), "pairs")
+    split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo != hi").select("key", "m")
+    new = common.scratch(_across(placed.join(split, "key"), sets, num, den), "pairs")
     if not new.isEmpty():
         found = common.smallest_labels(links.unionByName(new))
     members = some.select("doc_id", "f1", "f2").distinct().join(classes.select("f1", "f2", "cls"), ["f1", "f2"])
@@ -204,9 +205,48 @@ def _unique(sets: DataFrame) -> bool:
     return n["n"] == n["m"]
 
 
-def _across(placed: DataFrame, classes: DataFrame) -> DataFrame:
-    """All pairs of classes that share a bucket and are in different components, each from its first shared band."""
-    placed = placed.join(classes.select("cls", "bands"), "cls").withColumn("before", F.slice("bands", F.lit(1), (F.array_position("bands", F.col("key")) - 1).cast("int")))
-    a = placed.select("key", F.col("cls").alias("a"), F.col("comp").alias("ca"), F.col("before").alias("ba"))
-    b = placed.select("key", F.col("cls").alias("b"), F.col("comp").alias("cb"), F.col("before").alias("bb"))
-    return a.join(b, "key").where("a < b and ca != cb").where(~F.arrays_overlap("ba", "bb")).select("a", "b")
+def _across(placed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between classes that share a bucket (key, cls, comp, bucket size m) and are in different components.
+
+    A bucket is cut into blocks of about ``BLOCK`` classes by a hash; every two
+    blocks of a bucket are compared by matrix products of their membership
+    matrices, and only links leave the comparison.
+    """
+    full = placed.join(sets.select("cls", "x"), "cls").withColumn("blk", F.pmod(F.xxhash64("cls", F.lit(3)), F.ceil(F.col("m") / BLOCK)))
+    blocks = full.groupBy("key", "blk").agg(F.collect_list(F.struct("cls", "comp", "x")).alias("own"))
+    pairs = blocks.join(blocks.select("key", F.col("blk").alias("other"), F.col("own").alias("theirs")), "key").where("blk <= other").select("own", "theirs")
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                a, b = _links(row["own"], row["theirs"], num, den)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return pairs.mapInArrow(run, "a long, b long").distinct()
+
+
+def _links(own: list[dict], theirs: list[dict], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of the two blocks, of different components, that are similar enough."""
+    mine, others = [np.frombuffer(r["x"], np.uint64) for r in own], [np.frombuffer(r["x"], np.uint64) for r in theirs]
+    na, nb = np.array([len(x) for x in mine]), np.array([len(x) for x in others])
+    ka, kb = np.concatenate(mine), np.concatenate(others)
+    ra, rb = np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)
+    shared = np.intersect1d(ka, kb)
+    both = np.zeros((len(na), len(nb)))
+    pa_, pb_ = np.searchsorted(shared, ka), np.searchsorted(shared, kb)
+    ina, inb = pa_ < len(shared), pb_ < len(shared)
+    ina[ina] = shared[pa_[ina]] == ka[ina]
+    inb[inb] = shared[pb_[inb]] == kb[inb]
+    pa_, ra, pb_, rb = pa_[ina], ra[ina], pb_[inb], rb[inb]
+    for lo in range(0, len(shared), 16_384):   # the shared shingles a slice at a time, to bound memory
+        x, y = np.zeros((len(na), 16_384), np.float32), np.zeros((len(nb), 16_384), np.float32)
+        for matrix, place, row in ((x, pa_, ra), (y, pb_, rb)):
+            here = (place >= lo) & (place < lo + 16_384)
+            matrix[row[here], place[here] - lo] = 1
+        width = min(16_384, len(shared) - lo)
+        both += x[:, :width] @ y[:, :width].T
+    comp_a, comp_b = np.array([r["comp"] for r in own]), np.array([r["comp"] for r in theirs])
+    i, j = np.nonzero((den * both >= num * (na[:, None] + nb[None, :] - both)) & (comp_a[:, None] != comp_b[None, :]))
+    return np.array([r["cls"] for r in own], np.int64)[i], np.array([r["cls"] for r in theirs], np.int64)[j]

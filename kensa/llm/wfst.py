@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
-WORDS_KEPT = 400_000       # words a worker remembers; the table is emptied when full
+WORDS_KEPT = 1_000_000       # words a worker remembers; the table is emptied when full
 UNKNOWN_COST = 1000.0      # cost of an arc through byte fallback
 _USER_DEFINED = (4,)
 _NORMAL = (1, 4)
