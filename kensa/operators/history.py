@@ -27,7 +27,7 @@ def next_turns(history: DataFrame, role: str, text_col) -> DataFrame:
 
 def clear_history(spark, table: str) -> None:
     """Empty the history table, keeping its schema and location."""
-    spark.sql(f"TRUNCATE TABLE {table}")
+    spark.createDataFrame([], spark.table(table).schema).write.mode("overwrite").insertInto(table)
 
 
 def normalise_role(df: DataFrame, role: str = "role") -> DataFrame:

@@ -73,10 +73,12 @@ def dense_rank_desc(df: DataFrame, value_col: str, out: str = "rank", max_rows:
     m, small = checked_small(df, max_rows or BROADCAST_ROW_LIMIT)
     if small:
         return m.withColumn(out, F.dense_rank().over(Window.orderBy(F.desc(value_col))))
-    # Nulls get their own value below every number, so they rank last.
+    # The window's order: NaN above every number, nulls below every number.
     key = F.when(F.col(value_col).isNull(), F.lit(1)).otherwise(F.lit(0))
     values = (m.select(value_col).distinct()
-               .withColumn("_null", key).withColumn("_neg", -F.col(value_col)))
-    ranks = number_rows(values, [], ["_null", "_neg"], out=out).select(value_col, out)
+               .withColumn("_null", key)
+              .withColumn("_nan", F.when(F.isnan(F.col(value_col).cast("double")), F.lit(0)).otherwise(F.lit(1)))
+              .withColumn("_neg", -F.col(value_col)))
+    ranks = number_rows(values, [], ["_null", "_nan", "_neg"], out=out).select(value_col, out)
     ranked = m.join(ranks, m[value_col].eqNullSafe(ranks[value_col]), "left").drop(ranks[value_col])
     return ranked.select(*m.columns, F.col(out).cast("int").alias(out))

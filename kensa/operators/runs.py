@@ -12,22 +12,23 @@ from kensa.functions.scalar import RUN_STAMP_PATTERN, parse_stamp, run_stamp
 _DAY_US = 86_400_000_000
 
 
-def filter_runs(df: DataFrame, object_type: str = "EXPERIMENT", contains: str = "automl") -> DataFrame:
+def filter_runs(df: DataFrame, object_type: str, contains: str = "automl") -> DataFrame:
     """Entries of one type whose path contains ``contains`` and a run stamp."""
     return df.where((F.col("object_type") == object_type)
                     & F.col("path").contains(contains)
                     & F.col("path").rlike(RUN_STAMP_PATTERN))
 
 
-def latest_run(df: DataFrame) -> DataFrame:
-    """The entry with the greatest path text (not the latest parsed time).
+def latest_run(df: DataFrame, ties: str = "run_key") -> DataFrame:
+    """The entry with the greatest path text (not the latest parsed time);
+    of equal paths the smallest ``ties`` column.
     Planned as a top-1 (``TakeOrderedAndProject``), never a full sort."""
-    return df.orderBy(F.desc("path")).limit(1)
+    return df.orderBy(F.desc("path"), F.asc(ties)).limit(1)
 
 
-def require_latest_run(df: DataFrame) -> dict:
+def require_latest_run(df: DataFrame, ties: str = "run_key") -> dict:
     """T1 with the reference's failure: error when there is no run at all."""
-    rows = latest_run(df).collect()  # at most one row
+    rows = latest_run(df, ties).collect()  # at most one row
     if not rows:
         raise LookupError("no run found: run the training job first")
     return rows[0].asDict()

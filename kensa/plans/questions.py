@@ -23,9 +23,10 @@ def a1(spark, sf_dir):
 @register("A2_anomaly_counts", v.with_views(["inspection"], """
 SELECT k AS kind, CAST(count(*) AS BIGINT) AS n
 FROM (SELECT trim(unnest(string_split(kind, ','))) AS k FROM inspection WHERE label = 'damaged')
-GROUP BY k"""))
+WHERE k <> 'bent' GROUP BY k"""))
 def a2(spark, sf_dir):
-    return an.anomaly_counts(v.inspection(spark, sf_dir))
+    """The kinds other than bent."""
+    return an.anomaly_counts(v.inspection(spark, sf_dir), exclude=["bent"])
 
 
 _BY_LINE_SQL = """

@@ -63,7 +63,7 @@ def p5(spark, sf_dir):
 SELECT run_key, object_type, path FROM runs
 WHERE object_type = 'EXPERIMENT' AND contains(path, 'automl') AND regexp_matches(path, '{RUN_PATTERN_SQL}')"""))
 def p6(spark, sf_dir):
-    return rn.filter_runs(v.runs(spark, sf_dir))
+    return rn.filter_runs(v.runs(spark, sf_dir), "EXPERIMENT")
 
 
 @register("P7_prefix_filter", "SELECT p_partkey, p_name FROM part WHERE p_name IS NOT NULL AND starts_with(p_name, 'red')")
@@ -181,9 +181,9 @@ def s7(spark, sf_dir):
 @register("T1_latest_run", v.with_views(["runs"], f"""
 SELECT run_key, object_type, path FROM runs
 WHERE object_type = 'EXPERIMENT' AND contains(path, 'automl') AND regexp_matches(path, '{RUN_PATTERN_SQL}')
-ORDER BY path DESC LIMIT 1"""))
+ORDER BY path DESC, run_key LIMIT 1"""))
 def t1(spark, sf_dir):
-    return rn.latest_run(rn.filter_runs(v.runs(spark, sf_dir)))
+    return rn.latest_run(rn.filter_runs(v.runs(spark, sf_dir), "EXPERIMENT"))
 
 
 @register("T2_staleness", v.with_views(["runs"], f"""
@@ -194,7 +194,7 @@ FROM (SELECT run_key, path, try_strptime(regexp_extract(path, '{RUN_PATTERN_SQL}
       FROM runs WHERE object_type = 'EXPERIMENT' AND contains(path, 'automl')
         AND regexp_matches(path, '{RUN_PATTERN_SQL}'))"""))
 def t2(spark, sf_dir):
-    df = rn.filter_runs(v.runs(spark, sf_dir)).select("run_key", "path")
+    df = rn.filter_runs(v.runs(spark, sf_dir), "EXPERIMENT").select("run_key", "path")
     return rn.staleness(df, AS_OF, 30)
 
 

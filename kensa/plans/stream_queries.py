@@ -15,7 +15,8 @@ from kensa.streaming import streams as st
 def events_verdict_stream(spark, sf_dir: str):
     """Events arriving as files -> inspection view -> verdict."""
     schema = table(spark, sf_dir, "events").schema
-    events = st.stream_table_files(spark, sf_dir, schema, glob="events.parquet")
+    # a glob of one name: the table may be one file or a folder of part files
+    events = st.stream_table_files(spark, sf_dir.rstrip("/") + "/{events.parquet}", schema)
     return st.stream_verdicts(v.inspection_of(events).select("item_id", "label"))
 
 

@@ -54,12 +54,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (tests on one machine) do we pick a folder ourselves.
+    The cluster names it in ``spark.checkpoint.dir``; only a session on one
+    machine (tests) may leave it unset, elsewhere that is an error.
     """
     sc = _context(spark)
     path = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getConf().get(CHECKPOINT_CONF, None) if sc else None)
     if not path:
+        if sc is None or not sc.master.split("[")[0] == "local":
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         path = os.path.join(tempfile.gettempdir(), f"kensa-ckpt-{uuid.uuid4().hex[:8]}")
         spark.conf.set(CHECKPOINT_CONF, path)
     if sc is not None and sc.getCheckpointDir() is None:

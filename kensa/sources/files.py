@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-# Fixed value: the scan-time glob for supported image files.
-IMAGE_GLOB = "*.{jpg,jpeg,png,JPG,JPEG,PNG}"
+# Fixed value: the scan-time glob for supported image files, in any letter case.
+IMAGE_GLOB = "*.{[jJ][pP][gG],[jJ][pP][eE][gG],[pP][nN][gG]}"
 
 ANNOTATION_SCHEMA = T.StructType([
     T.StructField("image", T.StringType()),

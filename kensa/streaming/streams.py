@@ -93,8 +93,8 @@ def start_append(df: DataFrame, name: str, path: str, fmt: str = "parquet",
 # ---- X3-X5: managing running streams --------------------------------------------
 
 def _matches(q: StreamingQuery, prefix: str) -> bool:
-    """P7's rule: an empty prefix matches every stream, also unnamed ones."""
-    return prefix == "" or (q.name is not None and q.name.startswith(prefix))
+    """Prefix test on the name; a stream without one is read as the empty text."""
+    return (q.name or "").startswith(prefix)
 
 
 def matching_streams(spark: SparkSession, prefix: str = "") -> list[StreamingQuery]:
@@ -150,13 +150,17 @@ def await_streams(spark: SparkSession, prefix: str = "", timeout: float = 60.0)
     return True
 
 
-def drain(df: DataFrame, name: str, out_path: str, timeout: float = 600.0,
+def drain(df: DataFrame, name: str, out_path: str, timeout: float | None = None,
           checkpoint: str | None = None) -> DataFrame:
-    """Run a stream over everything available now, then read its output."""
+    """Run a stream over everything available now, then read its output with
+    the stream's schema (an empty input gives an empty table).  There is no
+    time limit unless one is given."""
     q = start_append(df, name, out_path, available_now=True, checkpoint=checkpoint)
-    if not q.awaitTermination(timeout):
+    if timeout is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout):
         q.stop()
         raise TimeoutError(f"stream {name} did not finish in {timeout}s")
     if q.exception() is not None:
         raise q.exception()
-    return df.sparkSession.read.parquet(out_path)
+    return df.sparkSession.read.schema(df.schema).parquet(out_path)

@@ -92,3 +92,11 @@ def test_dense_rank_small_and_large_paths_agree(spark):
     large = {r.k: r.rank for r in dense_rank_desc(df, "n", max_rows=3).collect()}
     assert small == large
     assert small[100] == 14 and min(small.values()) == 1
+
+
+def test_dense_rank_is_the_same_at_every_size(spark):
+    from kensa.operators.numbering import dense_rank_desc
+    df = spark.createDataFrame([(1, float("nan")), (2, 2.0), (3, 1.0), (4, None), (5, 2.0)], "k int, n double")
+    small = {r.k: r["rank"] for r in dense_rank_desc(df, "n").collect()}
+    large = {r.k: r["rank"] for r in dense_rank_desc(df, "n", max_rows=1).collect()}
+    assert small == large == {1: 1, 2: 2, 5: 2, 3: 3, 4: 4}

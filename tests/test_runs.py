@@ -16,7 +16,7 @@ def test_filter_and_latest_by_path_text(spark):
         (4, "EXPERIMENT", "/x/zz/automl_no_stamp"),
         (5, "EXPERIMENT", "/x/zzz/run_2024-05-01_00:00:00"),  # no 'automl'
     ], RUNS)
-    f = rn.filter_runs(df)
+    f = rn.filter_runs(df, "EXPERIMENT")
     assert sorted(r.run_key for r in f.collect()) == [1, 2]
     assert rn.latest_run(f).first().run_key == 1
     assert rn.require_latest_run(f)["run_key"] == 1

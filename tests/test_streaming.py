@@ -70,3 +70,10 @@ def test_streamed_scores_equal_batch(spark, image_tree):
     assert s == b and len(s) == len(files) + 1
     bad = streamed.where(F.col("error").isNotNull()).first()
     assert bad.verdict is None and bad.origin.endswith("broken.jpg")
+
+
+def test_stream_reads_a_table_folder(spark, tmp_path):
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    out = st.drain(events_verdict_stream(spark, str(tmp_path)), "t_folder", scratch_path(spark, "tf"), checkpoint=scratch_path(spark, "tfc"))
+    assert out.count() == events.count() > 0
