@@ -34,6 +34,7 @@ ROWS = 5
 N_BANDS = 2 * N_PERMUTATIONS // ROWS
 SLACK = 0.2            # how far below the threshold a signature may agree
 BLOCK = 128            # classes of a block in the comparison across components
+BLOCK_BYTES = 8 << 20  # and bytes of their sets
 
 _RNG = np.random.default_rng(77)
 _MUL = _RNG.integers(0, 2**32, N_PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -186,8 +187,8 @@ def groups(df: DataFrame, k: int, num: int = 80, den: int = 100, key: str = "doc
     placed = buckets.withColumn("comp", F.col("cls")) if found is None else \
         buckets.join(found, F.col("cls") == F.col("node"), "left").select("key", "cls", F.coalesce("component", "cls").alias("comp"))
     placed = common.scratch(placed, "placed")
-    split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo != hi").select("key", "m")
-    new = common.scratch(_across(placed.join(split, "key"), sets, num, den), "pairs")
+    split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
+    new = common.scratch(_across(common.scratch(placed.join(split, "key"), "split"), sets, light, num, den), "pairs")
     if not new.isEmpty():
         found = common.smallest_labels(links.unionByName(new))
     members = some.select("doc_id", "f1", "f2").distinct().join(classes.select("f1", "f2", "cls"), ["f1", "f2"])
@@ -205,16 +206,28 @@ def _unique(sets: DataFrame) -> bool:
     return n["n"] == n["m"]
 
 
-def _across(placed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between classes that share a bucket (key, cls, comp, bucket size m) and are in different components.
+def _across(placed: DataFrame, sets: DataFrame, light: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between classes that share a bucket (key, cls, comp) and are in different components.
 
-    A bucket is cut into blocks of about ``BLOCK`` classes by a hash; every two
-    blocks of a bucket are compared by matrix products of their membership
-    matrices, and only links leave the comparison.
+    A bucket is cut by a hash into blocks of about ``BLOCK`` classes, or fewer where
+    their sets are large.  In a bucket of several blocks the largest component lies
+    apart from the others: its blocks need no comparison among themselves, so a large
+    group that is one component costs only its outsiders times its size.  The other
+    pairs of blocks are compared, first on signatures, then by matrix products of
+    their membership matrices, and only links leave.
     """
-    full = placed.join(sets.select("cls", "x"), "cls").withColumn("blk", F.pmod(F.xxhash64("cls", F.lit(3)), F.ceil(F.col("m") / BLOCK)))
-    blocks = full.groupBy("key", "blk").agg(F.collect_list(F.struct("cls", "comp", "x")).alias("own"))
-    pairs = blocks.join(blocks.select("key", F.col("blk").alias("other"), F.col("own").alias("theirs")), "key").where("blk <= other").select("own", "theirs")
+    sized = placed.join(sets.select("cls", F.octet_length("x").alias("b")), "cls")
+    main = sized.groupBy("key", "comp").agg(F.count("*").alias("c"), F.sum("b").alias("b")) \
+        .withColumn("c", F.greatest(F.col("c") / BLOCK, F.col("b") / BLOCK_BYTES)) \
+        .groupBy("key").agg(F.max(F.struct("c", "comp")).alias("main"), F.sum("c").alias("all"))
+    inner = (F.col("comp") == F.col("main.comp")) & (F.col("all") > 1)
+    cut = placed.join(main, "key").withColumn("inner", inner) \
+        .withColumn("of", F.when(F.col("all") <= 1, 1).when(F.col("inner"), F.col("main.c")).otherwise(F.col("all") - F.col("main.c"))) \
+        .select("key", "cls", "comp", "inner", F.pmod(F.xxhash64("cls", F.lit(3)), F.ceil("of")).alias("blk"))
+    full = cut.join(sets.select("cls", "x"), "cls").join(light.select("cls", "sig"), "cls")
+    blocks = full.groupBy("key", "inner", "blk").agg(F.collect_list(F.struct("cls", "comp", "sig", "x")).alias("own"))
+    pairs = blocks.where("not inner").select("key", F.col("blk").alias("other"), F.col("own").alias("theirs")).join(blocks, "key") \
+        .where("inner or blk <= other").select("own", "theirs")
 
     def run(batches):
         for batch in batches:
@@ -229,6 +242,14 @@ def _across(placed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 def _links(own: list[dict], theirs: list[dict], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of the two blocks, of different components, that are similar enough."""
+    signed = [np.frombuffer(b"".join(r["sig"] for r in rows), np.uint16).reshape(len(rows), -1) for rows in (own, theirs)]
+    comps = [np.array([r["comp"] for r in rows]) for rows in (own, theirs)]
+    near = np.stack([(s == signed[1]).mean(1) for s in signed[0]]) >= num / den - SLACK
+    near &= comps[0][:, None] != comps[1][None, :]
+    if not near.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    own = [own[i] for i in np.flatnonzero(near.any(1))]
+    theirs = [theirs[j] for j in np.flatnonzero(near.any(0))]
     mine, others = [np.frombuffer(r["x"], np.uint64) for r in own], [np.frombuffer(r["x"], np.uint64) for r in theirs]
     na, nb = np.array([len(x) for x in mine]), np.array([len(x) for x in others])
     ka, kb = np.concatenate(mine), np.concatenate(others)
