@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 WORDS_KEPT = 1_000_000       # words a worker remembers; the table is emptied when full
+PAIRS_KEPT = 2_000_000       # and pairs of pieces
 UNKNOWN_COST = 1000.0      # cost of an arc through byte fallback
 _USER_DEFINED = (4,)
 _NORMAL = (1, 4)
@@ -113,7 +114,6 @@ class Machine:
                 if len(word) <= 64:
                     if len(words) >= WORDS_KEPT:
                         words.clear()
-                        self.allowed.clear()
                     words[word] = ids
             out += ids
         return out
@@ -156,35 +156,51 @@ class Machine:
         return out[::-1]
 
     def merge_path(self, text: str) -> list[int]:
-        """``shortest_path`` of a BPE model: all arcs cost 0 or nothing, so a position has one state."""
-        n, ids, prefixes, allowed = len(text), self.ids, self.prefixes, self.allowed
-        reached: list[tuple[str, int] | None] = [None] * (n + 1)   # last piece, where it starts
-        reached[0] = ("", -1)
-        for at in range(n):
-            state = reached[at]
-            if state is None:
-                continue
-            last = state[0]
-            for end in range(at + 1, min(n, at + self.longest) + 1):
-                piece = text[at:end]
-                if end > at + 1:
+        """``shortest_path`` of a BPE model: all arcs cost 0 or nothing, so a position has one state.
+
+        Depth first, longest piece first; a position reached before is not tried again.
+        """
+        n, ids, prefixes, allowed, longest = len(text), self.ids, self.prefixes, self.allowed, self.longest
+        reached = bytearray(n + 1)
+        path: list[str] = []
+        waiting: list[tuple[int, str, list[str]]] = []   # position, last piece, pieces not yet tried
+        at, last, found = 0, "", None
+        while at < n:
+            if found is None:
+                found = [text[at]]
+                for end in range(at + 2, min(n, at + longest) + 1):
+                    piece = text[at:end]
                     if piece not in prefixes:
                         break
-                    if piece not in ids:
-                        continue
-                if reached[end] is None and (not last or (allowed[last, piece] if (last, piece) in allowed else self.pair(last, piece))):
-                    reached[end] = (piece, at)
+                    if piece in ids:
+                        found.append(piece)
+            while found:
+                piece = found.pop()
+                end = at + len(piece)
+                if not reached[end]:
+                    ok = not last or allowed.get((last, piece))
+                    if ok is None:
+                        ok = self.pair(last, piece)
+                    if ok:
+                        waiting.append((at, last, found))
+                        path.append(piece)
+                        reached[end] = 1
+                        at, last, found = end, piece, None
+                        break
+            else:
+                at, last, found = waiting.pop()
+                path.pop()
         out: list[int] = []
-        end = n
-        while end > 0:
-            piece, end = reached[end]
-            out += [ids[piece]] if piece in ids else [self.bytes_.get(b, self.unknown) for b in reversed(piece.encode())]
-        return out[::-1]
+        for piece in path:
+            out += [ids[piece]] if piece in ids else [self.bytes_.get(b, self.unknown) for b in piece.encode()]
+        return out
 
     def pair(self, left: str, right: str) -> bool:
         """Whether merging the characters of both pieces ends in these two pieces."""
         known = self.allowed.get((left, right))
         if known is None:
+            if len(self.allowed) >= PAIRS_KEPT:
+                self.allowed.clear()
             known = self.allowed[left, right] = left + right not in self.ids and self.merge(left + right) == [left, right]
         return known
 
