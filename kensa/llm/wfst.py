@@ -14,7 +14,7 @@ machine over pieces (weight 0 if the pair is allowed, else infinite), so the
 state of the path is (position, last piece), and one path survives.
 
 No piece continues past a word mark that follows another character, so the
-lattice falls into words; words met before are kept in a bounded table.
+lattice falls into words; words met before are kept in bounded tables.
 
 Null text gives null ids, an empty text an empty list.  Decoding joins pieces,
 turns byte pieces into UTF-8 and word marks into blanks, and drops the first
@@ -26,16 +26,18 @@ from __future__ import annotations
 import re
 import struct
 import unicodedata
+from array import array
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
-WORDS_KEPT = 1_000_000       # words a worker remembers; the table is emptied when full
-PAIRS_KEPT = 2_000_000       # and pairs of pieces
+WORDS_KEPT = 200_000       # words in each of two tables; when the newer is full it becomes the older
+PAIRS_KEPT = 250_000       # pairs of pieces; emptied when full
 UNKNOWN_COST = 1000.0      # cost of an arc through byte fallback
 _USER_DEFINED = (4,)
 _NORMAL = (1, 4)
@@ -83,11 +85,12 @@ class Machine:
     squeeze: bool                      # repeated and outer blanks are removed
     compatible: bool                   # characters are put into compatibility form
     spelt: list[bytes]                 # what each id decodes to
-    words: dict[str, list[int]] = field(default_factory=dict)
+    words: dict[str, bytes] = field(default_factory=dict)
+    older: dict[str, bytes] = field(default_factory=dict)
     allowed: dict[tuple[str, str], bool] = field(default_factory=dict)
 
     def __getstate__(self):
-        return self.__dict__ | {"words": {}, "allowed": {}}
+        return self.__dict__ | {"words": {}, "older": {}, "allowed": {}}
 
     def normalise(self, text: str) -> str:
         """The normaliser: character map, blanks, front mark."""
@@ -105,15 +108,22 @@ class Machine:
         return text[1:] if self.front and text.startswith(" ") else text
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+        return np.frombuffer(self.packed_ids(text), np.int32).tolist()
+
+    def packed_ids(self, text: str) -> bytearray:
+        """The piece ids as 32-bit numbers."""
+        out = bytearray()
         words = self.words
         for word in _WORD.findall(self.normalise(text)):
             ids = words.get(word)
             if ids is None:
-                ids = self.merge_path(word) if self.kind == BPE else self.shortest_path(word)
+                ids = self.older.get(word)
+                if ids is None:
+                    ids = array("i", self.merge_path(word) if self.kind == BPE else self.shortest_path(word)).tobytes()
                 if len(word) <= 64:
                     if len(words) >= WORDS_KEPT:
-                        words.clear()
+                        self.older, self.words = words, {}
+                        words = self.words
                     words[word] = ids
             out += ids
         return out
@@ -280,7 +290,10 @@ def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", no
             for lo in range(0, batch.num_rows, 256):
                 rows = batch.slice(lo, 256)
                 texts = rows.column(kept.index(text)).to_pylist()
-                out = [*rows.columns, pa.array([None if t is None else m.encode(t) for t in texts], pa.list_(pa.int32()))]
+                packed = [None if t is None else m.packed_ids(t) for t in texts]
+                ends = np.cumsum([0, *[len(p or b"") // 4 for p in packed]])
+                values = pa.array(np.frombuffer(b"".join(p for p in packed if p), np.int32))
+                out = [*rows.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=pa.array([p is None for p in packed]))]
                 if normal:
                     out.append(pa.array([None if t is None else m.plain(t) for t in texts], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=[*kept, ids, *([normal] if normal else [])])
