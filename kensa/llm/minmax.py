@@ -233,23 +233,25 @@ def _across(placed: DataFrame, sets: DataFrame, light: DataFrame, num: int, den:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                a, b = _links(row["own"], row["theirs"], num, den)
+                own, theirs = _near(row["own"], row["theirs"], num / den - SLACK)
+                a, b = _links(own, theirs, num, den) if own else ([], [])
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long").distinct()
 
 
+def _near(own: list[dict], theirs: list[dict], least: float) -> tuple[list[dict], list[dict]]:
+    """The members of two blocks whose signature agrees enough with one of another component."""
+    x, y = (np.frombuffer(b"".join(r["sig"] for r in rows), np.uint16).reshape(len(rows), -1) for rows in (own, theirs))
+    comp_x, comp_y = (np.array([r["comp"] for r in rows]) for rows in (own, theirs))
+    near = np.stack([(s == y).mean(1) for s in x]) >= least
+    near &= comp_x[:, None] != comp_y[None, :]
+    return [own[i] for i in np.flatnonzero(near.any(1))], [theirs[j] for j in np.flatnonzero(near.any(0))]
+
+
 def _links(own: list[dict], theirs: list[dict], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of the two blocks, of different components, that are similar enough."""
-    signed = [np.frombuffer(b"".join(r["sig"] for r in rows), np.uint16).reshape(len(rows), -1) for rows in (own, theirs)]
-    comps = [np.array([r["comp"] for r in rows]) for rows in (own, theirs)]
-    near = np.stack([(s == signed[1]).mean(1) for s in signed[0]]) >= num / den - SLACK
-    near &= comps[0][:, None] != comps[1][None, :]
-    if not near.any():
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    own = [own[i] for i in np.flatnonzero(near.any(1))]
-    theirs = [theirs[j] for j in np.flatnonzero(near.any(0))]
     mine, others = [np.frombuffer(r["x"], np.uint64) for r in own], [np.frombuffer(r["x"], np.uint64) for r in theirs]
     na, nb = np.array([len(x) for x in mine]), np.array([len(x) for x in others])
     ka, kb = np.concatenate(mine), np.concatenate(others)
