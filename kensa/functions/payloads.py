@@ -75,6 +75,15 @@ def parse_predictions(df: DataFrame, col: str = "response", keep: tuple = ()) ->
     return df.select(*keep, F.inline(parsed["predictions"]))
 
 
+def parse_predictions_or_error(df: DataFrame, col: str = "response", keep: tuple = ()) -> DataFrame:
+    """C13 with C20: as ``parse_predictions``, but a response without
+    predictions keeps one row, with an ``error`` text when it is broken
+    (null for an empty list)."""
+    parsed = F.from_json(F.col(col), PREDICTION_SCHEMA)
+    error = F.when(parsed["predictions"].isNull(), F.lit("unreadable response"))
+    return df.select(*keep, error.alias("error"), F.inline_outer(parsed["predictions"]))
+
+
 def first_prediction(df: DataFrame, col: str = "response", out: str = "prediction") -> DataFrame:
     """P10: the first prediction of a response, null for an empty list or
     broken text."""

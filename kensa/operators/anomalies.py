@@ -72,23 +72,26 @@ def anomaly_counts(df: DataFrame, exclude: list[str] | None = None) -> DataFrame
 
 def anomalies_by_line(inspections: DataFrame, production: DataFrame,
                       kind: str | None = None) -> DataFrame:
-    """Anomaly count and number of distinct units per (line, kind).
+    """Anomaly count and number of distinct items and units per (line, kind).
 
     Counts are first reduced to one row per (unit, kind) -- map-side partial
     aggregation, so a unit that makes a third of all items costs one row --
     and only then joined to the production table.  The join is a plain equi
     join: AQE turns it into a broadcast when the reduced side is small and
     splits skewed partitions otherwise.  Units with no production row keep
-    a null line instead of being dropped.
+    a null line instead of being dropped.  An item is made by one unit, so its
+    distinct items add up over units.
     """
-    anom = anomalies(inspections).select("unit_id", F.explode(_kinds()).alias("kind"))
+    anom = anomalies(inspections).select("unit_id", "item_id", F.explode(_kinds()).alias("kind"))
     if kind is not None:
         anom = anom.where(F.col("kind") == kind)
-    per_unit = anom.groupBy("unit_id", "kind").agg(F.count(F.lit(1)).alias("n"))
+    per_unit = anom.groupBy("unit_id", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("item_id").alias("n_distinct"))
     lines = production.select("unit_id", "line")
     joined = per_unit.join(lines, "unit_id", "left")
     return joined.groupBy("line", "kind").agg(
-        F.sum("n").alias("n_anomalies"), F.count(F.lit(1)).alias("n_units"))
+        F.sum("n").alias("n_anomalies"), F.sum("n_distinct").alias("n_items"),
+        F.count(F.lit(1)).alias("n_units"))
 
 
 def rank_lines(by_line: DataFrame, kind: str) -> DataFrame:

@@ -84,6 +84,12 @@ def check_names(df: DataFrame, col: str, reserved=RESERVED_CATALOGS) -> DataFram
     return df.withColumn(col, checked.cast(df.schema[col].dataType))
 
 
+def flag_names(df: DataFrame, col: str, reserved=RESERVED_CATALOGS, out: str = "error") -> DataFrame:
+    """P12 without stopping the job: an error text beside each reserved name,
+    null beside the others."""
+    return df.withColumn(out, F.when(F.col(col).isin(*reserved), F.concat(F.lit("reserved name: "), F.col(col))))
+
+
 def check_name(name: str, reserved=RESERVED_CATALOGS) -> str:
     """P12 on the driver, for a single configuration value."""
     if name in reserved:

@@ -2,8 +2,8 @@
 
 Input is Spark's ``image`` struct (``origin, height, width, nChannels, mode,
 data``) with BGR(A) byte order, or our RGB pixel struct ``(height, width,
-channels, data)``.  Per-image work is a few NumPy lines inside Arrow-batched
-pandas UDFs, so pixels cross to Python once per batch, on the executors.
+channels, data)``.  Per-image work is a few NumPy lines inside Arrow jobs
+(``mapInArrow``) that work on at most ``BATCH_ROWS`` images at a time.
 The same nearest-neighbour resize, margin crop, scaling and normalisation
 also exist as SQL array expressions (``*_array``) that stay in the JVM; the
 tests check that both forms agree.
@@ -14,7 +14,6 @@ from __future__ import annotations
 import functools
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,88 +150,91 @@ def normalise_np(t: np.ndarray, mean=MEAN, std=STD) -> np.ndarray:
 def training_tensor_np(img: np.ndarray) -> np.ndarray:
     return normalise_np(to_tensor_np(center_crop_np(resize_short_np(img))))
 
-# ---- Spark: pandas UDFs over pixel structs ------------------------------------
+# ---- Spark: Arrow jobs over pixel structs, in pieces of at most BATCH_ROWS rows ----
 
 
-def _pixels_out(imgs: list) -> pd.DataFrame:
-    return pd.DataFrame({
-        "height": [None if a is None else a.shape[0] for a in imgs],
-        "width": [None if a is None else a.shape[1] for a in imgs],
-        "channels": [None if a is None else a.shape[2] for a in imgs],
-        "data": [None if a is None else a.tobytes() for a in imgs]})
+def _pixels_out(imgs: list):
+    import pyarrow as pa
+    shapes = [(None, None, None) if a is None else a.shape for a in imgs]
+    cols = [pa.array([x[i] for x in shapes], pa.int32()) for i in range(3)]
+    cols.append(pa.array([None if a is None else a.tobytes() for a in imgs], pa.binary()))
+    return pa.StructArray.from_arrays(cols, names=["height", "width", "channels", "data"],
+                                      mask=pa.array([a is None for a in imgs]))
 
 
-def _pixels_in(pdf: pd.DataFrame) -> list:
-    out = []
-    for h, w, c, d in zip(pdf["height"], pdf["width"], pdf["channels"], pdf["data"]):
-        if d is None or h is None or h < 1:
-            out.append(None)
-        else:
-            out.append(np.frombuffer(d, dtype=np.uint8).reshape(int(h), int(w), int(c)))
-    return out
+def _tensors_out(tensors: list):
+    import pyarrow as pa
+    sizes = [0 if t is None else t.size for t in tensors]
+    kept = [t.ravel() for t in tensors if t is not None]
+    values = pa.array(np.concatenate(kept) if kept else np.zeros(0, np.float32), pa.float32())
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), values,
+                                    mask=pa.array([t is None for t in tensors]))
 
 
-@F.pandas_udf(PIXELS)
-def _to_rgb_udf(img: pd.DataFrame) -> pd.DataFrame:
-    out = []
-    for h, w, c, d in zip(img["height"], img["width"], img["nChannels"], img["data"]):
-        ok = d is not None and h is not None and h > 0 and w > 0
-        out.append(image_to_rgb(int(h), int(w), int(c), d) if ok else None)
-    return _pixels_out(out)
+def _pixels_in(column) -> list:
+    return [None if p is None or p["data"] is None or not p["height"] else
+            np.frombuffer(p["data"], dtype=np.uint8).reshape(p["height"], p["width"], p["channels"])
+            for p in column.to_pylist()]
 
 
-def to_rgb(df: DataFrame, image: str = "image", out: str = "pixels") -> DataFrame:
-    """Decoded image -> RGB pixels (gray repeated, alpha dropped).
-    Unreadable images give null pixels."""
+def _rgb_in(column) -> list:
+    return [None if p is None or p["data"] is None or p["height"] is None or p["height"] < 1 or p["width"] < 1 else
+            image_to_rgb(p["height"], p["width"], p["nChannels"], p["data"]) for p in column.to_pylist()]
+
+
+def _in_pieces(df: DataFrame, col: str, out: str, dtype: T.DataType, read, fn, write) -> DataFrame:
+    """``df`` with column ``out`` = ``fn`` of each image of ``col``.  Arrow batches
+    are cut to ``BATCH_ROWS`` rows before any pixel is produced, and each piece
+    is sent back by itself, so a task holds the output of one piece only."""
     ship_package(df.sparkSession)
-    return spread(df).withColumn(out, _to_rgb_udf(F.col(image)))
+    names = [c for c in df.columns if c != out]
+    at = df.columns.index(col)
 
+    def run(batches):
+        import pyarrow as pa
+        for rb in batches:
+            for lo in range(0, rb.num_rows, BATCH_ROWS):
+                piece = rb.slice(lo, BATCH_ROWS)
+                made = write([None if a is None else fn(a) for a in read(piece.column(at))])
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names), made], names=[*names, out])
 
-def _pixel_udf(fn):
-    @F.pandas_udf(PIXELS)
-    def run(px: pd.DataFrame) -> pd.DataFrame:
-        return _pixels_out([None if a is None else fn(a) for a in _pixels_in(px)])
-    return run
+    schema = T.StructType([*(df.schema[c] for c in names), T.StructField(out, dtype)])
+    order = df.columns if out in df.columns else [*names, out]
+    return df.mapInArrow(run, schema).select(*order)
+
+
+def to_rgb(df: DataFrame, image: str = "image", out: str = "pixels") -> DataFrame:
+    """Decoded image -> RGB pixels (gray repeated, alpha dropped).
+    Unreadable images give null pixels."""
+    return _in_pieces(spread(df), image, out, PIXELS, _rgb_in, lambda a: a, _pixels_out)
 
 
 def square_resize(df: DataFrame, size: int = SCORE_SIZE, col: str = "pixels") -> DataFrame:
     """Centre square crop, nearest resize to ``size`` x ``size``."""
-    ship_package(df.sparkSession)
-    return df.withColumn(col, _pixel_udf(lambda a: square_resize_np(a, size))(F.col(col)))
+    return _in_pieces(df, col, col, PIXELS, _pixels_in, lambda a: square_resize_np(a, size), _pixels_out)
 
 
 def margin_crop(df: DataFrame, margin: float = 0.1, col: str = "pixels") -> DataFrame:
     """Cut ``margin`` of the width / height off each side."""
-    ship_package(df.sparkSession)
-    return df.withColumn(col, _pixel_udf(lambda a: margin_crop_np(a, margin))(F.col(col)))
+    return _in_pieces(df, col, col, PIXELS, _pixels_in, lambda a: margin_crop_np(a, margin), _pixels_out)
 
 
 def resize_center_crop(df: DataFrame, resize: int = TRAIN_RESIZE, crop: int = TRAIN_CROP,
                        col: str = "pixels") -> DataFrame:
     """I4: short side to ``resize`` (bilinear, aspect kept), centre ``crop``."""
-    ship_package(df.sparkSession)
-    fn = lambda a: center_crop_np(resize_short_np(a, resize), crop)
-    return df.withColumn(col, _pixel_udf(fn)(F.col(col)))
-
-
-def _tensor_udf(fn):
-    @F.pandas_udf(TENSOR)
-    def run(px: pd.DataFrame) -> pd.Series:
-        return pd.Series([None if a is None else fn(a).ravel() for a in _pixels_in(px)])
-    return run
+    return _in_pieces(df, col, col, PIXELS, _pixels_in, lambda a: center_crop_np(resize_short_np(a, resize), crop),
+                      _pixels_out)
 
 
 def to_tensor(df: DataFrame, col: str = "pixels", out: str = "tensor") -> DataFrame:
     """Channel-first floats in [0, 1]."""
-    ship_package(df.sparkSession)
-    return df.withColumn(out, _tensor_udf(to_tensor_np)(F.col(col)))
+    return _in_pieces(df, col, out, TENSOR, _pixels_in, to_tensor_np, _tensors_out)
 
 
 def normalise(df: DataFrame, col: str = "pixels", out: str = "tensor", mean=MEAN, std=STD) -> DataFrame:
     """I5 + I6: channel-first floats, normalised per channel."""
-    ship_package(df.sparkSession)
-    fn = lambda a: normalise_np(to_tensor_np(a), mean, std)
-    return df.withColumn(out, _tensor_udf(fn)(F.col(col)))
+    return _in_pieces(df, col, out, TENSOR, _pixels_in, lambda a: normalise_np(to_tensor_np(a), mean, std),
+                      _tensors_out)
 
 # ---- Spark: one pass for training tensors, batched scoring ----------------------
 
@@ -260,25 +262,15 @@ def training_tensors(df: DataFrame, image: str = "image", keep: tuple = ()) -> D
 
     def run(batches):
         import pyarrow as pa
-        for rb in batches:
-            imgs = rb.column(len(keep))
-            rows = imgs.to_pylist()
-            flat, offsets, errors, valid = [], [0], [], []
-            for img in rows:
-                t, err = _tensor_of(img)
-                if err is None:
-                    flat.append(t)
-                    offsets.append(offsets[-1] + t.size)
-                else:
-                    offsets.append(offsets[-1])
-                errors.append(err)
-                valid.append(err is None)
-            values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.float32), pa.float32())
-            mask = pa.array([not v for v in valid])
-            tensor = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=mask)
-            origin = pa.array([None if i is None else i["origin"] for i in rows], pa.string())
-            cols = [rb.column(k) for k in range(len(keep))] + [origin, tensor, pa.array(errors, pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*keep, "origin", "tensor", "error"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, BATCH_ROWS):  # bounds the tensors held at once
+                rb = whole.slice(lo, BATCH_ROWS)
+                rows = rb.column(len(keep)).to_pylist()
+                made = [_tensor_of(img) for img in rows]
+                origin = pa.array([None if i is None else i["origin"] for i in rows], pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [*(rb.column(k) for k in range(len(keep))), origin, _tensors_out([t for t, _ in made]),
+                     pa.array([e for _, e in made], pa.string())], names=[*keep, "origin", "tensor", "error"])
 
     return spread(df.select(*keep, image)).mapInArrow(run, schema)
 

@@ -99,16 +99,23 @@ def feature_importances(model: PipelineModel, feature_cols: list[str]) -> list[t
 
 # ---- M6: the training run ---------------------------------------------------------
 
-def run_training(df: DataFrame, label: str, feature_cols: list[str], split_col: str = "split",
+def run_training(df: DataFrame, label: str, feature_cols: list[str] | None = None, split_col: str = "split",
                  run_id: str | None = None, table: str | None = None,
                  num_trees: int = FOREST_TREES, max_depth: int = FOREST_DEPTH,
-                 seed: int = FOREST_SEED) -> DataFrame:
+                 seed: int = FOREST_SEED, exclude: tuple = ()) -> DataFrame:
     """M6: fit on ``train``, score ``val``, compute the weighted F1 and return
     the run record ``(run_id, metric, value)`` (appended to ``table`` when
-    given).  The split must already be assigned (``splits.assign_split``)."""
+    given).  The split must already be assigned (``splits.assign_split``).
+    Without ``feature_cols`` the table is raw: it is cleaned first (M3) and
+    every column left is a feature but the label, the split and ``exclude``."""
     run_id = run_id or uuid.uuid4().hex
+    if feature_cols is None:
+        df = sanitise(df, split_col, exclude=(label, *exclude))
+        feature_cols = [c for c in df.columns if c not in (label, split_col, *exclude)]
     # Read three times (fit, validation, counts): keep it between the steps.
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    own_cache = not df.is_cached
+    if own_cache:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     train = df.where(F.col(split_col) == "train")
     val = df.where(F.col(split_col) == "val")
     model = fit_forest(train, label, feature_cols, num_trees, max_depth, seed)
@@ -120,7 +127,8 @@ def run_training(df: DataFrame, label: str, feature_cols: list[str], split_col:
               .unionByName(counts.select(F.concat(F.lit("n_"), F.col(split_col)).alias("metric"), "value"))
               .select(F.lit(run_id).alias("run_id"), "metric", "value"))
     record = cut_lineage(record)  # a few rows; computed once, then the cache can go
-    df.unpersist()
+    if own_cache:
+        df.unpersist()
     if table:
         record.write.mode("append").saveAsTable(table)
     return record
@@ -159,6 +167,29 @@ def _square_of(img, size: int) -> np.ndarray:
     return im.square_resize_np(rgb, size)
 
 
+def score_chunk(pdf: pd.DataFrame, model: Scorer, image: str = "image", keep: tuple = (),
+                size: int = im.SCORE_SIZE) -> pd.DataFrame:
+    """One batch of M7: ``keep`` and the columns of ``SCORE_SCHEMA``."""
+    t0 = time.perf_counter()
+    ready, idx, errors = [], [], [None] * len(pdf)
+    for i, img in enumerate(pdf[image]):
+        rgb, errors[i] = _square_of(img, size)
+        if errors[i] is None:
+            ready.append(rgb)
+            idx.append(i)
+    labels, scores = [None] * len(pdf), [None] * len(pdf)
+    try:
+        for i, (lab, sc) in zip(idx, model(ready) if ready else []):
+            labels[i], scores[i] = lab, float(sc)
+    except Exception as e:  # noqa: BLE001 - whole batch failed in the model
+        for i in idx:
+            errors[i] = f"{type(e).__name__}: {e}"
+    out = pdf[list(keep)].reset_index(drop=True).copy()
+    out["label"], out["score"], out["error"] = labels, scores, errors
+    out["elapsed_s"] = (time.perf_counter() - t0) / max(len(pdf), 1)
+    return out
+
+
 def score_images(df: DataFrame, scorer_factory: Callable[[], Scorer], image: str = "image",
                  keep: tuple = (), size: int = im.SCORE_SIZE, batch_rows: int = im.BATCH_ROWS) -> DataFrame:
     """M7: image -> RGB -> centre square, nearest resize -> scorer -> (label,
@@ -173,25 +204,7 @@ def score_images(df: DataFrame, scorer_factory: Callable[[], Scorer], image: str
     def run(batches: Iterable[pd.DataFrame]):
         model = scorer_factory()
         for pdf in im.in_batches(batches, batch_rows):
-            t0 = time.perf_counter()
-            ready, idx, errors = [], [], [None] * len(pdf)
-            for i, img in enumerate(pdf[image]):
-                rgb, errors[i] = _square_of(img, size)
-                if errors[i] is None:
-                    ready.append(rgb)
-                    idx.append(i)
-            labels, scores = [None] * len(pdf), [None] * len(pdf)
-            try:
-                for i, (lab, sc) in zip(idx, model(ready) if ready else []):
-                    labels[i], scores[i] = lab, float(sc)
-            except Exception as e:  # noqa: BLE001 - whole batch failed in the model
-                for i in idx:
-                    errors[i] = f"{type(e).__name__}: {e}"
-            per_row = (time.perf_counter() - t0) / max(len(pdf), 1)
-            out = pdf[list(keep)].reset_index(drop=True).copy()
-            out["label"], out["score"], out["error"] = labels, scores, errors
-            out["elapsed_s"] = per_row
-            yield out
+            yield score_chunk(pdf, model, image, keep, size)
 
     return spread(df.select(*keep, image)).mapInPandas(run, schema)
 

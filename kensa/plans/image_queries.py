@@ -1,6 +1,6 @@
 """Registered image queries: the ``features`` vectors read as 8 x 8
-one-channel images (I1-I7).  Array forms are checked against DuckDB; the
-NumPy jobs are checked by row counts and by the tests."""
+one-channel images (I1-I7), by the array forms and by the operators on image
+tables; both are checked against DuckDB."""
 
 from __future__ import annotations
 
@@ -44,6 +44,61 @@ def i2(spark, sf_dir):
     return _exploded(df, im.square_resize_array(F.col("p"), SIDE, SIDE, UPSCALE))
 
 
+# The same steps through the operators on image tables (RGB, so a gray value
+# stands three times).
+
+_RESIZED_SQL = f"""
+SELECT vec_id, list_transform(range({UPSCALE * UPSCALE}), lambda k:
+         p[CAST(floor((floor(k / {UPSCALE}) + 0.5) * 8 / {UPSCALE}) * 8 + floor((k % {UPSCALE} + 0.5) * 8 / {UPSCALE}) + 1 AS INTEGER)]) AS q
+FROM ({_PIXELS_SQL})"""
+_CROPPED_SQL = f"""
+SELECT vec_id, list_transform(range(49), lambda k: p[CAST(floor(k / 7) * 8 + k % 7 + 1 AS INTEGER)]) AS q FROM ({_PIXELS_SQL})"""
+
+
+def _bytes_sql(source: str, side: int) -> str:
+    return v.with_views(["features"], f"""
+SELECT vec_id, {side} AS height, {side} AS width, 3 AS channels,
+       array_to_string(list_transform(q, lambda x: repeat(lpad(hex(x), 2, '0'), 3)), '') AS data_hex FROM ({source})""")
+
+
+def _bytes(df):
+    return df.select("vec_id", "pixels.height", "pixels.width", "pixels.channels", F.hex("pixels.data").alias("data_hex"))
+
+
+@register("I2_square_resize_images", _bytes_sql(_RESIZED_SQL, UPSCALE))
+def i2_images(spark, sf_dir):
+    return _bytes(im.square_resize(im.to_rgb(_gray_images(spark, sf_dir)), UPSCALE))
+
+
+@register("I3_margin_crop_images", _bytes_sql(_CROPPED_SQL, 7))
+def i3_images(spark, sf_dir):
+    return _bytes(im.margin_crop(im.to_rgb(_gray_images(spark, sf_dir)), 0.1))
+
+
+def _tensor_sql(value: str) -> str:
+    """Three channels of 64 values; 3 decimals round alike in float32 and double."""
+    stats = ", ".join(f"({m}, {sd})" for m, sd in zip(im.MEAN, im.STD))
+    return v.with_views(["features"], f"""
+SELECT vec_id, CAST((c - 1) * 64 + i - 1 AS INTEGER) AS idx, round({value}, 3) AS value
+FROM ({_PIXELS_SQL}) AS px, range(1, 65) AS r(i),
+     (SELECT row_number() OVER () AS c, m, sd FROM (VALUES {stats}) AS s(m, sd)) AS ch""")
+
+
+def _tensor(df):
+    return df.select("vec_id", F.posexplode("tensor").alias("idx", "value")) \
+        .select("vec_id", "idx", F.round(F.col("value").cast("double"), 3).alias("value"))
+
+
+@register("I5_to_tensor_images", _tensor_sql("p[i] / 255.0"))
+def i5_images(spark, sf_dir):
+    return _tensor(im.to_tensor(im.to_rgb(_gray_images(spark, sf_dir))))
+
+
+@register("I6_normalise_images", _tensor_sql("(p[i] / 255.0 - m) / sd"))
+def i6_images(spark, sf_dir):
+    return _tensor(im.normalise(im.to_rgb(_gray_images(spark, sf_dir))))
+
+
 @register("I3_margin_crop", v.with_views(["features"], f"""
 SELECT vec_id, CAST(k AS INTEGER) AS idx, p[CAST(floor(k / 7) * 8 + k % 7 + 1 AS INTEGER)] AS value
 FROM ({_PIXELS_SQL}) AS px, range(0, 49) AS r(k)"""))

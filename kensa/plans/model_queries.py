@@ -4,7 +4,9 @@ A7, I8).  The forest runs on ``features`` with the planted label."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from kensa.operators import images as im
 from kensa.operators import ml
 from kensa.operators import splits as sp
 from kensa.plans import views as v
@@ -45,6 +47,42 @@ def m4(spark, sf_dir):
     return spark.createDataFrame([(i, float(x)) for i, x in enumerate(imp)], "feature int, importance double")
 
 
+# The feature most correlated with the label is the one the forest must find.
+@register("M4_forest_summary", v.with_views(["features"], """
+SELECT max(n) AS n_features, CAST(round(sum(share), 6) AS DOUBLE) AS importance_sum, arg_max(i, r) AS top_feature
+FROM (SELECT *, r / sum(r) OVER () AS share
+      FROM (SELECT i, max(len(embedding)) AS n, abs(corr(embedding[i + 1], planted)) AS r
+            FROM features, range(64) AS s(i) GROUP BY i))"""))
+def m4_summary(spark, sf_dir):
+    return m4(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_features"), F.round(F.sum("importance"), 6).alias("importance_sum"),
+                                 F.max_by("feature", "importance").alias("top_feature"))
+
+
+@register("M5_predict_rows", v.with_views(["features"], f"""
+SELECT vec_id, planted, true AS sums_to_one, true AS known_class
+FROM features WHERE {sp.split_sql('vec_id')} = 'val'"""))
+def m5_rows(spark, sf_dir):
+    df = _split_features(spark, sf_dir)
+    model = ml.fit_forest(df.where(F.col("split") == "train"), "planted", FEATURES)
+    out = ml.predict(model, df.where(F.col("split") == "val"), FEATURES)
+    total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
+    return out.select("vec_id", "planted", (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+                      F.col("prediction").isin(0.0, 1.0).alias("known_class"))
+
+
+@register("M6_training_on_raw_columns", f"""
+WITH s AS (SELECT {sp.split_sql('o_orderkey')} AS split FROM orders)
+SELECT 'n_' || split AS metric, CAST(count(*) AS DOUBLE) AS value, false AS good_f1 FROM s GROUP BY split
+UNION ALL SELECT 'val_f1_score' AS metric, NULL AS value, count(*) > 0 AS good_f1 FROM s""")
+def m6_raw(spark, sf_dir):
+    """Orders as they are (dates, text, numbers), labelled by price: split
+    counts, and whether F1 is at least 0.9."""
+    df = table(spark, sf_dir, "orders").withColumn("costly", (F.col("o_totalprice") > 250000).cast("int"))
+    record = ml.run_training(sp.assign_split(df, "o_orderkey"), "costly", run_id="kensa-m6-raw", exclude=("o_orderkey",))
+    f1 = F.col("metric") == "val_f1_score"
+    return record.select("metric", F.when(~f1, F.col("value")).alias("value"), (f1 & (F.col("value") >= 0.9)).alias("good_f1"))
+
+
 @register("M5_predict")
 def m5(spark, sf_dir):
     df = _split_features(spark, sf_dir)
@@ -77,7 +115,10 @@ def m7(spark, sf_dir):
 @register("I8_score_batches", _SCORE_SQL)
 def i8(spark, sf_dir):
     # An odd batch size must not change any result.
-    return _scored(spark, sf_dir, 7).drop("elapsed_s")
+    schema = T.StructType([T.StructField("vec_id", T.LongType()), *ml.SCORE_SCHEMA.fields])
+    out = im.score_batches(_gray_images(spark, sf_dir), lambda pdf: ml.score_chunk(pdf, ml.BrightnessScorer(), keep=("vec_id",)),
+                           schema, rows=7)
+    return out.drop("elapsed_s")
 
 
 @register("A7_score_timing")

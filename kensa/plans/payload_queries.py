@@ -5,24 +5,24 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kensa.functions import payloads as pl
+from kensa.functions.scalar import RUN_STAMP_PATTERN
 from kensa.functions import scalar as sc
 from kensa.operators.encoding import category_codes
 from kensa.plans import views as v
 from kensa.plans.registry import register
 from kensa.sources.tables import table
 
-RUN_PATTERN_SQL = r"(\d{4}-\d{2}-\d{2}_\d{2}:\d{2}:\d{2})"
 MIRROR_FROM, MIRROR_TO = "https://", "http://mirror."
 
 
 @register("C1_run_stamp", v.with_views(["runs"], f"""
-SELECT run_key, regexp_extract(path, '{RUN_PATTERN_SQL}', 1) AS stamp FROM runs"""))
+SELECT run_key, regexp_extract(path, '{RUN_STAMP_PATTERN}', 1) AS stamp FROM runs"""))
 def c1(spark, sf_dir):
     return v.runs(spark, sf_dir).select("run_key", sc.run_stamp("path").alias("stamp"))
 
 
 @register("C2_parse_stamp", v.with_views(["runs"], f"""
-SELECT run_key, try_strptime(regexp_extract(path, '{RUN_PATTERN_SQL}', 1), '%Y-%m-%d_%H:%M:%S') AS run_ts FROM runs"""))
+SELECT run_key, try_strptime(regexp_extract(path, '{RUN_STAMP_PATTERN}', 1), '%Y-%m-%d_%H:%M:%S') AS run_ts FROM runs"""))
 def c2(spark, sf_dir):
     return v.runs(spark, sf_dir).select("run_key", sc.parse_stamp(sc.run_stamp("path")).alias("run_ts"))
 
@@ -44,6 +44,12 @@ def c5(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", sc.content_key("text").alias("content_key"))
 
 
+@register("C6_noise_range", "SELECT event_id, true AS in_range FROM events")
+def c6_range(spark, sf_dir):
+    noisy = table(spark, sf_dir, "events").select("event_id", sc.noise(42).alias("noise"))
+    return noisy.select("event_id", ((F.col("noise") >= 0) & (F.col("noise") < 1)).alias("in_range"))
+
+
 @register("C6_noise")
 def c6(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", sc.noise(42).alias("noise"))
@@ -106,6 +112,17 @@ def c13(spark, sf_dir):
     return pl.parse_predictions(v.prediction_json(spark, sf_dir), "response", keep=("item_id",))
 
 
+@register("C20_prediction_errors", v.with_views(["prediction_json"], """
+SELECT item_id, p.label AS label, p.score AS score, CAST(NULL AS VARCHAR) AS error
+FROM (SELECT item_id, unnest(from_json(response, '{"predictions":[{"label":"VARCHAR","score":"DOUBLE"}]}').predictions) AS p
+      FROM prediction_json WHERE json_valid(response))
+UNION ALL
+SELECT item_id, NULL AS label, NULL AS score, CASE WHEN NOT json_valid(response) THEN 'unreadable response' END AS error
+FROM prediction_json WHERE NOT json_valid(response) OR json_array_length(response, '$.predictions') = 0"""))
+def c20(spark, sf_dir):
+    return pl.parse_predictions_or_error(v.prediction_json(spark, sf_dir), "response", keep=("item_id",))
+
+
 @register("C14_base_name", "SELECT page_id, string_split(url, '/')[-1] AS name FROM pages")
 def c14(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", sc.base_name("url").alias("name"))

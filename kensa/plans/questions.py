@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kensa.operators import anomalies as an
+from kensa.operators import joins as jn
 from kensa.plans import views as v
 from kensa.plans.registry import register
 
@@ -30,10 +31,9 @@ def a2(spark, sf_dir):
 
 
 _BY_LINE_SQL = """
-SELECT p.line, a.kind, CAST(sum(a.n) AS BIGINT) AS n_anomalies, CAST(count(*) AS BIGINT) AS n_units
-FROM (SELECT unit_id, kind, count(*) AS n
-      FROM (SELECT unit_id, trim(unnest(string_split(kind, ','))) AS kind FROM inspection WHERE label = 'damaged')
-      GROUP BY unit_id, kind) a
+SELECT p.line, a.kind, count(*) AS n_anomalies, count(DISTINCT a.item_id) AS n_items,
+       CAST(count(DISTINCT coalesce(a.unit_id, -1)) AS BIGINT) AS n_units
+FROM (SELECT item_id, unit_id, trim(unnest(string_split(kind, ','))) AS kind FROM inspection WHERE label = 'damaged') a
 LEFT JOIN production p ON a.unit_id = p.unit_id
 GROUP BY p.line, a.kind"""
 
@@ -47,7 +47,7 @@ def a3(spark, sf_dir):
 SELECT line, kind, n_anomalies, n_units, CAST(dense_rank() OVER (ORDER BY n_anomalies DESC) AS INTEGER) AS rank
 FROM ({_BY_LINE_SQL}) WHERE kind = 'bent'"""))
 def t5(spark, sf_dir):
-    by_line = an.anomalies_by_line(v.inspection(spark, sf_dir), v.production(spark, sf_dir), kind="bent")
+    by_line = an.anomalies_by_line(v.inspection(spark, sf_dir), v.production(spark, sf_dir), kind="bent").drop("n_items")
     return an.rank_lines(by_line, "bent")
 
 
@@ -90,6 +90,30 @@ def t3(spark, sf_dir):
     return rt.top_passages(v.report(spark, sf_dir), TOPIC_TERMS, TOP_K)
 
 
+# Invented words that some reports hold and most do not.
+WORST_TERMS = ["oning", "thing", "erble"]
+
+
+@register("J3_T3_worst_line_passages", v.with_views(["inspection", "production", "report"], rf"""
+WITH by_line AS ({_BY_LINE_SQL}),
+worst AS (SELECT line FROM by_line WHERE kind = 'bent'
+          AND n_anomalies = (SELECT max(n_anomalies) FROM by_line WHERE kind = 'bent')),
+passages AS (SELECT doc_id, line, unnest(string_split(text, chr(10))) AS passage,
+                    unnest(range(len(string_split(text, chr(10))))) AS passage_no
+             FROM report WHERE line IN (SELECT line FROM worst)),
+scored AS (SELECT *, CAST(len(list_filter(string_split_regex(lower(passage), '[^\p{{L}}\p{{N}}_]+'),
+                                          lambda w: w IN ('oning', 'thing', 'erble'))) AS BIGINT) AS score FROM passages)
+SELECT line, doc_id, CAST(passage_no AS INTEGER) AS passage_no, passage, score, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY score DESC, doc_id, passage_no) AS rank
+      FROM scored WHERE score > 0)
+WHERE rank <= 5"""))
+def worst_line_passages(spark, sf_dir):
+    """Why one line has so many bent items: the worst line, its reports, their best passages."""
+    by_line = an.anomalies_by_line(v.inspection(spark, sf_dir), v.production(spark, sf_dir), kind="bent").drop("n_items")
+    worst = an.rank_lines(by_line, "bent").where(F.col("rank") == 1)
+    return rt.top_passages(jn.reports_for(worst, v.report(spark, sf_dir)), WORST_TERMS, TOP_K)
+
+
 _QVEC_SQL = "[" + ", ".join(repr(x) for x in QUERY_VECTOR) + "]"
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kensa.functions.scalar import base_name
+from kensa.functions.scalar import RUN_STAMP_PATTERN, base_name
 from kensa.functions.payloads import QUESTION_PREFIX, first_prediction, prompt
 from kensa.operators import filters as fl
 from kensa.operators import history as hi
@@ -18,7 +18,6 @@ from kensa.plans.registry import register
 from kensa.sources.tables import table
 
 AS_OF = "2024-02-15 00:00:00"
-RUN_PATTERN_SQL = r"(\d{4}-\d{2}-\d{2}_\d{2}:\d{2}:\d{2})"
 
 
 def _labelled_reports(spark, sf_dir):
@@ -61,7 +60,7 @@ def p5(spark, sf_dir):
 
 @register("P6_filter_runs", v.with_views(["runs"], f"""
 SELECT run_key, object_type, path FROM runs
-WHERE object_type = 'EXPERIMENT' AND contains(path, 'automl') AND regexp_matches(path, '{RUN_PATTERN_SQL}')"""))
+WHERE object_type = 'EXPERIMENT' AND contains(path, 'automl') AND regexp_matches(path, '{RUN_STAMP_PATTERN}')"""))
 def p6(spark, sf_dir):
     return rn.filter_runs(v.runs(spark, sf_dir), "EXPERIMENT")
 
@@ -71,10 +70,10 @@ def p7(spark, sf_dir):
     return fl.prefix_filter(table(spark, sf_dir, "part"), "p_name", "red").select("p_partkey", "p_name")
 
 
-@register("P8_non_blank", v.with_views(["chat"], r"""
-SELECT conv_id, turn, role FROM chat WHERE text IS NOT NULL AND regexp_matches(text, '\S')"""))
+@register("P8_non_blank", v.with_views(["chat_gaps"], r"""
+SELECT conv_id, turn, role FROM chat_gaps WHERE text IS NOT NULL AND regexp_matches(text, '\S')"""))
 def p8(spark, sf_dir):
-    return fl.non_blank(v.chat(spark, sf_dir), "text").select("conv_id", "turn", "role")
+    return fl.non_blank(v.chat_gaps(spark, sf_dir), "text").select("conv_id", "turn", "role")
 
 
 _FIRST_PRED_SQL = """
@@ -114,10 +113,19 @@ def p12(spark, sf_dir):
     return fl.check_names(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_name")
 
 
-@register("S4_filter_image_files", v.with_views(["files"], r"""
-SELECT file_id, url FROM files WHERE regexp_matches(url, '\.(jpe?g|png)$', 'i')"""))
+@register("P12_reserved_names", """
+SELECT c_custkey, c_mktsegment, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'reserved name: ' || c_mktsegment END AS error
+FROM customer""")
+def p12_flagged(spark, sf_dir):
+    # Market segments as names, two of them reserved: rows with and without an error.
+    df = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return fl.flag_names(df, "c_mktsegment", reserved=("BUILDING", "MACHINERY"))
+
+
+@register("S4_filter_image_files", v.with_views(["image_files"], r"""
+SELECT file_id, url FROM image_files WHERE regexp_matches(url, '\.(jpe?g|png)$', 'i')"""))
 def s4(spark, sf_dir):
-    return fl.filter_image_files(v.files(spark, sf_dir), "url")
+    return fl.filter_image_files(v.image_files(spark, sf_dir), "url")
 
 
 @register("S5_filter_manifest", v.with_views(["files"], """
@@ -149,7 +157,7 @@ WITH by_line AS (
 top AS (SELECT line FROM by_line WHERE n = (SELECT max(n) FROM by_line))
 SELECT doc_id, line, source FROM report WHERE line IN (SELECT line FROM top)"""))
 def j3(spark, sf_dir):
-    by_line = an.anomalies_by_line(v.inspection(spark, sf_dir), v.production(spark, sf_dir), kind="bent")
+    by_line = an.anomalies_by_line(v.inspection(spark, sf_dir), v.production(spark, sf_dir), kind="bent").drop("n_items")
     top = an.rank_lines(by_line, "bent").where(F.col("rank") == 1)
     return jn.reports_for(top, v.report(spark, sf_dir)).select("doc_id", "line", "source")
 
@@ -180,7 +188,7 @@ def s7(spark, sf_dir):
 
 @register("T1_latest_run", v.with_views(["runs"], f"""
 SELECT run_key, object_type, path FROM runs
-WHERE object_type = 'EXPERIMENT' AND contains(path, 'automl') AND regexp_matches(path, '{RUN_PATTERN_SQL}')
+WHERE object_type = 'EXPERIMENT' AND contains(path, 'automl') AND regexp_matches(path, '{RUN_STAMP_PATTERN}')
 ORDER BY path DESC, run_key LIMIT 1"""))
 def t1(spark, sf_dir):
     return rn.latest_run(rn.filter_runs(v.runs(spark, sf_dir), "EXPERIMENT"))
@@ -190,9 +198,9 @@ def t1(spark, sf_dir):
 SELECT run_key, path, ts AS run_ts,
        CAST(floor(date_diff('microsecond', ts, TIMESTAMP '{AS_OF}') / 86400000000.0) AS BIGINT) AS days,
        floor(date_diff('microsecond', ts, TIMESTAMP '{AS_OF}') / 86400000000.0) > 30 AS is_stale
-FROM (SELECT run_key, path, try_strptime(regexp_extract(path, '{RUN_PATTERN_SQL}', 1), '%Y-%m-%d_%H:%M:%S') AS ts
+FROM (SELECT run_key, path, try_strptime(regexp_extract(path, '{RUN_STAMP_PATTERN}', 1), '%Y-%m-%d_%H:%M:%S') AS ts
       FROM runs WHERE object_type = 'EXPERIMENT' AND contains(path, 'automl')
-        AND regexp_matches(path, '{RUN_PATTERN_SQL}'))"""))
+        AND regexp_matches(path, '{RUN_STAMP_PATTERN}'))"""))
 def t2(spark, sf_dir):
     df = rn.filter_runs(v.runs(spark, sf_dir), "EXPERIMENT").select("run_key", "path")
     return rn.staleness(df, AS_OF, 30)
@@ -239,9 +247,13 @@ def u3(spark, sf_dir):
 
 # ---- metrics ----------------------------------------------------------------
 
-@register("A4_is_empty", "SELECT count(*) = 0 AS is_empty FROM (SELECT 1 FROM conversations LIMIT 1)")
+@register("A4_is_empty", """
+SELECT 'all' AS part, count(*) = 0 AS is_empty FROM conversations
+UNION ALL SELECT 'before the first turn' AS part, count(*) = 0 AS is_empty FROM conversations WHERE turn < 0""")
 def a4(spark, sf_dir):
-    return me.emptiness(table(spark, sf_dir, "conversations"))
+    chat = table(spark, sf_dir, "conversations")
+    return me.emptiness(chat).select(F.lit("all").alias("part"), "is_empty").unionByName(
+        me.emptiness(chat.where("turn < 0")).select(F.lit("before the first turn").alias("part"), "is_empty"))
 
 
 _F1_SQL = """

@@ -33,7 +33,7 @@ def s8(spark, sf_dir):
     path = scratch_path(spark, name)
     # Twice: overwriting must leave the same table, not a doubled one.
     for _ in range(2):
-        by_line.write.mode("overwrite").option("path", path).saveAsTable(name)
+        cat.overwrite_table(by_line, name, path=path)
     return cat.read_table(spark, name)
 
 
@@ -42,5 +42,5 @@ SELECT {sp.split_sql('vec_id')} AS split, count(*) AS n FROM features GROUP BY 1
 def s10(spark, sf_dir):
     df = sp.assign_split(v.features(spark, sf_dir), "vec_id")
     name = f"kensa_features_{uuid.uuid4().hex[:8]}"
-    df.write.mode("overwrite").option("path", scratch_path(spark, name)).saveAsTable(name)
+    cat.overwrite_table(df, name, path=scratch_path(spark, name))
     return cat.read_table(spark, name).groupBy("split").agg(F.count(F.lit(1)).alias("n"))

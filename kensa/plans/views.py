@@ -102,6 +102,22 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(F.col("page_id").alias("file_id"), "url")
 
 
+def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file listing with image names in several letter cases and other files."""
+    page = F.col("page_id") % 4
+    name = (F.when(page == 0, "/part.jpg").when(page == 1, "/part.PNG").when(page == 2, "/part.JpeG")
+             .otherwise("/part.png.txt"))
+    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("file_id"), F.concat("url", name).alias("url"))
+
+
+def chat_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chat with some turns without text: missing, empty, only white space."""
+    gap = (F.col("conv_id") + F.col("turn")) % 5
+    text = (F.when(gap == 0, F.lit(None).cast("string")).when(gap == 1, "").when(gap == 2, " \t\n")
+             .otherwise(F.col("text")))
+    return chat(spark, sf_dir).withColumn("text", text)
+
+
 # DuckDB definitions of the same views, for oracle_sql().
 VIEW_SQL = {
     "inspection": """SELECT event_id AS item_id, ts, user_id AS unit_id, value AS score,
@@ -128,6 +144,10 @@ VIEW_SQL = {
         END AS response
       FROM events""",
     "files": "SELECT page_id AS file_id, url FROM pages",
+    "image_files": """SELECT page_id AS file_id, url || CASE page_id % 4 WHEN 0 THEN '/part.jpg' WHEN 1 THEN '/part.PNG'
+        WHEN 2 THEN '/part.JpeG' ELSE '/part.png.txt' END AS url FROM pages""",
+    "chat_gaps": """SELECT conv_id, turn, role, CASE (conv_id + turn) % 5 WHEN 0 THEN NULL WHEN 1 THEN ''
+        WHEN 2 THEN ' ' || chr(9) || chr(10) ELSE text END AS text FROM conversations""",
 }
 
 

@@ -11,9 +11,14 @@ from kensa.operators.filters import check_name
 from kensa.sources import files as fs
 
 
-def overwrite_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
-    """Replace a table's content (atomic per table in the catalog)."""
+def overwrite_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
+                    path: str | None = None) -> None:
+    """Replace a table's content, at ``path`` when given.  For a Parquet
+    table the old files go before the new ones are written, so a failed job
+    leaves no content; run it again then."""
     w = df.write.mode("overwrite")
+    if path:
+        w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)

@@ -64,3 +64,11 @@ def test_rank_lines_dense(spark):
                                 Row(line=4, kind="melt", n_anomalies=9, n_units=1)])
     got = {r.line: r.rank for r in an.rank_lines(df, "bent").collect()}
     assert got == {1: 1, 2: 1, 3: 2}
+
+
+def test_repeated_items_count_once_as_items(spark):
+    insp = spark.createDataFrame([(1, 7, "bent", "damaged"), (1, 7, "bent", "damaged"), (2, 8, "bent, melt", "damaged")],
+                                 "item_id long, unit_id long, kind string, label string")
+    prod = spark.createDataFrame([(7, 1), (8, 1)], "unit_id long, line int")
+    got = {(r.line, r.kind): (r.n_anomalies, r.n_items, r.n_units) for r in an.anomalies_by_line(insp, prod).collect()}
+    assert got == {(1, "bent"): (3, 2, 2), (1, "melt"): (1, 1, 1)}

@@ -103,3 +103,20 @@ def test_in_batches_caps_rows():
     import pandas as pd
     chunks = list(im.in_batches(iter([pd.DataFrame({"a": range(150)}), pd.DataFrame({"a": range(3)})]), 64))
     assert [len(c) for c in chunks] == [64, 64, 22, 3]
+
+
+def test_image_jobs_work_in_small_pieces(spark):
+    def checked(images):
+        assert len(images) <= im.BATCH_ROWS
+        return im._pixels_out(images)
+
+    pix = F.array(*[F.lit(i) for i in range(64)])
+    df = spark.range(10_000).coalesce(1).select("id", im.gray_image_struct("id", pix, 8, 8).alias("image"))
+    out = im._in_pieces(df, "image", "pixels", im.PIXELS, im._rgb_in, lambda a: a, checked)
+    assert out.agg(F.count("pixels"), F.count_distinct("id")).first() == (10_000, 10_000)
+
+
+def test_unreadable_images_stay_as_null_rows(spark):
+    df = spark.createDataFrame([(1, None)], "id long, image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>")
+    out = im.normalise(im.margin_crop(im.square_resize(im.to_rgb(df))))
+    assert [(r.id, r.pixels, r.tensor) for r in out.collect()] == [(1, None, None)]

@@ -60,3 +60,11 @@ def test_flag_and_round(spark):
     df = spark.createDataFrame([("true",), ("True",), (None,)], "f string")
     assert [r[0] for r in df.select(sc.flag("f")).collect()] == [True, False, False]
     assert spark.range(1).select(sc.round_ms(F.lit(1.23456))).first()[0] == 1.235
+
+
+def test_broken_responses_keep_a_row_with_an_error(spark):
+    df = spark.createDataFrame([(1, '{"predictions":[{"label":"damaged","score":0.5}]}'), (2, '{"predictions":[]}'),
+                                (3, '{"predictions":[{"la'), (4, None)], "id long, response string")
+    out = pl.parse_predictions_or_error(df, keep=("id",)).orderBy("id").collect()
+    assert [(r.id, r.label, r.error) for r in out] == [
+        (1, "damaged", None), (2, None, None), (3, None, "unreadable response"), (4, None, "unreadable response")]
