@@ -11,8 +11,12 @@ in all documents.
 Distinctness: all distinct entities of the corpus and their surrogates form a
 table.  Where two entities meet in one surrogate, or a surrogate is itself an
 entity of the corpus, all but the first try again with the next attempt, until
-no collision is left.  Attempts after the first are rare; they go to their
-documents by a join, all others are computed where the text is.
+no collision is left.  So that any number of entities of one shape settles, the
+space of surrogates grows with the attempt: an e-mail address gets a subdomain of
+example.org that is a letter longer each time, a name a syllable, a phone number a
+digit and a secret a character more at every fourth attempt (their length is kept
+before that).  Attempts after the first are rare; they go to their documents by a
+join, all others are computed where the text is.
 
 Null text stays null, text without entities stays as it is.  Texts of any length
 are searched whole; repeated rows are replaced alike; ids may be null or repeat.
@@ -128,21 +132,25 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         return " ".join([given[draw.below(len(given))] for _ in range(count - 1)] + [family.capitalize()])
     if kind in ("card", "phone", "ssn"):
         lead = 1 if kind != "ssn" else 0
-        body = value[:lead] + "".join(str(draw.below(10)) for _ in value[lead:])
+        more = attempt // 4 if kind == "phone" else 0
+        body = value[:lead] + "".join(str(draw.below(10)) for _ in range(len(value) - lead + more))
         if kind == "card" and luhn(value) == 0:
             body = next(body[:-1] + str(d) for d in range(10) if luhn(body[:-1] + str(d)) == 0)
         return body
     local, at, _ = value.partition("@")
     keep = set(_HEX) if all(c in _HEX for c in local) and not at else None
     body = "".join(_HEX[draw.below(16)] if keep else str(draw.below(10)) if c.isdigit() else chr(97 + draw.below(26)) if c.isalpha() else c for c in local)
-    return body + "@example.org" if at else body
+    if not at:
+        return body + "".join(_HEX[draw.below(16)] for _ in range(attempt // 4))
+    host = "".join(chr(97 + draw.below(26)) for _ in range(attempt + 2 if attempt else 0))
+    return body + "@" + host + "." * (attempt > 0) + "example.org"
 
 
 def render(kind: str, original: str, value: str) -> str:
     """The surrogate in the original's spelling: separators and upper case."""
     if kind in ("card", "phone", "ssn"):
         digits = iter(value)
-        return "".join(next(digits) if c.isdigit() else c for c in original)
+        return "".join([next(digits) if c.isdigit() else c for c in original] + list(digits))
     if kind in ("email", "secret") and original.upper() == original:
         return value.upper()
     return value

@@ -207,6 +207,22 @@ def test_pii_collisions(spark, monkeypatch):
     assert len({r["surrogate"] for r in got}) == 40 and not {r["surrogate"] for r in got} & {str(i) for i in range(40)}
 
 
+def test_pii_settles_addresses_of_one_shape(spark):
+    key = pii.demo_key("t")
+    values = [f"{chr(97 + i % 26)}@h{i}.com" for i in range(40)] + ["_@a.com", "_@b.com"]
+    got = pii.assign(spark.createDataFrame([("email", v) for v in values], "kind string, value string").coalesce(1), key).collect()
+    assert len({r["surrogate"] for r in got}) == len(values) and not {r["surrogate"] for r in got} & set(values)
+    new = pii.pseudonymise(spark.createDataFrame([(1, "to _@a.com"), (2, "to _@b.com")], "doc_id long, text string"), key).collect()
+    assert len({r["text"] for r in new}) == 2 and all(re.fullmatch(r"to _@(\w+\.)?example\.org", r["text"]) for r in new)
+
+
+def test_pii_spaces_grow():
+    for kind, value in (("email", "_@a.com"), ("phone", "1234567"), ("secret", "1-----------"), ("name.latin.m", "Smith")):
+        sizes = [len(pii.surrogate(b"k", kind, value, a)) for a in (0, 8, 24, 48)]
+        assert all(a < b for a, b in zip(sizes, sizes[1:]))
+    assert pii.render("phone", "+1 23 45 67", "123456789") == "+1 23 45 6789"
+
+
 def test_transducer_equals_the_library(edge, nothing):
     import sentencepiece
     data = Path(queries.TOKENIZER).read_bytes()
