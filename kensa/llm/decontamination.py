@@ -1,22 +1,26 @@
 """Benchmark decontamination: BM25 with block-max pruning, then question and answer overlap.
 
 Words are runs of ASCII letters, digits and non-ASCII characters, A-Z
-lower-cased.  Every passage of a text (``PASSAGE`` words, a new one every
-``STRIDE``) is a query against an inverted index of the benchmark items.  Scores
-are BM25 divided by the score the item gives itself, so ``THRESHOLD`` means the
-same for every item, and all items at or above it are retrieved.  As in
+lower-cased.  An item of more than ``PASSAGE`` words is listed as several entries
+of at most so many, a shorter one as one.  Every passage of a text (``PASSAGE``
+words, a new one every ``STRIDE``) is a query against an inverted index of the
+entries.  Scores are BM25 divided by the score the entry gives itself, so
+``THRESHOLD`` means the same for every item of any length: of a whole copy of an
+entry some passage holds at least half the weight.  All entries at or above it
+are retrieved.  As in
 block-max WAND, a passage is given up when the largest scores of its words over
 all items cannot reach the threshold, and a block of items when their largest
 scores in the block cannot; only the blocks left are scored in full.  Passages
 are worked on many at a time.
 
 A retrieved item is verified: the share of the three-word shingles of its
-question, and of its answer, that stand in the text around the passage must both
+question, and of its answer, that stand in the text around the passage (further by
+the item's length on both sides if it is longer than a passage) must both
 reach ``OVERLAP``.  The answer is what follows the last ``Answer:``, or else the
 last sentence; an item of one sentence is all question.  Parts shorter than three
 words are looked for whole.
 
-The index has one list entry per distinct word of an item.  It is collected and
+The index has one posting per distinct word of an entry.  It is collected and
 broadcast in waves of at most ``WAVE`` entries (counted by Spark beforehand);
 texts are read once per wave, and never shuffled.  Null or empty texts and items
 match nothing, repeated rows
@@ -65,8 +69,9 @@ def shingles(h: np.ndarray, k: int) -> np.ndarray:
 
 @dataclass
 class Shard:
-    """Some items: words (sorted hashes), impacts as (word, item, value) entries."""
+    """Some entries: their items, words (sorted hashes), impacts as (word, entry, value)."""
     items: np.ndarray
+    reach: np.ndarray  # words of the item if it is longer than a passage, else 0
     words: np.ndarray
     word: np.ndarray
     item: np.ndarray
@@ -94,28 +99,33 @@ def waves(benchmark: DataFrame, key: str, text: str):
             for rows, data, offsets in common.pieces(batch):
                 h, first = word_hashes(data, offsets)
                 for i, item in enumerate(rows.column("item").to_pylist()):
-                    own, tf = np.unique(h[first[i]:first[i + 1]], return_counts=True)
-                    if len(own):
-                        yield pa.RecordBatch.from_arrays([pa.array([item] * len(own)), pa.array(own.view(np.int64)), pa.array(tf.astype(np.int64)), pa.array([int(tf.sum())] * len(own))], names=["item", "word", "tf", "len"])
+                    for part, of in enumerate(np.array_split(h[first[i]:first[i + 1]], max(1, -(-int(first[i + 1] - first[i]) // PASSAGE)))):
+                        own, tf = np.unique(of, return_counts=True)
+                        if len(own):
+                            yield pa.RecordBatch.from_arrays([pa.array([item] * len(own)), pa.array([part] * len(own), pa.int64()), pa.array(own.view(np.int64)), pa.array(tf.astype(np.int64)), pa.array([len(of)] * len(own))], names=["item", "part", "word", "tf", "len"])
 
     kind = dict(items.dtypes)["item"]
-    listed = common.scratch(items.mapInArrow(entries, f"item {kind}, word long, tf long, len long"), "bm25")
-    sizes = listed.groupBy("item").agg(F.count("*").alias("entries"), F.first("len").alias("len"))
+    listed = common.scratch(items.mapInArrow(entries, f"item {kind}, part long, word long, tf long, len long"), "bm25")
+    sizes = listed.groupBy("item", "part").agg(F.count("*").alias("entries"), F.first("len").alias("len"))
     total = sizes.agg(F.count("*").alias("n"), F.avg("len").alias("avg"), F.sum("entries").alias("entries")).first()
     if not total["n"]:
         return
     n_waves = -(-int(total["entries"]) // WAVE)
-    df_ = listed.groupBy("word").agg(F.countDistinct("item").alias("df"))
+    df_ = listed.groupBy("word").agg(F.count("*").alias("df"))
     idf = F.log(1 + (F.lit(float(total["n"])) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.lit(float(total["avg"]))))
-    impacts = listed.join(df_, "word").select("item", "word", (idf * part).alias("v"))
-    impacts = common.scratch(impacts.join(impacts.groupBy("item").agg(F.sum("v").alias("self")), "item")
-                             .select("item", "word", (F.col("v") / F.col("self")).alias("v"), F.pmod(F.xxhash64("item"), F.lit(n_waves)).alias("wave")), "bm25")
+    impacts = listed.join(df_, "word").select("item", "part", "word", (idf * part).alias("v"))
+    impacts = common.scratch(impacts.join(impacts.groupBy("item", "part").agg(F.sum("v").alias("self")), ["item", "part"])
+                             .select("item", "part", "word", (F.col("v") / F.col("self")).alias("v"), F.pmod(F.xxhash64("item"), F.lit(n_waves)).alias("wave")), "bm25")
     for wave in range(n_waves):
-        got = impacts.where(F.col("wave") == wave).orderBy("item", "word").toPandas()
+        got = impacts.where(F.col("wave") == wave).orderBy("item", "part", "word").toPandas()
         texts = {r["item"]: r["text"] for r in items.where(F.pmod(F.xxhash64("item"), F.lit(n_waves)) == wave).collect()}
-        names, start = np.unique(got["item"].to_numpy(), return_index=True)
-        ends = np.append(start[1:], len(got))
+        halves = {i: [word_hashes(np.frombuffer(x.encode(), np.uint8), np.array([0, len(x.encode())]))[0] for x in split_item(t)] for i, t in texts.items()}
+        sets = {i: [(min(SHINGLE, len(x)), shingles(x, min(SHINGLE, len(x)))) for x in xs] for i, xs in halves.items()}
+        item, entry = got["item"].to_numpy(), got["part"].to_numpy()
+        start = np.flatnonzero(np.append(True, (item[1:] != item[:-1]) | (entry[1:] != entry[:-1])) if len(got) else [])
+        names, ends = item[start], np.append(start[1:], len(got))
+        long = {i: sum(map(len, xs)) for i, xs in halves.items()}
         out, lo = [], 0
         while lo < len(names):
             hi = lo + 1
@@ -123,9 +133,9 @@ def waves(benchmark: DataFrame, key: str, text: str):
                 hi += 1
             part = got.iloc[start[lo]:ends[hi - 1]]
             words, word = np.unique(part["word"].to_numpy().view(np.uint64), return_inverse=True)
-            halves = [[word_hashes(np.frombuffer(x.encode(), np.uint8), np.array([0, len(x.encode())]))[0] for x in split_item(texts[i])] for i in names[lo:hi].tolist()]
-            out.append(Shard(names[lo:hi], words, word.astype(np.int32), np.repeat(np.arange(hi - lo), ends[lo:hi] - start[lo:hi]).astype(np.int32),
-                             part["v"].to_numpy().astype(np.float32), [(min(SHINGLE, len(x)), shingles(x, min(SHINGLE, len(x)))) for x, _ in halves], [(min(SHINGLE, len(x)), shingles(x, min(SHINGLE, len(x)))) for _, x in halves]))
+            own = names[lo:hi].tolist()
+            out.append(Shard(names[lo:hi], np.array([long[i] if long[i] > PASSAGE else 0 for i in own]), words, word.astype(np.int32), np.repeat(np.arange(hi - lo), ends[lo:hi] - start[lo:hi]).astype(np.int32),
+                             part["v"].to_numpy().astype(np.float32), [sets[i][0] for i in own], [sets[i][1] for i in own]))
             lo = hi
         yield out
 
@@ -184,15 +194,20 @@ def retrieve(h: np.ndarray, first: np.ndarray, shard: Shard, threshold: float =
     yield from zip(r.tolist(), ((p - base[r]) * STRIDE).tolist(), i.tolist(), s.tolist())
 
 
-def verified(h: np.ndarray, first: np.ndarray, shard: Shard) -> dict[tuple[int, int], tuple]:
-    """Best verified passage of each (row, item of the shard): (score, question share, answer share, first word)."""
-    best: dict[tuple[int, int], tuple] = {}
-    for r, at, i, s in retrieve(h, first, shard):
-        lo = first[r] + max(0, at - PASSAGE)
-        near = h[lo:min(first[r + 1], first[r] + at + 2 * PASSAGE)]
-        share = [float(np.isin(x, shingles(near, k)).mean()) if k else 1.0 for k, x in (shard.question[i], shard.answer[i])]
-        if min(share) >= OVERLAP and max(shard.question[i][0], shard.answer[i][0]):
-            best[r, i] = max(best.get((r, i), (-1.0,)), (s, *share, at))
+def verified(h: np.ndarray, first: np.ndarray, shards: list[Shard]) -> dict[tuple, tuple]:
+    """Best verified passage of each (row, item): (score, question share, answer share, first word)."""
+    best: dict[tuple, tuple] = {}
+    judged: dict[tuple, list[float]] = {}
+    for shard in shards:
+        for r, at, i, s in retrieve(h, first, shard):
+            item, reach = shard.items[i], int(shard.reach[i])
+            lo = first[r] + max(0, at - PASSAGE - reach)
+            hi = min(first[r + 1], first[r] + at + 2 * PASSAGE + reach)
+            if (r, item, lo, hi) not in judged:
+                judged[r, item, lo, hi] = [float(np.isin(x, shingles(h[lo:hi], k)).mean()) if k else 1.0 for k, x in (shard.question[i], shard.answer[i])]
+            share = judged[r, item, lo, hi]
+            if min(share) >= OVERLAP and max(shard.question[i][0], shard.answer[i][0]):
+                best[r, item] = max(best.get((r, item), (-1.0,)), (s, *share, at))
     return best
 
 
@@ -208,7 +223,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
             for batch in batches:
                 for rows, data, offsets in common.pieces(batch, "__text"):
                     h, first = word_hashes(data, offsets)
-                    got = [(rows.column(0)[r], shard.items[i], *v) for shard in shared.value for (r, i), v in verified(h, first, shard).items()]
+                    got = [(rows.column(0)[r], i, *v) for (r, i), v in verified(h, first, shared.value).items()]
                     if got:
                         cols = list(zip(*got))
                         yield pa.RecordBatch.from_arrays([pa.array([v.as_py() for v in cols[0]], rows.schema.field(0).type), pa.array(list(cols[1])), *(pa.array(c, pa.float64()) for c in cols[2:5]), pa.array(cols[5], pa.int64())],
@@ -227,7 +242,7 @@ def clean(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "
             for batch in batches:
                 for rows, data, offsets in common.pieces(batch, text):
                     h, first = word_hashes(data, offsets)
-                    bad = {r for shard in shared.value for r, _ in verified(h, first, shard)}
+                    bad = {r for r, _ in verified(h, first, shared.value)}
                     yield rows.filter(pa.array([r not in bad for r in range(rows.num_rows)], pa.bool_()))
 
         df = df.mapInArrow(run, df.schema)

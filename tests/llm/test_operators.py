@@ -182,6 +182,18 @@ def test_op1_finds_every_whole_item(spark):
     assert {(d["doc_id"], i["item_id"]) for d in docs for i in items if i["text"] in d["text"]} <= got
 
 
+def test_decontamination_of_long_items(spark):
+    say = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    around = [say("before", 1000), say("after", 1000)]
+    long, asked = say("item", 600), say("question", 590) + ". Answer: " + say("reply", 700)
+    items = spark.createDataFrame([(1, long), (2, asked), (3, PROSE)], "item_id long, text string")
+    docs = [" ".join([around[0][:50 * i], t, around[1]]) for i, t in enumerate([long, asked, say("item", 300), say("question", 590), asked])]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in decontamination.contaminated(df, items).collect())
+    assert got == [(0, 1), (1, 2), (4, 2)]
+    assert sorted(r["doc_id"] for r in decontamination.clean(df, items).collect()) == [2, 3]
+
+
 def test_pii(edge, nothing, spark):
     key = pii.demo_key("t")
     text = "Mail A.b@x.org or a.B@X.org, call +1 (826) 555-4081 190.137.2.9 4111 1111 1111 1111 and Mrs. Clara Schmidt. token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\""
