@@ -22,8 +22,10 @@ words are looked for whole.
 
 The index has one posting per distinct word of an entry.  It is collected and
 broadcast in waves of at most ``WAVE`` entries (counted by Spark beforehand);
-texts are read once per wave, and never shuffled.  Null or empty texts and items
-match nothing, repeated rows
+texts are read once per wave, and never shuffled.  All texts of one item id are in
+one wave.  Each distinct pair of item id and text is an item of its own to the index,
+so rows that repeat count once and an id with several texts is found by any of them,
+the best one is reported.  Null or empty texts and items match nothing, repeated rows
 are judged alike, an empty benchmark leaves all documents.
 """
 
@@ -69,8 +71,9 @@ def shingles(h: np.ndarray, k: int) -> np.ndarray:
 
 @dataclass
 class Shard:
-    """Some entries: their items, words (sorted hashes), impacts as (word, entry, value)."""
+    """Some entries: their items (internal keys) and item ids, words (sorted hashes), impacts as (word, entry, value)."""
     items: np.ndarray
+    ids: list
     reach: np.ndarray  # words of the item if it is longer than a passage, else 0
     words: np.ndarray
     word: np.ndarray
@@ -92,7 +95,8 @@ def split_item(text: str) -> tuple[str, str]:
 
 def waves(benchmark: DataFrame, key: str, text: str):
     """Index shards, a list per wave.  Lengths, counts and frequencies are computed by Spark over all items."""
-    items = benchmark.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("item"), F.col(text).alias("text"))
+    items = benchmark.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
+    items = common.scratch(items.distinct().withColumn("item", F.monotonically_increasing_id()), "items")
 
     def entries(batches):
         for batch in batches:
@@ -104,8 +108,7 @@ def waves(benchmark: DataFrame, key: str, text: str):
                         if len(own):
                             yield pa.RecordBatch.from_arrays([pa.array([item] * len(own)), pa.array([part] * len(own), pa.int64()), pa.array(own.view(np.int64)), pa.array(tf.astype(np.int64)), pa.array([len(of)] * len(own))], names=["item", "part", "word", "tf", "len"])
 
-    kind = dict(items.dtypes)["item"]
-    listed = common.scratch(items.mapInArrow(entries, f"item {kind}, part long, word long, tf long, len long"), "bm25")
+    listed = common.scratch(items.mapInArrow(entries, "item long, part long, word long, tf long, len long"), "bm25")
     sizes = listed.groupBy("item", "part").agg(F.count("*").alias("entries"), F.first("len").alias("len"))
     total = sizes.agg(F.count("*").alias("n"), F.avg("len").alias("avg"), F.sum("entries").alias("entries")).first()
     if not total["n"]:
@@ -115,11 +118,13 @@ def waves(benchmark: DataFrame, key: str, text: str):
     idf = F.log(1 + (F.lit(float(total["n"])) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.lit(float(total["avg"]))))
     impacts = listed.join(df_, "word").select("item", "part", "word", (idf * part).alias("v"))
+    wave_of = F.pmod(F.xxhash64("id"), F.lit(n_waves)).alias("wave")
     impacts = common.scratch(impacts.join(impacts.groupBy("item", "part").agg(F.sum("v").alias("self")), ["item", "part"])
-                             .select("item", "part", "word", (F.col("v") / F.col("self")).alias("v"), F.pmod(F.xxhash64("item"), F.lit(n_waves)).alias("wave")), "bm25")
+                             .join(items.select("item", wave_of), "item").select("item", "part", "word", (F.col("v") / F.col("self")).alias("v"), "wave"), "bm25")
     for wave in range(n_waves):
         got = impacts.where(F.col("wave") == wave).orderBy("item", "part", "word").toPandas()
-        texts = {r["item"]: r["text"] for r in items.where(F.pmod(F.xxhash64("item"), F.lit(n_waves)) == wave).collect()}
+        rows = items.where(wave_of == wave).collect()
+        ids, texts = ({r["item"]: r[c] for r in rows} for c in ("id", "text"))
         halves = {i: [word_hashes(np.frombuffer(x.encode(), np.uint8), np.array([0, len(x.encode())]))[0] for x in split_item(t)] for i, t in texts.items()}
         sets = {i: [(min(SHINGLE, len(x)), shingles(x, min(SHINGLE, len(x)))) for x in xs] for i, xs in halves.items()}
         item, entry = got["item"].to_numpy(), got["part"].to_numpy()
@@ -134,7 +139,7 @@ def waves(benchmark: DataFrame, key: str, text: str):
             part = got.iloc[start[lo]:ends[hi - 1]]
             words, word = np.unique(part["word"].to_numpy().view(np.uint64), return_inverse=True)
             own = names[lo:hi].tolist()
-            out.append(Shard(names[lo:hi], np.array([long[i] if long[i] > PASSAGE else 0 for i in own]), words, word.astype(np.int32), np.repeat(np.arange(hi - lo), ends[lo:hi] - start[lo:hi]).astype(np.int32),
+            out.append(Shard(names[lo:hi], [ids[i] for i in own], np.array([long[i] if long[i] > PASSAGE else 0 for i in own]), words, word.astype(np.int32), np.repeat(np.arange(hi - lo), ends[lo:hi] - start[lo:hi]).astype(np.int32),
                              part["v"].to_numpy().astype(np.float32), [sets[i][0] for i in own], [sets[i][1] for i in own]))
             lo = hi
         yield out
@@ -195,7 +200,7 @@ def retrieve(h: np.ndarray, first: np.ndarray, shard: Shard, threshold: float =
 
 
 def verified(h: np.ndarray, first: np.ndarray, shards: list[Shard]) -> dict[tuple, tuple]:
-    """Best verified passage of each (row, item): (score, question share, answer share, first word)."""
+    """Best verified passage of each (row, item id): (score, question share, answer share, first word)."""
     best: dict[tuple, tuple] = {}
     judged: dict[tuple, list[float]] = {}
     for shard in shards:
@@ -207,7 +212,7 @@ def verified(h: np.ndarray, first: np.ndarray, shards: list[Shard]) -> dict[tupl
                 judged[r, item, lo, hi] = [float(np.isin(x, shingles(h[lo:hi], k)).mean()) if k else 1.0 for k, x in (shard.question[i], shard.answer[i])]
             share = judged[r, item, lo, hi]
             if min(share) >= OVERLAP and max(shard.question[i][0], shard.answer[i][0]):
-                best[r, item] = max(best.get((r, item), (-1.0,)), (s, *share, at))
+                best[r, shard.ids[i]] = max(best.get((r, shard.ids[i]), (-1.0,)), (s, *share, at))
     return best
 
 

@@ -194,6 +194,17 @@ def test_decontamination_of_long_items(spark):
     assert sorted(r["doc_id"] for r in decontamination.clean(df, items).collect()) == [2, 3]
 
 
+def test_decontamination_of_repeated_item_ids(spark):
+    one = "Which river runs past the old mill and the seven stone bridges? Answer: the slow green river of the north"
+    two = "Name the metal that melts in a warm hand on a summer day. Answer: gallium is the metal that melts there"
+    three = "How many moons circle the planet with the widest rings? Answer: more than eighty moons were counted so far"
+    items = spark.createDataFrame([("a", one)] * 3 + [("b", two), ("b", three), ("c", PROSE)], "item_id string, text string").repartition(4)
+    df = spark.createDataFrame([(1, f"x {one} y"), (2, f"x {two} y"), (3, f"x {three} y"), (4, f"{two} {three}"), (5, "clean")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], round(r["score"], 4)) for r in decontamination.contaminated(df, items).collect())
+    assert got == [(1, "a", 1.0), (2, "b", 1.0), (3, "b", 1.0), (4, "b", 1.0)]
+    assert [r["doc_id"] for r in decontamination.clean(df, items).collect()] == [5]
+
+
 def test_pii(edge, nothing, spark):
     key = pii.demo_key("t")
     text = "Mail A.b@x.org or a.B@X.org, call +1 (826) 555-4081 190.137.2.9 4111 1111 1111 1111 and Mrs. Clara Schmidt. token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\""
