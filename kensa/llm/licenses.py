@@ -2,13 +2,19 @@
 
 Native: DataFrame functions only.  Words are maximal runs of ASCII letters,
 digits and non-ASCII characters, A-Z lower-cased.  A block is a line of the
-text; it matches a template when it holds at least ``CONTAINMENT`` of the
+text, or, as notices are wrapped inside their sentences, any run of words a quarter
+longer than the template, whatever lines it spans; it matches a template when it holds at least ``CONTAINMENT`` of the
 template's distinct words.  All words of all templates are ranked by how many
 documents hold them (rarest first).  A block can only match if it shares one of
 the template's first ``|T| - need + 1`` words in that order (prefix filter), has
 at least ``need`` template words (length filter) and, from the first shared
 prefix word on, enough words left on both sides (positional filter); what passes
-is verified by its full intersection.  The templates are a fixed short list, so
+is verified by its full intersection.  Runs are looked at only where the whole text
+holds enough template words and no line holds all of them, and only around the
+template's prefix words.  ``NOTICES`` are longer customary wordings, found in runs;
+as licences of one family differ in a word or two, these name the words that a run
+must hold and must not.  The SQL of ``oracle`` knows lines and ``TEMPLATES`` only: it
+finds the same but for wrapped notices and ``NOTICES``.  The templates are a fixed short list, so
 their index is literals in the plan and documents are never shuffled.
 
 Null text counts as empty: no words, no labels, score 0.  Very long texts,
@@ -40,6 +46,13 @@ TEMPLATES = {
     "mit-permission": "permission is hereby granted free of charge to any person obtaining a copy of this software",
     "mpl-2.0": "subject to the terms of the mozilla public license version 2.0",
 }
+# Longer wordings, words that must stand in them and words that must not.
+NOTICES = {
+    "agpl-3.0": ("under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license", {"affero", "3"}, {"lesser"}),
+    "cc-by-nc-4.0": ("licensed under a creative commons attribution noncommercial 4.0 international license", {"noncommercial", "4"}, {"sharealike", "noderivatives"}),
+    "gpl-3.0": ("under the terms of the gnu general public license as published by the free software foundation either version 3 of the license", {"gnu", "3"}, {"affero", "lesser"}),
+    "lgpl-2.1": ("under the terms of the gnu lesser general public license as published by the free software foundation either version 2.1 of the license", {"lesser", "2", "1"}, {"affero"}),
+}
 _BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -73,14 +86,21 @@ def word_ranks(df: DataFrame, text: str = "text", templates: dict[str, str] = TE
     return sorted(vocabulary, key=lambda w: (seen.get(w, 0), w))
 
 
-def scan(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def scan(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), templates: dict[str, str] = TEMPLATES,
+         notices: dict[str, tuple[str, set, set]] = NOTICES) -> DataFrame:
     """``keep`` plus n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    order = word_ranks(df, text, templates)
-    rank = {w: i for i, w in enumerate(order)}
+    spoken = {f"{k} notice": v for k, (v, _, _) in notices.items()}
+    ranked = word_ranks(df, text, templates | spoken)
+    rank = {w: i for i, w in enumerate(ranked)}
+    short = {w for ws in template_words(templates).values() for w in ws}
+    order = [w for w in ranked if w in short]
     sets = {k: sorted(ws, key=rank.get) for k, ws in template_words(templates).items()}
     need = {k: math.ceil(CONTAINMENT * len(ws) - 1e-9) for k, ws in sets.items()}
     prefix = {k: ws[:len(ws) - need[k] + 1] for k, ws in sets.items()}
-    triggers = sorted({w for p in prefix.values() for w in p} | {"license", "cc"})
+    said = {k: sorted(ws, key=rank.get) for k, ws in template_words(spoken).items()}
+    enough = {k: math.ceil(CONTAINMENT * len(ws) - 1e-9) for k, ws in said.items()}
+    ahead = {k: ws[:len(ws) - enough[k] + 1] for k, ws in said.items()}
+    triggers = sorted({w for p in [*prefix.values(), *ahead.values()] for w in p} | {"license", "cc"})
 
     t = F.coalesce(F.col(text), F.lit(""))
     rows = df.select(*keep, t.alias("__t")).withColumn("__w", _split(F.lower("__t")))
@@ -111,11 +131,40 @@ def scan(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
 
         return F.coalesce(F.array_max(F.transform("__b", of)), F.lit(0.0))
 
+    def in_runs(words, first, least, wording, must=(), must_not=()):
+        """The largest containment in any run of words; 0.0 if too few."""
+        length = len(wording.replace(".", " ").split())
+        length += length // 4
+        all_words, few = _strings(words), F.lit(None).cast("double")
+
+        def run(start):
+            held = F.slice("__w", start + 1, length)
+            ok = F.size(F.array_intersect(all_words, held)) >= least
+            for w in sorted(must):
+                ok = ok & F.array_contains(held, w)
+            for w in sorted(must_not):
+                ok = ok & ~F.array_contains(held, w)
+            return F.when(ok, F.size(F.array_intersect(all_words, held)) / F.lit(float(len(words))))
+
+        def around(i):
+            lo = F.greatest(i - length + 1, F.lit(0))
+            near = F.size(F.array_intersect(all_words, F.slice("__w", lo + 1, 2 * length))) >= least
+            return F.when(near, F.array_max(F.transform(F.sequence(lo, i), run))).otherwise(few)
+
+        places = F.filter(F.sequence(F.lit(0), F.size("__w") - 1), lambda i: F.get("__w", i).isin(first))
+        whole = F.size(F.array_intersect(all_words, "__w")) >= least
+        return F.coalesce(F.when(whole, F.array_max(F.transform(places, around))), F.lit(0.0))
+
     rows = rows.withColumns({f"__c_{i}": containment(k) for i, k in enumerate(sets)})
+    rows = rows.withColumns({f"__r_{i}": F.when(F.col(f"__c_{i}") < 1.0, in_runs(sets[k], prefix[k], need[k], templates[k])).otherwise(F.lit(0.0)) for i, k in enumerate(sets)}
+                            | {f"__n_{k}": in_runs(said[f"{k} notice"], ahead[f"{k} notice"], enough[f"{k} notice"], *notices[k]) for k in notices})
+    rows = rows.withColumns({f"__c_{i}": F.greatest(f"__c_{i}", f"__r_{i}") for i in range(len(sets))})
     base = [F.when(F.size(f"__p_{k}") > 0, F.lit(k)) for k in places]
     own = [F.when(F.col(f"__c_{i}") >= need[k] / len(sets[k]) - 1e-9, F.lit(k)) for i, k in enumerate(sets)]
+    own += [F.when(F.col(f"`__n_{k}`") > 0, F.lit(k)) for k in notices]
     join = lambda xs: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*xs)))), ",")
-    best = F.greatest(*[F.when(F.col(f"__c_{i}") >= need[k] / len(sets[k]) - 1e-9, F.col(f"__c_{i}")).otherwise(0.0) for i, k in enumerate(sets)])
+    best = F.greatest(*[F.when(F.col(f"__c_{i}") >= need[k] / len(sets[k]) - 1e-9, F.col(f"__c_{i}")).otherwise(0.0) for i, k in enumerate(sets)],
+                      *[F.col(f"`__n_{k}`") for k in notices])
     return rows.select(*keep, "n_words", F.size(every).cast("long").alias("n_base"),
                        F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),
                        join(base).alias("base_labels"), join(base + own).alias("labels"),

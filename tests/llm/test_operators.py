@@ -166,6 +166,21 @@ def test_license_places(spark):
     assert got[1]["labels"] == "cc-by,mit,mit-notice" and got[2]["labels"] == "" and got[3]["labels"] == "apache,apache-2.0"
 
 
+def test_license_notices_are_found_wrapped(spark):
+    mit = """# Permission is hereby granted, free of charge, to any person obtaining a copy
+# of this software and associated documentation files (the "Software"), to deal"""
+    bsd = """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions are met:"""
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy"
+    gnu = "you can redistribute it and/or modify\nit under the terms of the GNU {}General Public License as published by\nthe Free Software Foundation, either version {} of the License, or\n(at your option)"
+    texts = [mit, bsd, mpl, gnu.format("", 3), gnu.format("", 2), gnu.format("Affero ", 3), gnu.format("Lesser ", 2.1),
+             "hereby granted " + "x " * 30 + "permission free of charge to any person\nobtaining a copy of this software is", None]
+    texts += [" ".join(t.split()) for t in texts[:3]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(df).collect()}
+    assert [got[i] for i in range(12)] == ["mit-permission", "bsd-3-clause", "mpl-2.0", "gpl,gpl-3.0", "gpl", "agpl-3.0", "lgpl-2.1", "", "", "mit-permission", "bsd-3-clause", "mpl-2.0"]
+
+
 def test_decontamination(spark, edge, nothing):
     items = spark.createDataFrame([(1, "Where do seven grey geese fly over the lazy dog? Answer: south across a cold"), (2, None), (3, ""), (4, PROSE)], "item_id long, text string")
     hit = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(edge, items).collect()}
