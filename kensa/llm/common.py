@@ -38,14 +38,26 @@ def prepare(spark: SparkSession) -> None:
     _session.ship_package(spark)
 
 
-def scratch(df: DataFrame, name: str) -> DataFrame:
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def scratch(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
     """Write ``df`` once under the shared ``spark.checkpoint.dir`` and read it back.
 
     Cuts lineage: later steps reread the files, also after an executor is lost.
+    ``clean``: Spark removes the write's shuffle files at its end instead of at some
+    later garbage collection (set for this write alone, then put back).
     """
     spark = df.sparkSession
     path = _session.ensure_checkpoint_dir(spark).rstrip("/") + f"/kensa-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN, None) if clean else None
+    try:
+        if clean:
+            spark.conf.set(_CLEAN, "true")
+        df.write.parquet(path)
+    finally:
+        if clean:
+            spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,19 +1,22 @@
 """Language-model scores by stupid backoff over count tables of the corpus.
 
-Words are runs without white space.  Counts of words and of word pairs are
-taken over all texts; a text is scored by the counts of all other texts (its own
-are subtracted), so what is found elsewhere scores high and what is seen nowhere
-else backs off:
+Words are runs without white space.  Counts of words and of runs of two and of
+``order`` words are taken over all texts; a text is scored by the counts of all
+other texts (its own are subtracted), so what is found elsewhere scores high and
+what is seen nowhere else backs off:
 
-    S(w | v) = c(v w) / c(v)       if the pair occurs elsewhere
-             = 0.4 * c(w) / N      else, c(w) at least 1/2
+    S(w | u v) = c(u v w) / c(u v)     if the triple occurs elsewhere
+               = 0.4 * S(w | v)        else
+    S(w | v)   = c(v w) / c(v)         if the pair occurs elsewhere
+               = 0.4 * c(w) / N        else, c(w) at least 1/2
 
 A text's score is the sum of log S over its words (the first word by its own
-frequency).  The tables are partitioned by hash: chunks of texts ask each
-partition for the total counts of their distinct words and pairs (with their own
-counts, which make the totals), and the answers meet the chunk again.  The pair
-table is what limits the order: a table of word triples does not fit the disk
-limit of the check tool beside it.
+frequency, the second by pairs, and so on).  The tables are partitioned by hash:
+chunks of texts ask each partition for the total counts of their distinct runs
+(with their own counts, which make the totals), and the answers meet the chunk
+again.  This is done order by order, the highest first: a chunk keeps the sum of
+each text so far and at which order each word was settled (a byte a word,
+compressed), so the tables of one order are gone before those of the next are made.
 
 Null and empty texts have no words and score 0.  Ties, repeated rows and long
 texts need nothing special: each row is its own text.  Extra columns are left out.
@@ -21,8 +24,11 @@ texts need nothing special: each row is its own text.  Extra columns are left ou
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,19 +38,22 @@ BACKOFF = 0.4
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 
 
-def grams(chunk: packed.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of words, keys of pairs, and the places where a pair ends (the second word)."""
-    words = common.mix(chunk.words ^ np.uint64(0x1F123BB5))
-    inside = np.ones(len(words), bool)
-    inside[chunk.first[:-1][chunk.first[:-1] < len(words)]] = False
-    second = np.flatnonzero(inside)
-    pairs = common.mix(chunk.words[second - 1] * _PAIR + common.mix(chunk.words[second]))
-    return words, pairs, second
+def grams(chunk: packed.Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all runs of ``k`` words within a text, and the places where they end."""
+    ends = np.flatnonzero(_place(chunk) >= k - 1)
+    keys = common.mix(chunk.words[ends] ^ np.uint64(0x1F123BB5 if k == 1 else 0))
+    for back in range(1, k):
+        keys = common.mix(chunk.words[ends - back] * _PAIR + keys)
+    return keys, ends
+
+
+def _place(chunk: packed.Chunk) -> np.ndarray:
+    """The place of each word in its text, from 0."""
+    return np.arange(len(chunk.words)) - np.repeat(chunk.first[:-1], np.diff(chunk.first))
 
 
-def _question(row: dict):
-    words, pairs, _ = grams(packed.Chunk(row))
-    keys, counts = np.unique(np.concatenate([words, pairs]), return_counts=True)
+def _question(row: dict, k: int = 1):
+    keys, counts = np.unique(grams(packed.Chunk(row), k)[0], return_counts=True)
     return keys, counts.astype(np.uint32)
 
 
@@ -69,34 +78,57 @@ def _own(keys: np.ndarray, row: np.ndarray) -> np.ndarray:
     return out
 
 
-def score(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _settle(row: dict, chunk: packed.Chunk, k: int, order: int, total: float) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of each text and the order of each word (0: not settled) after the counts of runs of ``k`` words."""
+    keys, ends = grams(chunk, k)
+    asked = np.unique(keys)
+    said = packed.told(row, np.uint64).astype(np.int64)
+    at = common.row_of(chunk.first)
+    count = np.zeros(len(chunk.words), np.int64)
+    if len(ends):
+        count[ends] = said[np.searchsorted(asked, keys)] - _own(keys, at[ends])
+    if k == order:
+        sums, level = np.zeros(len(chunk.first) - 1), np.zeros(len(chunk.words), np.uint8)
+    else:
+        sums = np.frombuffer(row["sums"], np.float64)
+        level = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["level"], max_output_size=max(1, len(chunk.words))), np.uint8).copy()
+    s = np.zeros(len(chunk.words))
+    above = np.flatnonzero(level == k + 1)
+    s[above] = -np.log(np.maximum(count[above - 1], 1))
+    here = (level == 0) & ((count > 0) | (k == 1))
+    value = np.maximum(count, 0.5) / (np.maximum(total - np.diff(chunk.first), 1)[at] if k == 1 else 1.0)
+    steps = np.minimum(_place(chunk) + 1, order) - k
+    s[here] = np.log(value[here]) + steps[here] * np.log(BACKOFF)
+    level[here] = k
+    return sums + _per_row(s, chunk.first), level
+
+
+def score(df: DataFrame, key: str = "doc_id", text: str = "text", order: int = 2) -> DataFrame:
     """doc_id, n_words, n_backoff (words scored by backoff), score (sum of log S), per_word."""
     chunked = packed.chunks(df, key, text)
-    n = packed.bucket_count(df, chunked, 1.5)
+    n = packed.bucket_count(df, chunked, 1.0)
     total = float(chunked.agg(F.sum("n_words")).first()[0] or 0)
-    totals = packed.answer(packed.ask(chunked, n, _question), n, np.uint32, _total)
 
-    def run(batches):
+    def step(batches, k):
+        for row in packed._each(batches):
+            sums, level = _settle(row, packed.Chunk(row), k, order, total)
+            yield pa.RecordBatch.from_arrays([pa.array([row["cid"]], pa.int64()), pa.array([sums.tobytes()], pa.binary()), pa.array([zstandard.ZstdCompressor(level=3).compress(level.tobytes())], pa.binary())],
+                                             names=["cid", "sums", "level"])
+
+    def last(batches):
         for row in packed._each(batches):
             chunk = packed.Chunk(row)
-            words, pairs, second = grams(chunk)
-            keys = np.unique(np.concatenate([words, pairs]))
-            counts = packed.told(row, np.uint64).astype(np.int64)
-            of = lambda x: counts[np.searchsorted(keys, x)] if len(x) else np.zeros(0, np.int64)
-            at = common.row_of(chunk.first)
-            one = of(words) - _own(words, at)
-            two = np.zeros(len(words), np.int64)
-            two[second] = of(pairs) - _own(pairs, at[second])
-            before = np.ones(len(words), np.int64)
-            before[second] = np.maximum(one[second - 1], 1)
-            others = np.maximum(total - np.diff(chunk.first), 1)[at]
-            head = np.ones(len(words), bool)
-            head[second] = False
-            found = two > 0
-            s = np.where(found, np.log(np.maximum(two, 1) / before), np.log(np.maximum(one, 0.5) / others) + np.where(head, 0.0, np.log(BACKOFF)))
+            sums, level = _settle(row, chunk, 1, order, total)
             sizes = np.diff(chunk.first)
-            sums = _per_row(s, chunk.first)
-            yield pa.RecordBatch.from_arrays([chunk.id_column(), pa.array(sizes), pa.array(_per_row(~found & ~head, chunk.first).astype(np.int64)), pa.array(sums), pa.array(sums / np.maximum(sizes, 1))],
+            low = level < np.minimum(_place(chunk) + 1, order)
+            yield pa.RecordBatch.from_arrays([chunk.id_column(), pa.array(sizes), pa.array(_per_row(low, chunk.first).astype(np.int64)), pa.array(sums), pa.array(sums / np.maximum(sizes, 1))],
                                              names=["doc_id", "n_words", "n_backoff", "score", "per_word"])
 
-    return chunked.join(totals, "cid", "left").mapInArrow(run, "doc_id long, n_words long, n_backoff long, score double, per_word double")
+    state = chunked
+    for k in range(order, 0, -1):
+        totals = packed.answer(packed.ask(chunked, n, partial(_question, k=k)), n, np.uint32, _total)
+        met = state.join(totals, "cid", "left")
+        if k == 1:
+            return met.mapInArrow(last, "doc_id long, n_words long, n_backoff long, score double, per_word double")
+        kept = common.scratch(met.mapInArrow(partial(step, k=k), "cid long, sums binary, level binary"), "orders", clean=True)
+        state = chunked.join(kept, "cid")

@@ -100,4 +100,4 @@ def op4_personal_data(spark, sf_dir):
 @query
 def op9_lm_scores(spark, sf_dir):
     common.prepare(spark)
-    return lm.score(common.documents(spark, sf_dir))
+    return lm.score(common.documents(spark, sf_dir), order=3)

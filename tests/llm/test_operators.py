@@ -153,6 +153,25 @@ def test_lm_against_counts(edge, nothing):
     assert lm.score(nothing).count() == 0
 
 
+def test_op9_scores_triples(spark):
+    rows = [(r["doc_id"], words(r["text"])) for r in common.documents(spark, SF).collect()]
+    runs = [Counter(tuple(w[j:j + k]) for _, w in rows for j in range(len(w) - k + 1)) for k in range(4)]
+    total, want = sum(runs[1].values()), []
+    for i, w in rows:
+        own = [Counter(tuple(w[j:j + k]) for j in range(len(w) - k + 1)) for k in range(4)]
+        c = lambda *g: runs[len(g)][g] - own[len(g)][g]
+        s = low = 0
+        for j, x in enumerate(w):
+            top = min(j + 1, 3)
+            k = next((k for k in range(top, 1, -1) if c(*w[j - k + 1:j + 1]) > 0), 1)
+            s += (top - k) * math.log(0.4) + (math.log(c(*w[j - k + 1:j + 1]) / c(*w[j - k + 1:j])) if k > 1 else math.log(max(c(x), 0.5) / max(total - len(w), 1)))
+            low += k < top
+        want.append((i, len(w), low, s))
+    got = sorted(tuple(r)[:4] for r in queries.op9_lm_scores(spark, SF).collect())
+    for g, w in zip(got, sorted(want), strict=True):
+        assert g[:3] == w[:3] and g[3] == pytest.approx(w[3], rel=1e-9, abs=1e-6)
+
+
 def test_license_edges(edge, nothing):
     got = {r["doc_id"]: r for r in licenses.scan(edge).collect()}
     assert got[0]["n_words"] == 0 and got[0]["first_word"] is None and got[0]["labels"] == ""
