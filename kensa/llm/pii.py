@@ -8,6 +8,12 @@ and whether its check digit holds; a name keeps title, gender, script and number
 of parts.  One entity, however it is spelt (case, separators), has one surrogate
 in all documents.
 
+Names are keyed by part: the family name (the last part found under a title) has one
+surrogate whatever the title, and given names one for each family name, their gender
+told by any title the person has in the document.  So 'Mr John Smith', 'Dr John
+Smith' and 'Mr Smith' stay one person, and later 'John Smith' or 'Smith' without a
+title are replaced too.  Given names alone, and persons never titled, are not found.
+
 Distinctness: all distinct entities of the corpus and their surrogates form a
 table.  Where two entities meet in one surrogate, or a surrogate is itself an
 entity of the corpus, all but the first try again with the next attempt, until
@@ -27,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -50,7 +57,8 @@ _NUMBERS = (
 )
 # Titles and the gender they tell.
 _TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Frau": "f", "Monsieur": "m", "Madame": "f", "Mme": "f", "Señor": "m", "Señora": "f", "Господин": "m", "Госпожа": "f", "Dr": "n", "Prof": "n"}
-_PART = r"[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-я'-]+"
+_UPPER = "".join(c for c in map(chr, range(0x10000)) if unicodedata.category(c) in ("Lu", "Lt"))
+_PART = rf"[{_UPPER}](?:(?!['’]s(?!\w))['’-]?(?:[^\W\d_]|[\u0300-\u036f]))+"
 _NAME = re.compile(rf"(?<!\w)(?P<t>{'|'.join(_TITLES)})\.? (?P<v>{_PART}(?: {_PART}){{0,2}})(?!\w)")
 # Given names by script and gender; n is used where the title tells none.
 _GIVEN = {
@@ -60,8 +68,12 @@ _GIVEN = {
     ("cyrillic", "m"): "Антон Борис Виктор Глеб Денис Егор Захар Игорь".split(),
     ("cyrillic", "f"): "Анна Белла Вера Галина Дарья Елена Зоя Ирина".split(),
     ("cyrillic", "n"): "Женя Саша Валя Шура Паша Слава".split(),
+    ("greek", "m"): "Άρης Βασίλης Γιώργος Δημήτρης Κώστας Νίκος Πέτρος Σπύρος".split(),
+    ("greek", "f"): "Άννα Δάφνη Ελένη Ζωή Ιωάννα Μαρία Νίκη Σοφία".split(),
+    ("greek", "n"): "Φώτη Χρύσα Άλκη Λώρη".split(),
 }
-_SYLLABLES = {"latin": ("ba be do fe ga hol ka lin mar nor pe ros sta tor va wen".split(), ("er", "er")), "cyrillic": ("ба ве до га ко ли мар но пе ро ста ту".split(), ("ов", "ова"))}
+_SYLLABLES = {"latin": ("ba be do fe ga hol ka lin mar nor pe ros sta tor va wen".split(), ("er", "er")), "cyrillic": ("ба ве до га ко ли мар но пе ро ста ту".split(), ("ов", "ова")),
+              "greek": ("βα γε δο κα λι μαρ νο πε ρο στα του φι".split(), ("άκης", "άκη"))}
 
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
@@ -85,12 +97,51 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                         add(kind, *m.span("v"), m["v"].lower())
                 else:
                     add(kind, *m.span(), m[0].lower() if kind == "secret" else m[0] if kind == "ip" else re.sub(r"\D", "", m[0]))
+    people: dict[str, set[str]] = {}
+    titled = []
     for m in _NAME.finditer(text):
-        script = "cyrillic" if re.match("[А-я]", m["v"]) else "latin"
-        add(f"name.{script}.{_TITLES[m['t']]}", *m.span("v"), m["v"])
+        value = _cased(m["v"])
+        titled.append((*m.span("v"), value, _TITLES[m["t"]]))
+        for name in {value, value.split()[-1]}:
+            people.setdefault(name, set()).add(_TITLES[m["t"]])
+    for start, end, value, own in titled:
+        add(f"name.{_script(value)}.{_gender(people, value, own)}", start, end, value)
+    if people:
+        forms = sorted({f for name in people for f in (name, name.upper())}, key=len, reverse=True)
+        for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, forms))})(?!\w)", text):
+            value = _cased(m[0])
+            if value in people:
+                add(f"name.{_script(value)}.{_gender(people, value, 'n')}", *m.span(), value)
     return sorted(found)
 
 
+def _cased(name: str) -> str:
+    """A name with parts in capitals only spelt as usual."""
+    return " ".join(p.title() if p.isupper() else p for p in name.split())
+
+
+def _script(name: str) -> str:
+    script = unicodedata.name(name.split()[-1][0], "LATIN").split()[0].lower()
+    return script if script in _SYLLABLES else "latin"
+
+
+def _gender(people: dict[str, set[str]], name: str, own: str) -> str:
+    """The gender of a person: that of the title, else the only one other titles tell."""
+    told = people[name] - {"n"}
+    return own if own != "n" or len(told) != 1 else next(iter(told))
+
+
+def parts(kind: str, value: str) -> list[tuple[str, str]]:
+    """The entities that have surrogates: given names and the family name of a name, any other as it is."""
+    if not kind.startswith("name."):
+        return [(kind, value)]
+    _, script, gender = kind.split(".")
+    given, _, family = value.rpartition(" ")
+    ends = _SYLLABLES[script][1]
+    last = (f"name.{script}.{'f' if gender == 'f' and ends[0] != ends[1] else 'n'}", family)
+    return [(f"given.{script}.{gender}.{family}", given), last] if given else [last]
+
+
 _DIGIT = re.compile(r"\d")
 
 
@@ -130,6 +181,11 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         given = _GIVEN[script, gender]
         family = "".join(parts[draw.below(len(parts))] for _ in range(3 + attempt // 4)) + endings[gender == "f"]
         return " ".join([given[draw.below(len(given))] for _ in range(count - 1)] + [family.capitalize()])
+    if kind.startswith("given."):
+        _, script, gender, _ = kind.split(".")
+        names, syllables = _GIVEN[script, gender], _SYLLABLES[script][0]
+        make = lambda: "".join(syllables[draw.below(len(syllables))] for _ in range(1 + attempt // 4)).capitalize()
+        return " ".join(make() if attempt > 3 else names[draw.below(len(names))] for _ in value.split())
     if kind in ("card", "phone", "ssn"):
         lead = 1 if kind != "ssn" else 0
         more = attempt // 4 if kind == "phone" else 0
@@ -151,7 +207,7 @@ def render(kind: str, original: str, value: str) -> str:
     if kind in ("card", "phone", "ssn"):
         digits = iter(value)
         return "".join([next(digits) if c.isdigit() else c for c in original] + list(digits))
-    if kind in ("email", "secret") and original.upper() == original:
+    if (kind in ("email", "secret") or kind.startswith("name.")) and original.upper() == original:
         return value.upper()
     return value
 
@@ -159,7 +215,8 @@ def render(kind: str, original: str, value: str) -> str:
 def replace(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str, int]:
     out, at, spans = [], 0, find(text)
     for start, end, kind, value in spans:
-        out += [text[at:start], render(kind, text[start:end], surrogate(key, kind, value, attempts.get((kind, value), 0)))]
+        new = " ".join(surrogate(key, *part, attempts.get(part, 0)) for part in parts(kind, value))
+        out += [text[at:start], render(kind, text[start:end], new)]
         at = end
     return "".join([*out, text[at:]]), len(spans)
 
@@ -172,7 +229,7 @@ def entities(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
         for batch in batches:
             docs, kinds, values = [], [], []
             for doc, t in zip(batch.column("doc").to_pylist(), batch.column("__text").to_pylist()):
-                for k, v in {(k, v) for _, _, k, v in find(t)} if t else ():
+                for k, v in {part for _, _, k, v in find(t) for part in parts(k, v)} if t else ():
                     docs.append(doc)
                     kinds.append(k)
                     values.append(v)
@@ -193,6 +250,8 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
     for _ in range(MAX_ATTEMPTS):
         table = common.scratch(table.mapInArrow(make, f"{kinds}, surrogate string"), "surrogates")
         family = F.split_part(F.col("kind"), F.lit("."), F.lit(1))
+        # given names are told apart within a family name
+        family = F.when(family == "given", F.concat_ws(".", family, F.split_part(F.col("kind"), F.lit("."), F.lit(4)))).otherwise(family)
         first = Window.partitionBy(family, "surrogate").orderBy("attempt", "kind", "value")
         real = table.select(family.alias("f"), F.col("value").alias("s")).distinct()
         judged = table.withColumn("again", F.row_number().over(first) > 1)

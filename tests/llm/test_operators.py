@@ -273,6 +273,18 @@ def test_pii_settles_addresses_of_one_shape(spark):
     assert len({r["text"] for r in new}) == 2 and all(re.fullmatch(r"to _@(\w+\.)?example\.org", r["text"]) for r in new)
 
 
+def test_pii_names_of_one_person(spark):
+    texts = ["Mr John Smith met Dr John Smith. Mr Smith's car. John Smith left, SMITH too; Smithson stayed", "Mr Łukasz Żak and Dr Παπαδόπουλος, Żak", "Dr Smith, Mr Paul Smith"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = [r["text"] for r in sorted(pii.pseudonymise(df, pii.demo_key("t"), count="n").collect())]
+    m = re.fullmatch(r"Mr (\w+) (\w+) met Dr \1 \2\. Mr \2's car\. \1 \2 left, (\w+) too; Smithson stayed", new[0])
+    assert m and m[1] in pii._GIVEN["latin", "m"] and m[3] == m[2].upper() and "Smith" not in m[2]
+    n = re.fullmatch(r"Mr (\w+) (\w+) and Dr (\w+), \2", new[1])
+    assert n and n[2] != "Żak" and n[3] != "Παπαδόπουλος" and pii._script(n[3]) == "greek"
+    k = re.fullmatch(rf"Dr {m[2]}, Mr (\w+) {m[2]}", new[2])
+    assert k and k[1] != m[1]
+
+
 def test_pii_spaces_grow():
     for kind, value in (("email", "_@a.com"), ("phone", "1234567"), ("secret", "1-----------"), ("name.latin.m", "Smith")):
         sizes = [len(pii.surrogate(b"k", kind, value, a)) for a in (0, 8, 24, 48)]
