@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns the rows it keeps with the
 columns of ``documents``; the last returns token ids.  No SQL expresses the
-classifier or the transducer; tests hold each stage against brute force.
+classifier or the transducer; tests hold the near-duplicates stage against brute
+force, the others through their operators.
 """
 
 from __future__ import annotations
@@ -16,12 +17,6 @@ from kensa.llm import common, decontamination, minmax, pii, quality, queries, wf
 from kensa.sources.tables import table
 
 
-def _back(docs: DataFrame, judged: DataFrame, keep: str) -> DataFrame:
-    """The rows of ``docs`` whose id is not among those judged away; rows without an id stay."""
-    gone = judged.where(~F.col(keep)).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier accepts; it learns from the documents and labels of ``sf_dir``."""
     common.prepare(spark)
@@ -31,10 +26,21 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is 0.8 or more alike in five-word shingles."""
+    """One row, of the smallest id, of each group that is 0.8 or more alike in five-word shingles.
+
+    Rows are judged one by one, so ids may repeat with other texts; rows without an id stay.
+    """
     common.prepare(spark)
-    judged = minmax.groups(docs, k=5)
-    return _back(docs, common.scratch(judged, "judged"), "kept")
+    rows = common.scratch(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    some = rows.where("doc_id is not null").select("__row", "doc_id", "text")
+    judged = minmax.groups(some, k=5, key="__row").select(F.col("doc_id").alias("__row"), "n_shingles", "component_id")
+    # texts without shingles are alike only to repeats of the same id and text
+    alike = F.when(F.col("n_shingles") > 0, F.struct(F.col("component_id").alias("a"), F.lit(None).cast("string").alias("b"))) \
+        .otherwise(F.struct(F.col("doc_id").cast("long").alias("a"), F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit("null")).alias("b")))
+    judged = common.scratch(judged.join(some, "__row").select(F.col("__row"), "doc_id", alike.alias("alike")), "judged")
+    first = judged.groupBy("alike").agg(F.min(F.struct("doc_id", "__row")).alias("f")).select(F.col("f.__row").alias("__row"))
+    gone = judged.select("__row").join(first, "__row", "left_anti")
+    return rows.join(gone, "__row", "left_anti").select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kensa.llm import ann, common, decontamination, langid, licenses, lm, minmax, packed, pii, quality, queries, substrings, wfst
+from kensa.llm import ann, common, decontamination, langid, licenses, lm, minmax, packed, pii, pipeline, quality, queries, substrings, wfst
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, cls long, comp long, u string"
@@ -359,3 +359,20 @@ def test_pipeline_on_a_small_corpus(spark):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert len(last) == docs.count() > 50 and all(r["round_trip"] for r in last)
+
+
+def test_pipeline_near_duplicates_against_brute_force(spark):
+    rows = [(r["doc_id"], r["text"]) for r in common.documents(spark, SF).collect()]
+    rows += [rows[0], rows[0], (rows[1][0], rows[2][1]), (rows[3][0], PROSE), (rows[3][0], PROSE + "and then home"), (5, "too short"), (5, "too short"), (5, "short"), (7, None), (7, None), (None, PROSE), (None, PROSE)]
+    df = spark.createDataFrame([(*r, None, None, None) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    sets, group, want = [shingle_set(t, 5) for _, t in rows], list(range(len(rows))), []
+    for i, (a, x) in enumerate(rows):
+        for j in range(i) if a is not None else ():
+            same = len(sets[i] & sets[j]) * 100 >= 80 * len(sets[i] | sets[j]) if sets[i] and sets[j] else not sets[i] and not sets[j] and rows[i] == rows[j]
+            if rows[j][0] is not None and same and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    for g in set(group):
+        want.append(min((r for r, h in zip(rows, group) if h == g), key=lambda r: -1 if r[0] is None else r[0])[0])
+    got = pipeline.near_duplicate_stage(spark, df, SF)
+    assert got.columns == df.columns
+    assert sorted(map(str, want)) == sorted(str(r["doc_id"]) for r in got.collect())
