@@ -21,6 +21,7 @@ from kensa import session as _session
 from kensa.sources.tables import table
 
 PIECE_BYTES = 2 << 20
+SEGMENT_BYTES = 1 << 20
 
 # White space of the word rule: space and U+0009 to U+000D.
 SPACE = np.zeros(256, bool)
@@ -109,8 +110,8 @@ def find_words(data: np.ndarray, offsets: np.ndarray, not_word: np.ndarray = SPA
 
 
 @lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(n, _BASE, np.uint64), np.full(n, _BASE_INVERSE, np.uint64)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    up, down = np.full(SEGMENT_BYTES + 1, _BASE, np.uint64), np.full(SEGMENT_BYTES + 1, _BASE_INVERSE, np.uint64)
     up[0] = down[0] = 1
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
@@ -125,15 +126,29 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every word: polynomial over random byte codes, by prefix sums."""
-    if len(starts) == 0:
-        return np.zeros(0, np.uint64)
-    n = len(data)
-    up, down = _powers(max(PIECE_BYTES + 1, 1 << n.bit_length()))
-    sums = np.empty(n + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * down[starts]
+    """64-bit hash of every word: polynomial over random byte codes, by prefix sums.
+
+    Words are taken a segment of bytes at a time (a longer word in segments of its own),
+    so the memory needed besides the result doesn't follow the text.
+    """
+    h = np.zeros(len(starts), np.uint64)
+    up, down = _powers()
+    lo = 0
+    while lo < len(starts):
+        at = int(starts[lo])
+        hi = int(np.searchsorted(ends, at + SEGMENT_BYTES, "right"))
+        if hi > lo:
+            part = data[at:int(ends[hi - 1])]
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_BYTE[part] * up[:len(part)], out=sums[1:])
+            h[lo:hi] = (sums[ends[lo:hi] - at] - sums[starts[lo:hi] - at]) * down[starts[lo:hi] - at]
+        else:
+            hi, end, total = lo + 1, int(ends[lo]), 0
+            for a in range(at, end, SEGMENT_BYTES):
+                part = data[a:min(a + SEGMENT_BYTES, end)]
+                total += int((_BYTE[part] * up[:len(part)]).sum(dtype=np.uint64)) * pow(_BASE, a - at, 2**64)
+            h[lo] = total % 2**64
+        lo = hi
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 

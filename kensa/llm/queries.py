@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kensa.llm import ann, common, decontamination, langid, licenses, lm, minmax, pii, quality, substrings, wfst
+from kensa.llm import ann, common, decontamination, langid, licenses, lm, minmax, periods, pii, quality, substrings, wfst
 from kensa.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +103,27 @@ def op4_personal_data(spark, sf_dir):
 def op9_lm_scores(spark, sf_dir):
     common.prepare(spark)
     return lm.score(common.documents(spark, sf_dir), order=3)
+
+
+def planted(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Places of the words of a text; in about a tenth of them the end repeats (as op 11 is asked)."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % (1 + (n - a) // (3 + g % 8)))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    """Runs of every text (planted repeats in a tenth of them) and digests of its runs and of what stays without them."""
+    found = periods.periodic_runs(common.documents(spark, sf_dir), reorder=planted)
+    # a quotient of two numbers under 2**26 is exact enough as a double to tell any two apart
+    best = F.array_max(F.transform("runs", lambda r: F.struct((r["length"] / r["period"]).alias("x"), (-r["start"]).alias("s"), (-r["period"]).alias("p"), r["length"].alias("n"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"].cast("string"), F.lit("\n")))), "")
+    found = found.withColumn("best", best)
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.n").alias("length"), (-F.col("best.p")).alias("period"),
+                        F.expr("best.n * 1000 div -best.p").alias("exponent_milli"), F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
