@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kensa.llm import ann, common, decontamination, langid, licenses, lm, minmax, periods, pii, quality, substrings, wfst
+from kensa.llm import ann, common, decontamination, langid, licenses, lm, minmax, packing, periods, pii, quality, substrings, wfst
 from kensa.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,14 @@ def op11_periodic_runs(spark, sf_dir):
     return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.n").alias("length"), (-F.col("best.p")).alias("period"),
                         F.expr("best.n * 1000 div -best.p").alias("exponent_milli"), F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
                         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+BYTE_BPE = os.environ.get("KENSA_BYTE_BPE", "/opt/tokenizers/byte_bpe_50k.json")
+
+
+@query
+def op13_best_fit_packing(spark, sf_dir):
+    """Every text as token ids with a 0 behind, packed into sequences of 2,048; a checksum stands for a piece's ids."""
+    pieces = packing.tokenise(common.documents(spark, sf_dir), Path(BYTE_BPE).read_bytes(), end=0, capacity=2048)
+    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(pieces, capacity=2048).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
