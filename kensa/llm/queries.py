@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kensa.llm import ann, common, decontamination, langid, licenses, lm, minmax, packing, periods, pii, quality, substrings, wfst
+from kensa.llm import ann, common, covertree, decontamination, langid, licenses, lm, minmax, packing, periods, pii, quality, substrings, wfst
 from kensa.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,30 @@ def op13_best_fit_packing(spark, sf_dir):
     pieces = packing.tokenise(common.documents(spark, sf_dir), Path(BYTE_BPE).read_bytes(), end=0, capacity=2048)
     pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(pieces, capacity=2048).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector; every seventh vector takes the label after its own first."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return covertree.mine(vectors.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0, positives=5, negatives=10, low=30, high=90, scale=256.0)
+
+
+ORACLE["op12_hard_negatives"] = """
+WITH base AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM base a JOIN base b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+pos AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other) AS INTEGER) AS rank,
+       n.other AS negative_id, p.positive_score, n.score AS negative_score
+FROM pos p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+WHERE 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+QUALIFY rank <= 10"""
