@@ -97,8 +97,9 @@ class CoverTree:
                 level += 1
             if len(rows) <= LEAF or reach < 1e-6:
                 continue
-            parts = self.cover(rows, centre, 2 * BASE ** -level, int(4 * np.sqrt(len(rows))))
-            if len(parts) > len(rows) // 4:       # vectors that are far from each other: no smaller nodes
+            most = 4 * len(rows) // LEAF
+            parts = self.cover(rows, centre, 2 * BASE ** -level, most)
+            if len(parts) > most:                 # vectors that are far from each other: nodes would hold too few
                 continue
             self.leaf[node] = None
             for own, c, whole in parts:
