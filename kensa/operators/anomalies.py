@@ -71,34 +71,39 @@ def anomaly_counts(df: DataFrame, exclude: list[str] | None = None) -> DataFrame
 
 
 def anomalies_by_line(inspections: DataFrame, production: DataFrame,
-                      kind: str | None = None) -> DataFrame:
-    """Anomaly count and number of distinct items and units per (line, kind).
+                      kind: str | None = None, distinct_items: bool = True) -> DataFrame:
+    """Anomaly count and number of distinct items (unless ``distinct_items`` is off) and
+    units per (line, kind).
 
     Counts are first reduced to one row per (unit, kind) -- map-side partial
-    aggregation, so a unit that makes a third of all items costs one row --
-    and only then joined to the production table.  The join is a plain equi
-    join: AQE turns it into a broadcast when the reduced side is small and
-    splits skewed partitions otherwise.  Units with no production row keep
-    a null line instead of being dropped.  An item is made by one unit, so its
-    distinct items add up over units.
+    aggregation, so a unit that makes a third of all items costs one row -- and only
+    then joined to the production table.  The joins are plain equi
+    joins: AQE turns them into broadcasts when a side is small and splits skewed
+    partitions otherwise.  Units with no production row keep a null line instead of
+    being dropped.  An item that stands under several units of a line counts once:
+    distinct (line, kind, item) are made by item first, so a line with a third of all
+    items is spread over all tasks, and then counted by line.
     """
     anom = anomalies(inspections).select("unit_id", "item_id", F.explode(_kinds()).alias("kind"))
     if kind is not None:
         anom = anom.where(F.col("kind") == kind)
-    per_unit = anom.groupBy("unit_id", "kind").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("item_id").alias("n_distinct"))
     lines = production.select("unit_id", "line")
-    joined = per_unit.join(lines, "unit_id", "left")
-    return joined.groupBy("line", "kind").agg(
-        F.sum("n").alias("n_anomalies"), F.sum("n_distinct").alias("n_items"),
-        F.count(F.lit(1)).alias("n_units"))
+    per_unit = anom.groupBy("unit_id", "kind").agg(F.count(F.lit(1)).alias("n"))
+    counts = per_unit.join(lines, "unit_id", "left").groupBy("line", "kind").agg(
+        F.sum("n").alias("n_anomalies"), F.count(F.lit(1)).alias("n_units"))
+    if not distinct_items:
+        return counts.select("line", "kind", "n_anomalies", "n_units")
+    items = anom.where(F.col("item_id").isNotNull()).join(lines, "unit_id", "left").select("line", "kind", "item_id").distinct()
+    distinct = items.groupBy("line", "kind").agg(F.count(F.lit(1)).alias("n_items")).select(F.col("line").alias("_line"), F.col("kind").alias("_kind"), "n_items")
+    same = F.col("line").eqNullSafe(F.col("_line")) & F.col("kind").eqNullSafe(F.col("_kind"))
+    return counts.join(distinct, same, "left").select("line", "kind", "n_anomalies", F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), "n_units")
 
 
 def rank_lines(by_line: DataFrame, kind: str) -> DataFrame:
     """Lines ranked by the count of one kind (1 = most, dense ranks).
 
-    The input is already one row per line; it is materialised and counted,
-    and only a frame within the broadcast row limit is ranked by a single
+    The input is already one row per line; it is materialised and measured,
+    and only a frame within the broadcast limit is ranked by a single
     ordered window (``numbering.dense_rank_desc``); a larger one is ranked
     by the distributed numbering."""
     return dense_rank_desc(by_line.where(F.col("kind") == kind), "n_anomalies", "rank")

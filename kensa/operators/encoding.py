@@ -12,23 +12,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kensa.operators.joins import BROADCAST_ROW_LIMIT
+from kensa.operators.joins import SMALL_BYTES, value_bytes
 from kensa.operators.numbering import number_rows
 from kensa.session import cut_lineage
 
 UNKNOWN_CODE = -1
 
 
-def fit_codes(df: DataFrame, cols: list[str], max_rows: int = BROADCAST_ROW_LIMIT) -> dict[str, DataFrame]:
+def fit_codes(df: DataFrame, cols: list[str], max_bytes: int = SMALL_BYTES) -> dict[str, DataFrame]:
     """Code tables ``(value, code)`` per column, fitted on ``df``.
 
     Columns of one data type are fitted in one pass: one scan and one
     shuffle produce the distinct ``(column, value)`` pairs, which are
-    materialised once and counted per column (values keep their type, so
-    codes follow the type's own order).  A column within ``max_rows``
-    values is small by proof: its codes come from a window over at most
-    ``max_rows`` values and its table is broadcast, so the coded table is
-    never hashed on a low-cardinality column.  A larger column is numbered
+    materialised once and their bytes summed per column (values keep
+    their type, so codes follow the type's own order).  A column within
+    ``max_bytes`` is small by proof: its codes come from a window over these
+    values and its table is broadcast, so the coded table is never hashed on a
+    low-cardinality column.  A larger column is numbered
     by the distributed, skew-safe numbering and joined normally (AQE splits
     skewed partitions)."""
     by_type: dict[str, list[str]] = {}
@@ -36,16 +36,17 @@ def fit_codes(df: DataFrame, cols: list[str], max_rows: int = BROADCAST_ROW_LIMI
         by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
     out: dict[str, DataFrame] = {}
     for group in by_type.values():
-        out.update(_fit_same_type(df, group, max_rows))
+        out.update(_fit_same_type(df, group, max_bytes))
     return {c: out[c] for c in cols}
 
 
-def _fit_same_type(df: DataFrame, cols: list[str], max_rows: int) -> dict[str, DataFrame]:
+def _fit_same_type(df: DataFrame, cols: list[str], max_bytes: int) -> dict[str, DataFrame]:
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("value")) for c in cols]))
     values = df.select(pairs.alias("p")).select("p.*").where(F.col("value").isNotNull()).distinct()
     values = cut_lineage(values)
-    sizes = {r["col"]: r["n"] for r in values.groupBy("col").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = [c for c in cols if sizes.get(c, 0) <= max_rows]
+    size = value_bytes(F.col("value"), values.schema["value"].dataType)
+    sizes = {r["col"]: r["bytes"] for r in values.groupBy("col").agg(F.sum(size).alias("bytes")).collect()}
+    small = [c for c in cols if sizes.get(c, 0) <= max_bytes]
     large = [c for c in cols if c not in small]
     out = {}
     if small:

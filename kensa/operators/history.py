@@ -46,10 +46,11 @@ def transcript(df: DataFrame) -> DataFrame:
     ``(conv_id, position, role, text)`` range-sorted by (conv_id, position).
 
     Rows, not one array per conversation: a very long conversation is never
-    gathered into one value or one task.
+    gathered into one value or one task.  The numbering leaves them in this order,
+    so there is no sort behind it.
     """
     numbered = number_turns(normalise_role(df))
-    return numbered.select("conv_id", "position", "role", "text").orderBy("conv_id", "position")
+    return numbered.select("conv_id", "position", "role", "text")
 
 
 def sample_input(df: DataFrame, key: str) -> DataFrame:

@@ -11,7 +11,8 @@ tests check that both forms agree.
 
 from __future__ import annotations
 
-import functools
+import struct
+import zlib
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -67,17 +68,32 @@ def margin_crop_np(img: np.ndarray, margin: float = 0.1) -> np.ndarray:
     h, w = img.shape[:2]
     l, t = int(w * margin), int(h * margin)
     r, b = int(w * (1 - margin)), int(h * (1 - margin))
+    if l >= r or t >= b:
+        raise ValueError(f"nothing is left of a {w} x {h} image")
     return img[t:b, l:r]
 
 
 _PRECISION_BITS = 32 - 8 - 2
 
 
-@functools.lru_cache(maxsize=64)
+_WEIGHT_BYTES = 64 << 20
+_weights: dict[tuple[int, int], np.ndarray] = {}
+
+
 def _bilinear_weights(in_size: int, out_size: int) -> np.ndarray:
+    """``_make_weights``, kept for the size pairs used last, ``_WEIGHT_BYTES`` of them at most."""
+    key = (in_size, out_size)
+    made = _weights.pop(key, None)
+    made = _make_weights(*key) if made is None else made
+    _weights[key] = made                      # the last in order is the one used last
+    while len(_weights) > 1 and sum(w.nbytes for w in _weights.values()) > _WEIGHT_BYTES:
+        _weights.pop(next(iter(_weights)))
+    return made
+
+
+def _make_weights(in_size: int, out_size: int) -> np.ndarray:
     """Fixed-point antialiased triangle-filter weights (out_size x in_size),
-    the usual 8-bit resampling scheme: support widens when downscaling.
-    Cached per size pair: images of one size share them."""
+    the usual 8-bit resampling scheme: support widens when downscaling."""
     scale = in_size / out_size
     fscale = max(scale, 1.0)
     support = 1.0 * fscale
@@ -136,6 +152,20 @@ def center_crop_np(img: np.ndarray, size: int = TRAIN_CROP) -> np.ndarray:
     return img[top:top + size, left:left + size]
 
 
+def png_np(height: int, width: int, channels: int, data: bytes, level: int = 6) -> bytes:
+    """Image bytes (gray, BGR or BGRA) as a PNG file; level 0 stores the rows uncompressed."""
+    a = np.frombuffer(data, np.uint8).reshape(height, width, channels)
+    order = {1: [0], 3: [2, 1, 0], 4: [2, 1, 0, 3]}[channels]
+    rows = np.zeros((height, 1 + width * channels), np.uint8)   # each row behind its filter type, 0
+    rows[:, 1:] = a[:, :, order].reshape(height, -1)
+    # PNG signature, chunk names and colour types.
+    header = struct.pack(">IIBBBBB", width, height, 8, {1: 0, 3: 2, 4: 6}[channels], 0, 0, 0)
+    out = b"\x89PNG\r\n\x1a\n"
+    for name, body in ((b"IHDR", header), (b"IDAT", zlib.compress(rows.tobytes(), level)), (b"IEND", b"")):
+        out += struct.pack(">I", len(body)) + name + body + struct.pack(">I", zlib.crc32(name + body))
+    return out
+
+
 def to_tensor_np(img: np.ndarray) -> np.ndarray:
     """H x W x C uint8 -> C x H x W float32 in [0, 1]."""
     return (np.transpose(img, (2, 0, 1)).astype(np.float32) / np.float32(255.0))
@@ -182,24 +212,29 @@ def _rgb_in(column) -> list:
             image_to_rgb(p["height"], p["width"], p["nChannels"], p["data"]) for p in column.to_pylist()]
 
 
-def _in_pieces(df: DataFrame, col: str, out: str, dtype: T.DataType, read, fn, write) -> DataFrame:
+def _in_pieces(df: DataFrame, col: str, out: str, dtype: T.DataType, read, fn, write, error: str | None = None) -> DataFrame:
     """``df`` with column ``out`` = ``fn`` of each image of ``col``.  Arrow batches
     are cut to ``BATCH_ROWS`` rows before any pixel is produced, and each piece
-    is sent back by itself, so a task holds the output of one piece only."""
+    is sent back by itself, so a task holds the output of one piece only.  Where
+    ``fn`` fails the result is null; ``error`` names a column for the reason (C20)."""
     ship_package(df.sparkSession)
-    names = [c for c in df.columns if c != out]
+    names = [c for c in df.columns if c not in (out, error)]
     at = df.columns.index(col)
+    more = [error] if error else []
+    safe = capture_error(fn)
 
     def run(batches):
         import pyarrow as pa
         for rb in batches:
             for lo in range(0, rb.num_rows, BATCH_ROWS):
                 piece = rb.slice(lo, BATCH_ROWS)
-                made = write([None if a is None else fn(a) for a in read(piece.column(at))])
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names), made], names=[*names, out])
+                done = [(None, None) if a is None else safe(a) for a in read(piece.column(at))]
+                reasons = [pa.array([e for _, e in done], pa.string())] if error else []
+                yield pa.RecordBatch.from_arrays([*(piece.column(names_at[c]) for c in names), write([v for v, _ in done]), *reasons], names=[*names, out, *more])
 
-    schema = T.StructType([*(df.schema[c] for c in names), T.StructField(out, dtype)])
-    order = df.columns if out in df.columns else [*names, out]
+    names_at = {c: i for i, c in enumerate(df.columns)}
+    schema = T.StructType([*(df.schema[c] for c in names), T.StructField(out, dtype), *(T.StructField(c, T.StringType()) for c in more)])
+    order = [*df.columns, *(c for c in (out, *more) if c not in df.columns)]
     return df.mapInArrow(run, schema).select(*order)
 
 
@@ -209,21 +244,22 @@ def to_rgb(df: DataFrame, image: str = "image", out: str = "pixels") -> DataFram
     return _in_pieces(spread(df), image, out, PIXELS, _rgb_in, lambda a: a, _pixels_out)
 
 
-def square_resize(df: DataFrame, size: int = SCORE_SIZE, col: str = "pixels") -> DataFrame:
+def square_resize(df: DataFrame, size: int = SCORE_SIZE, col: str = "pixels", error: str | None = None) -> DataFrame:
     """Centre square crop, nearest resize to ``size`` x ``size``."""
-    return _in_pieces(df, col, col, PIXELS, _pixels_in, lambda a: square_resize_np(a, size), _pixels_out)
+    return _in_pieces(df, col, col, PIXELS, _pixels_in, lambda a: square_resize_np(a, size), _pixels_out, error)
 
 
-def margin_crop(df: DataFrame, margin: float = 0.1, col: str = "pixels") -> DataFrame:
-    """Cut ``margin`` of the width / height off each side."""
-    return _in_pieces(df, col, col, PIXELS, _pixels_in, lambda a: margin_crop_np(a, margin), _pixels_out)
+def margin_crop(df: DataFrame, margin: float = 0.1, col: str = "pixels", error: str | None = None) -> DataFrame:
+    """Cut ``margin`` of the width / height off each side; null pixels
+    (and a reason in column ``error``, if named) where nothing is left."""
+    return _in_pieces(df, col, col, PIXELS, _pixels_in, lambda a: margin_crop_np(a, margin), _pixels_out, error)
 
 
 def resize_center_crop(df: DataFrame, resize: int = TRAIN_RESIZE, crop: int = TRAIN_CROP,
-                       col: str = "pixels") -> DataFrame:
+                       col: str = "pixels", error: str | None = None) -> DataFrame:
     """I4: short side to ``resize`` (bilinear, aspect kept), centre ``crop``."""
     return _in_pieces(df, col, col, PIXELS, _pixels_in, lambda a: center_crop_np(resize_short_np(a, resize), crop),
-                      _pixels_out)
+                      _pixels_out, error)
 
 
 def to_tensor(df: DataFrame, col: str = "pixels", out: str = "tensor") -> DataFrame:
@@ -236,6 +272,28 @@ def normalise(df: DataFrame, col: str = "pixels", out: str = "tensor", mean=MEAN
     return _in_pieces(df, col, out, TENSOR, _pixels_in, lambda a: normalise_np(to_tensor_np(a), mean, std),
                       _tensors_out)
 
+
+
+def image_vector(df: DataFrame, side: int, image: str = "image", out: str = "vector") -> DataFrame:
+    """Model input of an image: RGB, centre square, nearest resize to ``side`` x ``side``,
+    mean of the channels over 255, as floats.  Null where the image cannot be read."""
+    def vector(a):
+        return square_resize_np(a, side).mean(2).ravel() / 255.0
+    return _in_pieces(spread(df), image, out, TENSOR, _rgb_in, vector, _tensors_out)
+
+
+def encode_png(df: DataFrame, image: str = "image", out: str = "content", level: int = 6) -> DataFrame:
+    """The image as the bytes of a PNG file (null where there are no pixels)."""
+    def read(column):
+        return [None if p is None or p["data"] is None or not p["height"] or p["height"] < 1 or p["width"] < 1 else p for p in column.to_pylist()]
+
+    def write(files):
+        import pyarrow as pa
+        return pa.array(files, pa.binary())
+
+    return _in_pieces(spread(df), image, out, T.BinaryType(), read,
+                      lambda p: png_np(p["height"], p["width"], p["nChannels"], p["data"], level), write)
+
 # ---- Spark: one pass for training tensors, batched scoring ----------------------
 
 

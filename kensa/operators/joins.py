@@ -9,28 +9,46 @@ partitions of sort-merge joins.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kensa.session import cut_lineage
 
-# Largest side (rows) broadcast after a size check; beyond it a plain join.
-BROADCAST_ROW_LIMIT = 1_000_000
-
-
-def checked_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> tuple[DataFrame, bool]:
-    """Materialise ``df`` once in the shared checkpoint folder and count it
-    there; returns the materialised frame and whether it may be broadcast.
-    For sides that come out of an aggregate or a window, whose size the
+# Largest side, by its values' bytes, that is broadcast or handled by one task after
+# a size check; beyond it a plain join.
+SMALL_BYTES = 32 << 20
+
+
+def value_bytes(col: Column, kind: T.DataType) -> Column:
+    """About the bytes a value takes: texts and binaries by their length, the members
+    of nested values one by one, others by their fixed size."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(col)
+    elif isinstance(kind, T.StructType):
+        size = sum((value_bytes(col[f.name], f.dataType) for f in kind.fields), F.lit(0))
+    elif isinstance(kind, T.ArrayType):
+        size = F.aggregate(col, F.lit(0).cast("long"), lambda n, x: n + F.coalesce(value_bytes(x, kind.elementType), F.lit(0)).cast("long"))
+    elif isinstance(kind, T.MapType):
+        size = value_bytes(F.map_keys(col), T.ArrayType(kind.keyType)) + value_bytes(F.map_values(col), T.ArrayType(kind.valueType))
+    else:
+        size = F.lit(16 if isinstance(kind, T.DecimalType) else 8)
+    return F.coalesce(size, F.lit(0)).cast("long") + F.lit(8).cast("long")
+
+
+def checked_small(df: DataFrame, max_bytes: int = SMALL_BYTES) -> tuple[DataFrame, bool]:
+    """Materialise ``df`` once in the shared checkpoint folder and sum the bytes of
+    its values there; returns the materialised frame and whether it is small.  For sides that come out of an aggregate or a window, whose size the
     planner cannot estimate but which are small by construction."""
     m = cut_lineage(df)
-    return m, m.count() <= max_rows
+    row = sum((value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0))
+    return m, (m.agg(F.sum(row).alias("bytes")).first()["bytes"] or 0) <= max_bytes
 
 
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+                 max_bytes: int = SMALL_BYTES) -> DataFrame:
     """Equi join that broadcasts ``small`` only after its size is checked."""
-    s, ok = checked_small(small, max_rows)
+    s, ok = checked_small(small, max_bytes)
     return big.join(F.broadcast(s) if ok else s, on, how)
 
 
@@ -70,11 +88,17 @@ def prefer_source(manifest: DataFrame, mirror: DataFrame, origin: DataFrame,
                   key: str, value: str = "content") -> DataFrame:
     """Take each entry from the mirror, fall back to the origin.
 
-    ``source`` tells which copy was used (null when neither has it).
+    Which copy to use is decided on keys alone; then the origin's content is read
+    only for the keys the mirror lacks (a semi join that filters at the scan when
+    these keys are few enough to broadcast), so the content of no entry is moved
+    twice.  A copy without content is no copy.  ``source`` tells which copy was
+    used (null when neither has it); a key that a source holds more than once gives a
+    row for each.
     """
-    m = mirror.select(key, F.col(value).alias("_m"))
-    o = origin.select(key, F.col(value).alias("_o"))
-    j = manifest.join(m, key, "left").join(o, key, "left")
+    m = mirror.where(F.col(value).isNotNull()).select(key, F.col(value).alias("_m"))
+    o = origin.where(F.col(value).isNotNull()).select(key, F.col(value).alias("_o"))
+    lacking = manifest.select(key).distinct().join(m.select(key).distinct(), key, "left_anti")
+    j = manifest.join(m, key, "left").join(join_checked(o, lacking, key, "left_semi"), key, "left")
     src = F.when(F.col("_m").isNotNull(), F.lit("mirror")).when(F.col("_o").isNotNull(), F.lit("origin"))
     return (j.withColumn(value, F.coalesce("_m", "_o")).withColumn("source", src)
              .drop("_m", "_o"))

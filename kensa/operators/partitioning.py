@@ -10,6 +10,7 @@ rows grow (before decoding or exploding), while they are cheap to move.
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import DataFrame
 
 
@@ -18,8 +19,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         return df
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        # What comes out of a shuffle is spread already, and asking for its partitions would run it.
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
         current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - Spark Connect: no RDD view; leave layout to the server
+    except (PySparkAttributeError, RuntimeError):  # Spark Connect: no view of plan or RDD; leave the layout to the server
         return df
     if current >= target:
         return df

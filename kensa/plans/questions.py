@@ -43,11 +43,19 @@ def a3(spark, sf_dir):
     return an.anomalies_by_line(v.inspection(spark, sf_dir), v.production(spark, sf_dir))
 
 
+# Three inspections in a row are of one item, so an item may stand under several units of a line.
+@register("A3_items_of_several_units", v.with_views(["inspection", "production"], f"""
+{_BY_LINE_SQL}""".replace("FROM inspection", "FROM (SELECT * REPLACE (item_id // 3 AS item_id) FROM inspection)")))
+def a3_shared(spark, sf_dir):
+    shared = v.inspection(spark, sf_dir).withColumn("item_id", F.floor(F.col("item_id") / 3))
+    return an.anomalies_by_line(shared, v.production(spark, sf_dir))
+
+
 @register("T5_rank_lines", v.with_views(["inspection", "production"], f"""
 SELECT line, kind, n_anomalies, n_units, CAST(dense_rank() OVER (ORDER BY n_anomalies DESC) AS INTEGER) AS rank
 FROM ({_BY_LINE_SQL}) WHERE kind = 'bent'"""))
 def t5(spark, sf_dir):
-    by_line = an.anomalies_by_line(v.inspection(spark, sf_dir), v.production(spark, sf_dir), kind="bent").drop("n_items")
+    by_line = an.anomalies_by_line(v.inspection(spark, sf_dir), v.production(spark, sf_dir), kind="bent", distinct_items=False)
     return an.rank_lines(by_line, "bent")
 
 
@@ -109,7 +117,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY score DESC, doc_id
 WHERE rank <= 5"""))
 def worst_line_passages(spark, sf_dir):
     """Why one line has so many bent items: the worst line, its reports, their best passages."""
-    by_line = an.anomalies_by_line(v.inspection(spark, sf_dir), v.production(spark, sf_dir), kind="bent").drop("n_items")
+    by_line = an.anomalies_by_line(v.inspection(spark, sf_dir), v.production(spark, sf_dir), kind="bent", distinct_items=False)
     worst = an.rank_lines(by_line, "bent").where(F.col("rank") == 1)
     return rt.top_passages(jn.reports_for(worst, v.report(spark, sf_dir)), WORST_TERMS, TOP_K)
 

@@ -157,7 +157,7 @@ WITH by_line AS (
 top AS (SELECT line FROM by_line WHERE n = (SELECT max(n) FROM by_line))
 SELECT doc_id, line, source FROM report WHERE line IN (SELECT line FROM top)"""))
 def j3(spark, sf_dir):
-    by_line = an.anomalies_by_line(v.inspection(spark, sf_dir), v.production(spark, sf_dir), kind="bent").drop("n_items")
+    by_line = an.anomalies_by_line(v.inspection(spark, sf_dir), v.production(spark, sf_dir), kind="bent", distinct_items=False)
     top = an.rank_lines(by_line, "bent").where(F.col("rank") == 1)
     return jn.reports_for(top, v.report(spark, sf_dir)).select("doc_id", "line", "source")
 

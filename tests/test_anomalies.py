@@ -72,3 +72,12 @@ def test_repeated_items_count_once_as_items(spark):
     prod = spark.createDataFrame([(7, 1), (8, 1)], "unit_id long, line int")
     got = {(r.line, r.kind): (r.n_anomalies, r.n_items, r.n_units) for r in an.anomalies_by_line(insp, prod).collect()}
     assert got == {(1, "bent"): (3, 2, 2), (1, "melt"): (1, 1, 1)}
+
+
+def test_an_item_under_several_units_of_a_line_counts_once(spark):
+    rows = [(1, 7, "bent", "damaged"), (1, 8, "bent", "damaged"), (1, 9, "bent", "damaged"), (None, 7, "bent", "damaged"), (2, 99, "bent", "damaged"), (3, 98, "bent", "damaged")]
+    insp = spark.createDataFrame(rows, "item_id long, unit_id long, kind string, label string")
+    prod = spark.createDataFrame([(7, 1), (8, 1), (9, 2)], "unit_id long, line int")
+    got = {r.line: (r.n_anomalies, r.n_items, r.n_units) for r in an.anomalies_by_line(insp, prod).collect()}
+    assert got == {1: (3, 1, 2), 2: (1, 1, 1), None: (2, 2, 2)}
+    assert "n_items" not in an.anomalies_by_line(insp, prod, distinct_items=False).columns

@@ -120,3 +120,28 @@ def test_unreadable_images_stay_as_null_rows(spark):
     df = spark.createDataFrame([(1, None)], "id long, image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>")
     out = im.normalise(im.margin_crop(im.square_resize(im.to_rgb(df))))
     assert [(r.id, r.pixels, r.tensor) for r in out.collect()] == [(1, None, None)]
+
+
+def test_images_with_nothing_left_give_null_and_a_reason(spark):
+    rows = [("wide", 1, 40, 1, 0, bytes(40)), ("one", 1, 1, 1, 0, b"\x07"), ("ok", 4, 4, 1, 0, bytes(range(16))), ("none", None, None, None, None, None)]
+    df = spark.createDataFrame([(r,) for r in rows], "image struct<origin string, height int, width int, nChannels int, mode int, data binary>")
+    got = {r.image.origin: r for r in im.margin_crop(im.to_rgb(df), 0.1, error="why").collect()}
+    assert got["wide"].pixels is None and "nothing is left" in got["wide"].why
+    assert got["one"].pixels is None and got["none"].pixels is None and got["none"].why is None
+    assert got["ok"].pixels.width == 3 and got["ok"].why is None
+    after = im.resize_center_crop(im.square_resize(im.margin_crop(im.to_rgb(df), 0.1), 8), 16, 8).collect()
+    assert sum(r.pixels is not None for r in after) == 1
+
+
+def test_weight_cache_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(im, "_WEIGHT_BYTES", 300_000)
+    for n in range(100, 400, 10):
+        w = im._bilinear_weights(n, 64)
+        assert w.shape == (64, n) and sum(x.nbytes for x in im._weights.values()) <= 300_000
+    assert im._bilinear_weights(390, 64) is w
+
+
+def test_image_vectors(spark):
+    df = spark.createDataFrame([(("a", 2, 4, 1, 0, bytes([0, 10, 20, 0, 0, 30, 40, 0])),), (None,)], "image struct<origin string, height int, width int, nChannels int, mode int, data binary>")
+    got = [r.vector for r in im.image_vector(df, 2).collect()]
+    assert [round(x * 255) for x in got[0]] == [10, 20, 30, 40] and got[1] is None

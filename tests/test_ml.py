@@ -63,7 +63,7 @@ def test_code_tables_small_and_large_paths_agree(spark):
     from kensa.operators.encoding import apply_codes, fit_codes
     df = spark.createDataFrame([(i, f"v{i % 37:03d}" if i % 11 else None) for i in range(500)], "k int, s string")
     small = {r.k: r.s for r in apply_codes(df, fit_codes(df, ["s"])).collect()}
-    large = {r.k: r.s for r in apply_codes(df, fit_codes(df, ["s"], max_rows=5)).collect()}
+    large = {r.k: r.s for r in apply_codes(df, fit_codes(df, ["s"], max_bytes=5)).collect()}
     assert small == large
     assert min(small.values()) == -1 and max(small.values()) == 36
 

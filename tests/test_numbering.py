@@ -89,7 +89,7 @@ def test_dense_rank_small_and_large_paths_agree(spark):
     rows = [(i, (i * 7) % 13) for i in range(60)] + [(100, None)]
     df = spark.createDataFrame(rows, "k int, n int")
     small = {r.k: r.rank for r in dense_rank_desc(df, "n").collect()}
-    large = {r.k: r.rank for r in dense_rank_desc(df, "n", max_rows=3).collect()}
+    large = {r.k: r.rank for r in dense_rank_desc(df, "n", max_bytes=20).collect()}
     assert small == large
     assert small[100] == 14 and min(small.values()) == 1
 
@@ -98,5 +98,50 @@ def test_dense_rank_is_the_same_at_every_size(spark):
     from kensa.operators.numbering import dense_rank_desc
     df = spark.createDataFrame([(1, float("nan")), (2, 2.0), (3, 1.0), (4, None), (5, 2.0)], "k int, n double")
     small = {r.k: r["rank"] for r in dense_rank_desc(df, "n").collect()}
-    large = {r.k: r["rank"] for r in dense_rank_desc(df, "n", max_rows=1).collect()}
+    large = {r.k: r["rank"] for r in dense_rank_desc(df, "n", max_bytes=1).collect()}
     assert small == large == {1: 1, 2: 2, 5: 2, 3: 3, 4: 4}
+
+
+def test_numbering_moves_rows_once_and_checkpoints_nothing(spark):
+    df = spark.createDataFrame([(i % 3, i, "x" * 50) for i in range(300)], "g int, o int, t string")
+    got = number_rows(df, ["g"], ["o"], out="n", num_partitions=6)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Scan ExistingRDD" not in plan.replace("Scan ExistingRDD[", "", 1)
+    # in order from partition to partition, without a sort behind it
+    rows = [(r.g, r.o) for r in got.collect()]
+    assert rows == sorted(rows) and got.rdd.getNumPartitions() == 6
+
+
+def test_groups_over_many_borders_and_keys_that_fill_ranges(spark):
+    rows = [(None, 1)] * 50 + [(1, None)] * 400 + [(2, 7)] * 500 + [(2, 8), (3, 1), (3, None)] + [(4, i) for i in range(700)]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "g int, o int, _range int").repartition(5)
+    for n in (1, 2, 7, 40):
+        got = number_rows(df, ["g"], ["o"], out="n", num_partitions=n)
+        want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o", F.xxhash64("g", "o", "_range"))).cast("long"))
+        assert got.columns == ["g", "o", "_range", "n"]
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_numbering_of_other_types(spark):
+    import datetime as dt
+    rows = [(float(i % 4) if i % 5 else float("nan"), dt.datetime(2024, 1, 1, 0, 0, 0, i), f"k{i % 9}", bool(i % 2)) for i in range(400)]
+    df = spark.createDataFrame(rows, "d double, ts timestamp, s string, b boolean").repartition(3)
+    got = number_rows(df, ["d", "b"], ["s", "ts"], out="n", num_partitions=9)
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("d", "b").orderBy("s", "ts")).cast("long"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_small_is_judged_by_bytes(spark):
+    from kensa.operators.joins import checked_small, join_checked
+    texts = spark.range(2000).selectExpr("id", "repeat('x', 1000) t", "array('a', null, repeat('y', 90)) a", "struct(id s, repeat('z', 50) u) n", "map('k', 'v') m")
+    assert checked_small(texts, 2_600_000)[1] and not checked_small(texts, 2_000_000)[1]
+    assert checked_small(texts.limit(0), 0)[1]
+    keys = spark.range(50).selectExpr("id", "repeat('x', 100) t")
+    for limit, how in ((10_000, "BroadcastHashJoin"), (5_000, "Join")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            j = join_checked(texts.select("id"), keys, "id", max_bytes=limit)
+            plan = j._jdf.queryExecution().executedPlan().toString()
+            assert (how in plan) and (("Broadcast" in plan) == (limit == 10_000)) and j.count() == 50
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

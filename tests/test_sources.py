@@ -5,6 +5,7 @@ from kensa.operators import history as hi
 from kensa.session import scratch_path
 from kensa.sources import catalog as cat
 from kensa.sources import files as fs
+from kensa.sources import sink
 
 
 def _csv(tmp_path):
@@ -111,3 +112,125 @@ def test_write_split_partitions(spark, tmp_path):
     cat.write_split(df, p)
     assert {d.name for d in (tmp_path / "ds").iterdir() if d.is_dir()} == {"split=train", "split=val", "split=test"}
     assert spark.read.parquet(p).where("split = 'val'").first().k == 2
+
+
+def _tree(root):
+    return sorted(str(p.relative_to(root)) for p in root.rglob("*") if p.is_file())
+
+
+def test_files_are_written_whole_or_not_at_all(spark, tmp_path):
+    root = tmp_path / "tree"
+    df = spark.range(0, 40, 1, 4).selectExpr("concat(if(id % 2 = 0, 'a/', 'b/c/'), id div 2, '.bin') key", "cast(id as string) content")
+    sink.write_files(df, f"file://{root}")
+    back = fs.read_keyed_images(spark, str(root), glob=None).select("key", F.col("content").cast("string").alias("content"))
+    assert sorted(map(tuple, back.collect())) == sorted((r.key, r.content) for r in df.collect())
+    before = _tree(root)
+    boom = F.udf(lambda i: 1 // (i - 33) and b"x", "binary")
+    for bad in (df.withColumn("content", boom(F.col("content").cast("int"))), df.withColumn("key", F.lit("../out")), df.withColumn("key", F.lit(None).cast("string")),
+                df.withColumn("key", F.lit("x=1/a")), df.withColumn("content", F.lit(None).cast("binary")), df.withColumn("key", F.lit("same"))):
+        for how in (False, True):
+            with pytest.raises(Exception):
+                sink.write_files(bad, str(root), overwrite=how)
+            assert _tree(root) == before and not list(root.glob("_*"))
+    new = tmp_path / "new"
+    with pytest.raises(Exception):
+        sink.write_files(df.withColumn("content", boom(F.col("content").cast("int"))), str(new))
+    assert fs.folder_is_empty(spark, str(new))
+    sink.write_files(df.where("content < '2'"), str(root), overwrite=True)
+    assert len(_tree(root)) == df.where("content < '2'").count()
+    sink.write_files(df.limit(0), str(tmp_path / "none"))
+    assert fs.folder_is_empty(spark, str(tmp_path / "none"))
+
+
+def test_a_repeated_task_writes_its_files_once(tmp_path):
+    """Two attempts of one task: only the one that is committed is seen."""
+    from pyspark.sql import Row
+    from unittest import mock
+    writer = sink.FileTreeWriter(str(tmp_path), overwrite=False)
+    rows = [Row(key="a/1", content=b"x"), Row(key="2", content=b"y")]
+    with mock.patch.object(sink.TaskContext, "get", return_value=mock.Mock(partitionId=lambda: 3)):
+        lost, done = writer.write(iter(rows)), writer.write(iter(rows))
+    assert lost.folder != done.folder and done.files == 2 and not [p for p in tmp_path.iterdir() if p.name[0] != "_"]
+    writer.commit([done, None])
+    assert _tree(tmp_path) == [f"{done.folder}/2", f"{done.folder}/a/1"]
+
+
+def test_png_files_are_read_back(spark, image_tree, tmp_path):
+    from kensa.operators import images as im
+    root, _ = image_tree
+    read = fs.read_images(spark, str(root)).withColumn("key", fs.relative_key("image.origin", str(root), encoded=True))
+    good = read.where("image.height > 0")
+    for level in (0, 6):
+        out = str(tmp_path / f"l{level}")
+        sink.write_files(im.encode_png(good, level=level), out)
+        again = fs.read_images(spark, out).withColumn("key", fs.relative_key("image.origin", out, encoded=True))
+        fields = ["key", "image.height", "image.width", "image.nChannels", "image.mode", "image.data"]
+        assert good.select(fields).exceptAll(again.select(fields)).count() == 0 and again.count() == good.count() == 6
+    broken = im.encode_png(read).where("content is null")
+    assert sorted(r.key for r in broken.collect()) == ["Anomaly/broken.jpg", "Normal/notes.txt"]
+
+
+def test_relative_keys(spark):
+    rows = [("file:/r/images/Normal/000.JPG", "Normal/000.JPG"), ("file:///r/images/Anomaly/000.JPG", "Anomaly/000.JPG"), ("file:/r/images/part=1/day=2/a/b=c.png", "a/b=c.png"),
+            ("file:/r/images/x y+z%20.png", "x y+z%20.png")]
+    df = spark.createDataFrame(rows, "path string, want string")
+    for root in ("/r/images", "file:/r/images/", "file:///r/images"):
+        assert df.where(fs.relative_key("path", root) != F.col("want")).count() == 0
+    one = spark.createDataFrame([("file:///r/images/x%20y+z%2520.png",)], "path string")
+    assert one.select(fs.relative_key("path", "/r/images", encoded=True)).first()[0] == "x y+z%20.png"
+
+
+def test_label_join_moves_no_images(spark):
+    from conftest import SF_SMALL
+    from kensa.operators import joins as jn
+    from kensa.plans.storage_queries import load_labelled
+    images, labels = load_labelled(spark, SF_SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = jn.label_images(images, labels, "key")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert joined.count() == images.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    names = images.select(F.substring_index("key", "/", -1).alias("name"), "key")
+    assert names.groupBy("name").agg(F.count_distinct("key").alias("n")).where("n > 1").count() > 0
+
+
+def test_ingest_adds_only_new_files(spark, tmp_path):
+    root, name, at = tmp_path / "in", "kensa_only_new", scratch_path(spark, "only-new")
+    one = spark.createDataFrame([("a/1.png", b"1"), ("b/1.png", b"2")], "key string, content binary")
+    sink.write_files(one, str(root))
+    try:
+        for _ in range(2):
+            assert fs.ingest_files(spark, str(root), name, path=at, only_new=True, buckets=4).count() == 2
+        sink.write_files(spark.createDataFrame([("c/1.png", b"3")], "key string, content binary"), str(root))
+        assert sorted(r.key for r in fs.ingest_files(spark, str(root), name, path=at, only_new=True, buckets=4).collect()) == ["a/1.png", "b/1.png", "c/1.png"]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_quarantine_is_written_in_one_pass(spark, tmp_path):
+    good, bad = fs.quarantine_labels(spark, _csv(tmp_path), str(tmp_path / "out"))
+    assert good.count() == 4 and good.columns == ["image", "label", "mask"]
+    (line,) = bad.collect()
+    assert line.line == 'Anomaly/d.png,"unclosed,x' and line.file == "image_anno.csv"
+    src = tmp_path / "only.csv"
+    src.write_text("image,label,mask\n")
+    good, bad = fs.quarantine_labels(spark, str(src), str(tmp_path / "out"))
+    assert good.count() == bad.count() == 0
+
+
+def test_empty_check_stops_at_the_first_file(spark, tmp_path, monkeypatch):
+    for i in range(50):
+        (tmp_path / "deep" / f"d{i}").mkdir(parents=True)
+        (tmp_path / "deep" / f"d{i}" / "f").write_text("x")
+    (tmp_path / "hidden" / "_tmp").mkdir(parents=True)
+    (tmp_path / "hidden" / "_tmp" / "f").write_text("x")
+    (tmp_path / "hidden" / ".f").write_text("x")
+    monkeypatch.setattr(type(spark), "read", property(lambda self: (_ for _ in ()).throw(AssertionError("no scan is planned"))))
+    assert fs.folder_is_empty(spark, str(tmp_path / "deep")) is False
+    assert fs.folder_is_empty(spark, str(tmp_path / "hidden")) is True
+    monkeypatch.undo()
+    counts = {r.folder: r.n_files for r in fs.file_counts(spark, str(tmp_path)).collect()}
+    assert len(counts) == 50 and set(counts.values()) == {1}
