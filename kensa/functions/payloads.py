@@ -26,7 +26,7 @@ def b64(col: ColumnOrName) -> Column:
     """base64 text on one line.  Spark may wrap lines every 76
     characters (``spark.sql.chunkBase64String.enabled``); the breaks are
     removed here so the result does not depend on that session setting."""
-    return F.translate(F.base64(_c(col)), "\r\n", "")
+    return F.replace(F.base64(_c(col)), F.lit("\r\n"), F.lit(""))
 
 
 def data_uri(col: ColumnOrName, mime: ColumnOrName | str) -> Column:

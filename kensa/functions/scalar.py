@@ -51,10 +51,14 @@ def content_key(col: ColumnOrName) -> Column:
     return F.sha1(_c(col))
 
 
-def noise(seed: int) -> Column:
-    """Uniform [0, 1) per row; seeded, but depends on partitioning.
-    Use ``kensa.operators.splits.hash_unit`` for a layout-independent draw."""
-    return F.rand(seed)
+def noise(seed: int, key: ColumnOrName | None = None) -> Column:
+    """Uniform [0, 1) per row.  Without a key it depends on the
+    partitioning; with one it is drawn from md5 of seed and key and stays the same
+    whatever the layout."""
+    if key is None:
+        return F.rand(seed)
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), _c(key).cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
 def base_name(col: ColumnOrName) -> Column:

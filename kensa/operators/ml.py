@@ -1,5 +1,5 @@
 """Model jobs: feature clean-up (M3), forest fit and predict (M4, M5), the
-training run (M6) and batch image scoring (M7, A7, C20).
+training run and trials (M6) and image scoring (M7, A7, C20).
 
 Training and prediction are Spark ML pipelines: the data stays partitioned
 on the executors and only split statistics and the fitted trees reach the
@@ -13,10 +13,11 @@ import time
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -28,6 +29,7 @@ from kensa.functions.errors import capture_error
 from kensa.operators import images as im
 from kensa.operators.encoding import apply_codes, fit_codes, string_columns
 from kensa.operators.filters import drop_datetime, fill_zero
+from kensa.operators.history import sample_input
 from kensa.operators.metrics import weighted_f1
 from kensa.operators.partitioning import spread
 from kensa.session import cut_lineage, ship_package
@@ -78,10 +80,11 @@ def feature_frame(df: DataFrame, feature_cols: list[str], out: str = "features")
 
 
 def fit_forest(train: DataFrame, label: str, feature_cols: list[str], num_trees: int = FOREST_TREES,
-               max_depth: int = FOREST_DEPTH, seed: int = FOREST_SEED) -> PipelineModel:
-    """M4: fit a seeded random forest on the assembled features."""
+               max_depth: int = FOREST_DEPTH, seed: int = FOREST_SEED, per_split: str = "auto") -> PipelineModel:
+    """M4: fit a seeded random forest on the assembled features; ``per_split``:
+    which of them each split looks at (``featureSubsetStrategy``)."""
     forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
-                                    maxDepth=max_depth, seed=seed)
+                                    maxDepth=max_depth, seed=seed, featureSubsetStrategy=per_split)
     return Pipeline(stages=[forest]).fit(feature_frame(train, feature_cols))
 
 
@@ -92,6 +95,16 @@ def predict(model: PipelineModel, df: DataFrame, feature_cols: list[str]) -> Dat
                .drop("features", "rawPrediction"))
 
 
+def save_model(model: PipelineModel, path: str) -> str:
+    """Keep a fitted model in a shared folder, for other jobs and streams."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def feature_importances(model: PipelineModel, feature_cols: list[str]) -> list[tuple[str, float]]:
     forest = model.stages[-1]
     return list(zip(feature_cols, forest.featureImportances.toArray().tolist()))
@@ -134,6 +147,45 @@ def run_training(df: DataFrame, label: str, feature_cols: list[str] | None = Non
     return record
 
 
+TRIAL_SCHEMA = "run_id string, trial int, num_trees int, max_depth int, val_f1_score double, is_best boolean, model_path string"
+
+
+def run_trials(df: DataFrame, label: str, feature_cols: list[str], grid: list[dict], path: str, key: str,
+               split_col: str = "split", run_id: str | None = None, table: str | None = None,
+               parallelism: int = 4, seed: int = FOREST_SEED) -> DataFrame:
+    """M6 over a parameter grid (``num_trees``, ``max_depth``): one record per trial.
+
+    Trials are fitted on ``train`` and judged by weighted F1 on ``val``, ``parallelism`` at a
+    time (Spark runs their jobs side by side).  The best one -- the first of equally good --
+    is flagged, and kept under ``path`` with a sample input (T6, by ``key``): ``<path>/model``,
+    ``<path>/sample_input``.  Records are appended to ``table`` when given.
+    """
+    spark, run_id = df.sparkSession, run_id or uuid.uuid4().hex
+    ready = feature_frame(df, feature_cols).select(key, *feature_cols, label, split_col, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    train, val = ready.where(F.col(split_col) == "train"), ready.where(F.col(split_col) == "val")
+    forest = RandomForestClassifier(labelCol=label, featuresCol="features", seed=seed)
+    params = [{forest.numTrees: g.get("num_trees", FOREST_TREES), forest.maxDepth: g.get("max_depth", FOREST_DEPTH)} for g in grid]
+    fitted = forest.fitMultiple(train, params)       # safe to draw from by several threads
+
+    def trial(_):
+        i, model = next(fitted)
+        scored = model.transform(val).withColumn("prediction", F.col("prediction").cast(df.schema[label].dataType))
+        return i, model, weighted_f1(scored, label, "prediction").first()["f1"]
+
+    with ThreadPool(max(1, min(parallelism, len(grid)))) as pool:
+        done = sorted(pool.imap_unordered(inheritable_thread_target(spark)(trial), range(len(grid))), key=lambda t: t[0])
+    best = max(done, key=lambda t: (-1.0 if t[2] is None else t[2], -t[0]))
+    save_model(PipelineModel([best[1]]), f"{path}/model")
+    sample_input(train.select(key, *feature_cols), key).write.mode("overwrite").parquet(f"{path}/sample_input")
+    ready.unpersist()
+    rows = [(run_id, i, p[forest.numTrees], p[forest.maxDepth], f1, i == best[0], f"{path}/model" if i == best[0] else None)
+            for (i, _, f1), p in zip(done, params)]
+    record = spark.createDataFrame(rows, TRIAL_SCHEMA)
+    if table:
+        record.write.mode("append").saveAsTable(table)
+    return record
+
+
 # ---- M7: batch image scoring ------------------------------------------------------
 
 Scorer = Callable[[list[np.ndarray]], list[tuple[str, float]]]
@@ -209,6 +261,34 @@ def score_images(df: DataFrame, scorer_factory: Callable[[], Scorer], image: str
     return spread(df.select(*keep, image)).mapInPandas(run, schema)
 
 
+def score_vectors(model: PipelineModel, df: DataFrame, vector: str = "vector",
+                  labels: tuple = ("normal", "damaged")) -> DataFrame:
+    """Score model inputs with a fitted forest, all in the JVM: label (``labels`` by class),
+    score (probability of that class) and an error where there is no input.  ``df`` must not
+    have columns of these names."""
+    if clash := {"label", "score", "error"} & set(df.columns):
+        raise ValueError(f"rename {sorted(clash)}: the scores take these names")
+    width = model.stages[-1].numFeatures
+    v = F.col(vector).cast("array<double>")
+    usable = F.coalesce(F.size(v) == width, F.lit(False))
+    ready = df.withColumn("features", array_to_vector(F.when(usable, v).otherwise(F.array_repeat(F.lit(0.0), width)))).withColumn("_usable", usable)
+    out = model.transform(ready)
+    at = F.col("prediction").cast("int")
+    named = out.select(*df.columns, "_usable", F.get(F.array(*map(F.lit, labels)), at).alias("label"),
+                       F.get(vector_to_array("probability"), at).alias("score"))
+    error = F.when(~F.col("_usable"), F.lit("unreadable image"))
+    return named.select(*df.columns, F.when(F.col("_usable"), F.col("label")).alias("label"),
+                        F.when(F.col("_usable"), F.col("score")).alias("score"), error.alias("error"))
+
+
+def score_images_with(model: PipelineModel, df: DataFrame, side: int, image: str = "image", keep: tuple = (),
+                      labels: tuple = ("normal", "damaged")) -> DataFrame:
+    """M7 with a fitted forest: image -> ``side`` x ``side`` vector -> (keep, label, score, error).
+    The same for a table and for a stream of images."""
+    vectors = im.image_vector(df.select(*keep, image), side, image, "_vector").select(*keep, "_vector")
+    return score_vectors(model, vectors, "_vector", labels).drop("_vector")
+
+
 def score_timing(scored: DataFrame) -> DataFrame:
     """Scoring time per image: median (approximate), mean and max, in
     seconds rounded to 3 decimals; one aggregate with partial merges."""

@@ -50,6 +50,11 @@ def c6_range(spark, sf_dir):
     return noisy.select("event_id", ((F.col("noise") >= 0) & (F.col("noise") < 1)).alias("in_range"))
 
 
+@register("C6_noise_by_key", "SELECT event_id, CAST(CAST('0x' || substr(md5('42:' || event_id), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 AS noise FROM events")
+def c6_key(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", sc.noise(42, "event_id").alias("noise"))
+
+
 @register("C6_noise")
 def c6(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", sc.noise(42).alias("noise"))

@@ -72,6 +72,13 @@ def score_stream(spark: SparkSession, path: str, scorer_factory, glob: str | Non
     return verdict(scored.withColumn("_present", present), "label", present="_present").drop("_present")
 
 
+def score_stream_with(spark: SparkSession, path: str, model_path: str, side: int, glob: str | None = None) -> DataFrame:
+    """X1 + M7: new image files scored with a model that was fitted and saved before."""
+    from kensa.operators.ml import load_model, score_images_with
+    images = stream_images(spark, path, glob=glob).withColumn("origin", F.col("image.origin"))
+    return score_images_with(load_model(model_path), images, side, keep=("origin",))
+
+
 def checkpoint_location(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "kensa-streams", name)
 
@@ -150,6 +157,23 @@ def await_streams(spark: SparkSession, prefix: str = "", timeout: float = 60.0)
     return True
 
 
+def run_until_batch(df: DataFrame, name: str, out_path: str, checkpoint: str, batches: int = 1, timeout: float = 600.0) -> int:
+    """Run a stream until it has completed ``batches`` batches and stop it there, ready to
+    be started again from its checkpoint; returns the number of completed batches."""
+    q = start_append(df, name, out_path, processing_time="0 seconds", checkpoint=checkpoint)
+    deadline = time.monotonic() + timeout
+    try:
+        while q.isActive and len({p["batchId"] for p in q.recentProgress if p["numInputRows"]}) < batches:
+            if time.monotonic() >= deadline:
+                raise TimeoutError(f"stream {name} did not complete {batches} batches in {timeout}s")
+            time.sleep(0.05)
+        if q.exception() is not None:
+            raise q.exception()
+        return len({p["batchId"] for p in q.recentProgress if p["numInputRows"]})
+    finally:
+        q.stop()
+
+
 def drain(df: DataFrame, name: str, out_path: str, timeout: float | None = None,
           checkpoint: str | None = None) -> DataFrame:
     """Run a stream over everything available now, then read its output with

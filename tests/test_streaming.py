@@ -77,3 +77,17 @@ def test_stream_reads_a_table_folder(spark, tmp_path):
     events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
     out = st.drain(events_verdict_stream(spark, str(tmp_path)), "t_folder", scratch_path(spark, "tf"), checkpoint=scratch_path(spark, "tfc"))
     assert out.count() == events.count() > 0
+
+
+def test_an_intake_goes_on_where_it_was_stopped(spark, tmp_path):
+    src, out, ckpt = tmp_path / "in", scratch_path(spark, "stop"), scratch_path(spark, "stop-ck")
+    src.mkdir()
+    for i in range(8):
+        (src / f"a{i}.png").write_bytes(png_bytes(2, 2, 3, pattern(2, 2, 3, seed=i)))
+    df = st.stream_images(spark, str(src), glob="*.png", max_files_per_trigger=2).selectExpr("image.origin", "image.height")
+    assert st.run_until_batch(df, "t_stop", out, ckpt) >= 1
+    assert 2 <= spark.read.parquet(out).count() <= 8
+    for i in range(3):
+        (src / f"b{i}.png").write_bytes(png_bytes(2, 3, 3, pattern(2, 3, 3, seed=i)))
+    got = st.drain(df, "t_stop", out, checkpoint=ckpt).collect()
+    assert len(got) == len({r.origin for r in got}) == 11
