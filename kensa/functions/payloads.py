@@ -63,6 +63,28 @@ def chat_request(text: ColumnOrName, image_uri: ColumnOrName) -> Column:
     return F.to_json(F.array_compact(F.array(text_part, img_part)))
 
 
+def user_message(content: ColumnOrName, parts: bool = False, role: str = "user") -> Column:
+    """C11: the message list of a request, one message with a role and its content: a text, or
+    (``parts``) a content list as ``chat_request`` gives it.  Null content gives null."""
+    c = _c(content)
+    if parts:
+        return F.concat(F.lit('[{"role":"' + role + '","content":'), c, F.lit("}]"))
+    return F.when(c.isNotNull(), F.to_json(F.array(F.struct(F.lit(role).alias("role"), c.alias("content")))))
+
+
+def answer_text(response: ColumnOrName) -> Column:
+    """The text of a model's answer, in the form of a chat completion or of an agent's
+    output; null where the response has neither."""
+    r = _c(response)
+    return F.coalesce(F.get_json_object(r, "$.choices[0].message.content"), F.get_json_object(r, "$.output[0].content[0].text"))
+
+
+def answer_or_error(df: DataFrame, col: str = "response", out: str = "answer") -> DataFrame:
+    """C13 with C20: ``answer_text`` beside an ``error``, never an error text as an answer."""
+    text = answer_text(col)
+    return df.withColumn(out, text).withColumn("error", F.when(F.col(out).isNull(), F.lit("unreadable response")))
+
+
 def score_request(col: ColumnOrName) -> Column:
     """``{"inputs": {"data": <base64>}}`` for a scoring endpoint."""
     return F.to_json(F.struct(F.struct(b64(col).alias("data")).alias("inputs")))

@@ -102,6 +102,31 @@ def c11(spark, sf_dir):
     return j.select("doc_id", pl.chat_request(pl.prompt("source"), uri).alias("request"))
 
 
+@register("C11_user_message", v.with_views(["chat"], f"""
+SELECT conv_id, turn, '[' || json_object('role', 'user', 'content', '{pl.QUESTION_PREFIX}' || text)::VARCHAR || ']' AS messages,
+       '[{{"role":"user","content":[' || json_object('type', 'text', 'text', text)::VARCHAR || ']}}]' AS with_parts
+FROM chat WHERE role = 'user'"""))
+def c11_message(spark, sf_dir):
+    """Both message forms: a prompt as text, and a content list (here of a text alone)."""
+    turns = v.chat(spark, sf_dir).where(F.col("role") == "user")
+    parts = pl.chat_request("text", F.lit(None).cast("string"))
+    return turns.select("conv_id", "turn", pl.user_message(pl.prompt("text")).alias("messages"), pl.user_message(parts, parts=True).alias("with_parts"))
+
+
+@register("C13_answer_text", v.with_views(["chat"], """
+SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 4 < 2 THEN text END AS answer,
+       CASE WHEN (conv_id + turn) % 4 >= 2 THEN 'unreadable response' END AS error
+FROM chat WHERE role <> 'user'"""))
+def c13_answer(spark, sf_dir):
+    """Assistant turns as responses in both forms, as empty ones and cut short, and back."""
+    kind, said = (F.col("conv_id") + F.col("turn")) % 4, F.col("text").alias("content")
+    chat = F.to_json(F.struct(F.array(F.struct(F.struct(F.lit("assistant").alias("role"), said).alias("message"))).alias("choices")))
+    agent = F.to_json(F.struct(F.array(F.struct(F.array(F.struct(F.lit("output_text").alias("type"), F.col("text"))).alias("content"))).alias("output")))
+    response = F.when(kind == 0, chat).when(kind == 1, agent).when(kind == 2, F.lit('{"choices":[]}')).otherwise(F.expr("substring(to_json(struct(text)), 1, 9)"))
+    turns = v.chat(spark, sf_dir).where(F.col("role") != "user").select("conv_id", "turn", response.alias("response"))
+    return pl.answer_or_error(turns).select("conv_id", "turn", "answer", "error")
+
+
 @register("C12_score_request", """
 SELECT doc_id, json_object('inputs', json_object('data', to_base64(encode(text))))::VARCHAR AS request FROM documents""")
 def c12(spark, sf_dir):

@@ -68,3 +68,14 @@ def test_broken_responses_keep_a_row_with_an_error(spark):
     out = pl.parse_predictions_or_error(df, keep=("id",)).orderBy("id").collect()
     assert [(r.id, r.label, r.error) for r in out] == [
         (1, "damaged", None), (2, None, None), (3, None, "unreadable response"), (4, None, "unreadable response")]
+
+
+def test_messages_and_answers(spark):
+    df = spark.createDataFrame([('a "quoted" line\n', b"\x01"), (None, None), ("", None)], "q string, img binary")
+    made = df.select(pl.user_message("q").alias("m"), pl.user_message(pl.chat_request("q", pl.data_uri("img", "image/png")), parts=True).alias("p")).collect()
+    assert json.loads(made[0].m) == [{"role": "user", "content": 'a "quoted" line\n'}] and made[1].m is None and json.loads(made[2].m)[0]["content"] == ""
+    (message,) = json.loads(made[0].p)
+    assert message["role"] == "user" and [c["type"] for c in message["content"]] == ["text", "image_url"]
+    rows = ['{"choices":[{"message":{"content":"yes"}}]}', '{"output":[{"content":[{"text":"no"}]}]}', '{"choices":[]}', "broken", None]
+    got = pl.answer_or_error(spark.createDataFrame([(r,) for r in rows], "response string")).collect()
+    assert [r.answer for r in got] == ["yes", "no", None, None, None] and [r.error is None for r in got] == [True, True, False, False, False]
