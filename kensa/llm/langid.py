@@ -27,18 +27,39 @@ from kensa.llm import common
 
 N_LANDMARKS = 96          # landmark texts, spread evenly over the languages
 N_LEARN = 4000            # learning rows, spread evenly over the languages (expected number)
-LEARN_CHARS = (20, 20_000)  # lengths of texts that may be learnt from; predictions take any length
-MAX_LANGUAGES = 500       # most frequent lang values that are learnt
+LANDMARK_CHARS = 20_000   # characters of a text that a landmark takes; learning and predictions take whole texts
+DENSE = 1 << 22           # largest n-gram table kept dense; larger ones are searched
 RIDGE = 1e-3
 ROWS_AT_ONCE = 64
 
 
+class Steps:
+    """Number of each (state, character) step, 0 for steps that no landmark makes."""
+
+    def __init__(self, codes: np.ndarray, states: int, chars: int):
+        """``codes``: state * chars + character of steps 1, 2, ..., ascending."""
+        self.chars, self.count = chars, len(codes) + 1
+        self.codes, self.dense = codes, None
+        if states * chars <= DENSE:
+            self.dense = np.zeros(states * chars, np.int32)
+            self.dense[codes] = np.arange(1, self.count)
+
+    def __getitem__(self, at: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        code = at[0] * self.chars + at[1]
+        if self.dense is not None:
+            return self.dense[code]
+        if not len(self.codes):
+            return np.zeros(len(code), np.int64)
+        place = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        return np.where(self.codes[place] == code, place + 1, 0)
+
+
 @dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]
     lower: np.ndarray      # code point -> landmark alphabet id (0: none)
-    two: np.ndarray        # (char, char) -> bigram id (0: not in any landmark)
-    three: np.ndarray      # (bigram, char) -> trigram id
+    two: Steps             # (char, char) -> bigram id (0: not in any landmark)
+    three: Steps           # (bigram, char) -> trigram id
     landmarks: np.ndarray  # n-grams x landmarks, scaled by 1 / sqrt(|landmark|)
     weights: np.ndarray    # landmarks + 1 x languages
 
@@ -63,7 +84,7 @@ def _grams(model: Model, points: np.ndarray, first: np.ndarray):
     two = np.where(left[:len(two)] >= 2, two, 0)
     three = model.three[two[:-1], one[2:]] if len(one) > 2 else np.zeros(0, np.int64)
     three = np.where(left[:len(three)] >= 3, three, 0)
-    a, b = model.two.shape[0], model.three.shape[0]
+    a, b = model.two.chars, model.two.count
     return one, np.where(two > 0, two + a - 1, 0), np.where(three > 0, three + a + b - 2, 0)
 
 
@@ -92,7 +113,7 @@ def _compile(texts: list[str]) -> tuple:
     """Alphabet and n-gram tables of the landmark texts, and their presence matrix."""
     texts = [t.lower() for t in texts]
     chars = {c: i + 1 for i, c in enumerate(sorted(set("".join(texts))))}
-    lower = np.zeros(0x110000, np.int16)
+    lower = np.zeros(0x110000, np.int32)
     for c, i in chars.items():
         lower[ord(c)] = i
         for up in {c.upper(), c.title()}:
@@ -100,36 +121,38 @@ def _compile(texts: list[str]) -> tuple:
                 lower[ord(up)] = i
     twos = {g: i + 1 for i, g in enumerate(sorted({t[i:i + 2] for t in texts for i in range(len(t) - 1)}))}
     threes = {g: i + 1 for i, g in enumerate(sorted({t[i:i + 3] for t in texts for i in range(len(t) - 2)}))}
-    two = np.zeros((len(chars) + 1, len(chars) + 1), np.int32)
-    for g, i in twos.items():
-        two[chars[g[0]], chars[g[1]]] = i
-    three = np.zeros((len(twos) + 1, len(chars) + 1), np.int32)
-    for g, i in threes.items():
-        three[twos[g[:2]], chars[g[2]]] = i
+    width = len(chars) + 1
+    two = Steps(np.array([chars[g[0]] * width + chars[g[1]] for g in twos], np.int64), width, width)
+    three = Steps(np.array([twos[g[:2]] * width + chars[g[2]] for g in threes], np.int64), len(twos) + 1, width)
     return lower, two, three, 1 + len(chars) + len(twos) + len(threes)
 
 
 def fit(spark, learn: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
     """Learn from the rows of ``learn`` (text, lang, key); rows without text or lang are left out.
 
-    A bounded sample, alike for every language: about ``N_LEARN`` rows in all,
-    chosen by a hash of the key, of texts with ``LEARN_CHARS`` characters.
+    A bounded sample, alike for every language: about ``N_LEARN`` rows in all (one of each
+    language at least), chosen by a hash of the key.  Landmarks are rows of it, alike for the
+    languages, or for the most frequent ones where there are more languages than landmarks;
+    texts of 20 to ``LANDMARK_CHARS`` characters come before others.  Where nothing can be
+    learnt, every prediction is ``und``.
     """
     rows = learn.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(key).cast("string"), F.lit(17)).alias("h")) \
-        .where(F.col("lang").isNotNull() & F.length("text").between(*LEARN_CHARS))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not counts:
-        raise ValueError("no row to learn from")
-    languages = tuple(sorted(r["lang"] for r in counts))
-    share = {r["lang"]: min(1.0, N_LEARN / len(counts) / r["count"]) for r in counts}
-    limit = F.create_map(*[F.lit(x) for k, v in share.items() for x in (k, int(v * 1_000_000) + 1)])
-    sample = common.scratch(rows.where(F.pmod("h", F.lit(1_000_000)) < F.coalesce(limit[F.col("lang")], F.lit(0))), "langid")
-    each = max(1, N_LANDMARKS // len(languages))
+        .where(F.col("lang").isNotNull() & (F.length("text") > 0))
+    counts = common.scratch(rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(F.pmod("h", F.lit(1_000_000))).alias("least")), "languages")
+    names = [r["lang"] for r in counts.orderBy(F.desc("n"), "lang").collect()]    # what is learnt: one name and one column of weights each
+    if not names:
+        return Model((), *_compile([])[:3], np.zeros((1, 0), np.float32), np.zeros((1, 0)))
+    languages = tuple(sorted(names))
+    share = F.least(F.lit(1.0), F.lit(N_LEARN / len(names)) / F.col("n"))
+    limit = counts.select("lang", F.greatest((share * 1_000_000).cast("long"), F.col("least")).alias("limit"))
+    sample = common.scratch(rows.join(limit, "lang").where(F.pmod("h", F.lit(1_000_000)) <= F.col("limit")).drop("limit"), "langid")
+    each, most = max(1, N_LANDMARKS // len(languages)), names[:N_LANDMARKS]
     from pyspark.sql import Window
-    ranked = sample.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("r") <= each)
-    marks = [r["text"] for r in ranked.orderBy("lang", "r").select("text").collect()]
+    fit_length = F.length("text").between(20, LANDMARK_CHARS)
+    ranked = sample.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc(fit_length), "h", "text"))).where((F.col("r") <= each) & F.col("lang").isin(most))
+    marks = [r["text"] for r in ranked.orderBy("lang", "r").select(F.substring("text", 1, LANDMARK_CHARS).alias("text")).collect()]
     lower, two, three, n_grams = _compile(marks)
-    model = Model(languages, lower, two, three, np.eye(n_grams, 1, dtype=np.float32), np.zeros((2, len(languages))))
+    model = Model(languages, lower, two, three, np.zeros((n_grams, 0), np.float32), np.zeros((1, len(languages))))
     grams = np.zeros((n_grams, len(marks)), np.float32)
     for j, mark in enumerate(marks):
         points = np.frombuffer(mark.encode("utf-32-le", "replace"), np.uint32)
@@ -175,6 +198,8 @@ def predict(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
             for rows, data, offsets in common.pieces(batch, "__text"):
                 x, letters = features(m, data, offsets)
                 y = x @ m.weights
+                if not m.languages:
+                    y, letters = np.zeros((len(x), 1)), np.zeros(len(x), bool)
                 best = np.where(letters, y.argmax(1), len(m.languages))
                 top = np.where(letters, np.clip(y.max(1), 0, 1), 0.0)
                 yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(names[best], pa.string()), pa.array(top)], names=[*keep, "lang_pred", "score"])

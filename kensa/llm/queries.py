@@ -25,6 +25,7 @@ def query(fn):
 
 @query
 def op2_language_id(spark, sf_dir):
+    """Language of every document, learnt from three quarters of them."""
     common.prepare(spark)
     docs = common.documents(spark, sf_dir).withColumn("held_out", common.bucket("doc_id", 4).eqNullSafe(2))
     model = langid.fit(spark, docs.where("not held_out"))
@@ -33,6 +34,7 @@ def op2_language_id(spark, sf_dir):
 
 @query
 def op7_quality_classifier(spark, sf_dir):
+    """Quality score of every document, learnt from four fifths of the labels."""
     common.prepare(spark)
     docs = common.documents(spark, sf_dir)
     stats = common.scratch(quality.with_statistics(docs).withColumn("held_out", common.bucket("doc_id", 5).eqNullSafe(0)), "stats")
@@ -47,6 +49,7 @@ def quality_model(spark, sf_dir, stats):
 
 @query
 def op5_nearest_neighbours(spark, sf_dir):
+    """The 20 nearest vectors of every twentieth one."""
     common.prepare(spark)
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.search(vectors, vectors.where("vec_id % 20 = 0"), "vec_id", "embedding", k=20)
@@ -54,6 +57,7 @@ def op5_nearest_neighbours(spark, sf_dir):
 
 @query
 def op8_license_scan(spark, sf_dir):
+    """License phrases and notices in every document."""
     return licenses.scan(common.documents(spark, sf_dir))
 
 
@@ -62,18 +66,21 @@ ORACLE["op8_license_scan"] = licenses.oracle()
 
 @query
 def op1_decontamination(spark, sf_dir):
+    """Documents that hold a benchmark item, and which."""
     common.prepare(spark)
     return decontamination.contaminated(common.documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
 @query
 def op6_near_duplicates(spark, sf_dir):
+    """Groups of documents whose two-word shingles are 0.8 or more alike."""
     common.prepare(spark)
     return minmax.groups(common.documents(spark, sf_dir), k=2)
 
 
 @query
 def op3_substring_dedup(spark, sf_dir):
+    """Words left when windows of 13 that a smaller document holds are removed."""
     common.prepare(spark)
     kept = substrings.remove_repeats(common.documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -84,6 +91,7 @@ TOKENIZER = os.environ.get("KENSA_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.mod
 
 @query
 def op10_sentencepiece(spark, sf_dir):
+    """Piece ids of every document (number and checksum), and whether decoding gives the normalised text back."""
     common.prepare(spark)
     model = Path(TOKENIZER).read_bytes()
     ids = wfst.encode(common.documents(spark, sf_dir).select("doc_id", "text"), model, normal="normal")
@@ -94,6 +102,7 @@ def op10_sentencepiece(spark, sf_dir):
 
 @query
 def op4_personal_data(spark, sf_dir):
+    """Every document with surrogates for personal data, and how many entities it held."""
     common.prepare(spark)
     docs = common.documents(spark, sf_dir).select("doc_id", "text")
     return pii.pseudonymise(docs, pii.demo_key("documents"), count="n_entities")
@@ -101,6 +110,7 @@ def op4_personal_data(spark, sf_dir):
 
 @query
 def op9_lm_scores(spark, sf_dir):
+    """Stupid-backoff score of every document under the counts of all others."""
     common.prepare(spark)
     return lm.score(common.documents(spark, sf_dir), order=3)
 
