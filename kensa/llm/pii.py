@@ -21,11 +21,14 @@ no collision is left.  So that any number of entities of one shape settles, the
 space of surrogates grows with the attempt: an e-mail address gets a subdomain of
 example.org that is a letter longer each time, a name a syllable, a phone number a
 digit and a secret a character more at every fourth attempt (their length is kept
-before that).  Attempts after the first are rare; they go to their documents by a
+before that).  Addresses, card and social security numbers keep their length; they settle
+while the corpus holds fewer than about half of all possible ones.  Attempts after the first are rare; they go to their documents by a
 join, all others are computed where the text is.
 
 Null text stays null, text without entities stays as it is.  Texts of any length
-are searched whole; repeated rows are replaced alike; ids may be null or repeat.
+are searched whole; repeated rows are replaced alike; ids may be null or repeat.  Other
+columns are kept, whatever their names (but for ``__doc``, ``__text`` and ``__late``); an empty table
+gives an empty one.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ import hashlib
 import hmac
 import re
 import unicodedata
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -41,7 +45,6 @@ from pyspark.sql import functions as F
 
 from kensa.llm import common
 
-MAX_ATTEMPTS = 50
 _HEX = "0123456789abcdef"
 
 _EDGE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
@@ -78,13 +81,12 @@ _SYLLABLES = {"latin": ("ba be do fe ga hol ka lin mar nor pe ros sta tor va wen
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical value) of the entities in a text, not overlapping."""
-    found: list[tuple[int, int, str, str]] = []
-    taken = []
+    found: list[tuple[int, int, str, str]] = []     # by start: spans that don't overlap are by end too
 
     def add(kind, start, end, value):
-        if not any(start < e and s < end for s, e in taken):
-            taken.append((start, end))
-            found.append((start, end, kind, value))
+        at = bisect_left(found, (start,))
+        if (at == 0 or found[at - 1][1] <= start) and (at == len(found) or end <= found[at][0]):
+            found.insert(at, (start, end, kind, value))
 
     if "@" in text:
         for m in _EMAIL.finditer(text):
@@ -112,7 +114,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             value = _cased(m[0])
             if value in people:
                 add(f"name.{_script(value)}.{_gender(people, value, 'n')}", *m.span(), value)
-    return sorted(found)
+    return found
 
 
 def _cased(name: str) -> str:
@@ -228,14 +230,14 @@ def entities(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
     def run(batches):
         for batch in batches:
             docs, kinds, values = [], [], []
-            for doc, t in zip(batch.column("doc").to_pylist(), batch.column("__text").to_pylist()):
+            for doc, t in zip(batch.column("__doc").to_pylist(), batch.column("__text").to_pylist()):
                 for k, v in {part for _, _, k, v in find(t) for part in parts(k, v)} if t else ():
                     docs.append(doc)
                     kinds.append(k)
                     values.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(docs, batch.schema.field(0).type), pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["doc", "kind", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array(docs, batch.schema.field(0).type), pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["__doc", "kind", "value"])
 
-    return df.select(F.col(id_column).alias("doc"), F.col(text).alias("__text")).mapInArrow(run, f"doc {kind}, kind string, value string")
+    return df.select(F.col(f"`{id_column}`").alias("__doc"), F.col(f"`{text}`").alias("__text")).mapInArrow(run, f"__doc {kind}, kind string, value string")
 
 
 def assign(found: DataFrame, key: bytes) -> DataFrame:
@@ -247,7 +249,7 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
 
     table = found.select("kind", "value").distinct().withColumn("attempt", F.lit(0))
     kinds = "kind string, value string, attempt int"
-    for _ in range(MAX_ATTEMPTS):
+    while True:          # ends: the space of surrogates grows with the attempt, so what still collides falls to none
         table = common.scratch(table.mapInArrow(make, f"{kinds}, surrogate string"), "surrogates")
         family = F.split_part(F.col("kind"), F.lit("."), F.lit(1))
         # given names are told apart within a family name
@@ -261,16 +263,15 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
         if judged.where("next > attempt").isEmpty():
             return table
         table = judged.select("kind", "value", F.col("next").alias("attempt"))
-    raise RuntimeError("surrogates still collide")
 
 
 def pseudonymise(df: DataFrame, key: bytes, id_column: str = "doc_id", text: str = "text", count: str | None = None) -> DataFrame:
     """``df`` with surrogates in its texts, and on request the number of entities."""
     found = common.scratch(entities(df, id_column, text), "entities")
     late = assign(found, key).where("attempt > 0").select("kind", "value", "attempt")
-    late = common.scratch(found.join(late, ["kind", "value"]).groupBy("doc").agg(F.collect_set(F.struct("kind", "value", "attempt")).alias("__late")), "late")
+    late = common.scratch(found.join(late, ["kind", "value"]).groupBy("__doc").agg(F.collect_set(F.struct("kind", "value", "attempt")).alias("__late")), "late")
     kept = df.columns
-    joined = df.join(late, F.col(id_column).eqNullSafe(F.col("doc")), "left").select(*[F.col(f"`{c}`") for c in kept], "__late")
+    joined = df.join(late, F.col(f"`{id_column}`").eqNullSafe(F.col("__doc")), "left").select(*[F.col(f"`{c}`") for c in kept], "__late")
     place = kept.index(text)
 
     def run(batches):
