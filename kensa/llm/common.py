@@ -7,9 +7,12 @@ so a task's memory follows the piece, or the longest single text, not the table.
 
 from __future__ import annotations
 
+import ctypes
 import os
+import threading
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -51,6 +54,8 @@ def scratch(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = _session.ensure_checkpoint_dir(spark).rstrip("/") + f"/kensa-{name}-{uuid.uuid4().hex}"
+    if getattr(_TRACKED, "made", None) is not None:
+        _TRACKED.made.append(path)
     before = spark.conf.get(_CLEAN, None) if clean else None
     try:
         if clean:
@@ -62,6 +67,30 @@ def scratch(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_TRACKED = threading.local()
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What ``scratch`` writes inside is removed at the end.  Only for steps whose result has
+    been written by then: whatever still reads the scratch data would find it gone."""
+    made: list[str] = []
+    before = getattr(_TRACKED, "made", None)
+    _TRACKED.made = made
+    try:
+        yield
+    finally:
+        _TRACKED.made = before
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, wherever the session's file systems keep it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
@@ -91,6 +120,15 @@ def pieces(batch: pa.RecordBatch, column: str = "text", size: int = PIECE_BYTES)
         lo = hi
 
 
+def release() -> None:
+    """Give freed memory back to the machine at the end of a task: workers live on, and the next
+    stage's workers share the executor's memory with what they still hold."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def find_words(data: np.ndarray, offsets: np.ndarray, not_word: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of all words, and the first word of each row (one more entry at the end)."""
     n = len(data)
@@ -162,17 +200,18 @@ def parts_for(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def smallest_labels(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
+def smallest_labels(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge table: (node, component), the smallest reachable node.
 
     Alternates large-star and small-star steps: each hangs a node's neighbours on
     the smallest of them, so long chains fold in a logarithmic number of rounds.
     All steps are joins and partial aggregates on the edge table; only a count
-    and a checksum reach the driver.  Raises if not settled after ``rounds``.
+    and a checksum reach the driver.  It ends: no step hangs a node on a larger one than
+    before, so the labels fall until none can.
     """
     edges = scratch(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct(), "links")
     seen = None
-    for _ in range(rounds):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         edges = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
@@ -184,4 +223,3 @@ def smallest_labels(links: DataFrame, a: str = "a", b: str = "b", rounds: int =
         if now == seen:
             return edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
         seen = now
-    raise RuntimeError("components did not settle")

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kensa.llm import common
+
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 WORDS_KEPT = 200_000       # words in each of two tables; when the newer is full it becomes the older
@@ -80,7 +82,7 @@ class Machine:
     byte_of: dict[int, int]            # id -> byte value
     unknown: int
     longest: int
-    prefixes: set[str]                 # inner nodes of the lexicon trie
+    known: dict[str, bool]             # nodes of the lexicon trie: whether a piece ends there
     front: bool                        # a word mark goes before the text
     squeeze: bool                      # repeated and outer blanks are removed
     compatible: bool                   # characters are put into compatibility form
@@ -88,9 +90,11 @@ class Machine:
     words: dict[str, bytes] = field(default_factory=dict)
     older: dict[str, bytes] = field(default_factory=dict)
     allowed: dict[tuple[str, str], bool] = field(default_factory=dict)
+    splits: dict[str, tuple[str, str] | None] = field(default_factory=dict)
+    letters: tuple[np.ndarray, np.ndarray] | None = None
 
     def __getstate__(self):
-        return self.__dict__ | {"words": {}, "older": {}, "allowed": {}}
+        return self.__dict__ | {"words": {}, "older": {}, "allowed": {}, "splits": {}}
 
     def normalise(self, text: str) -> str:
         """The normaliser: character map, blanks, front mark."""
@@ -114,17 +118,24 @@ class Machine:
         """The piece ids as 32-bit numbers."""
         out = bytearray()
         words = self.words
-        for word in _WORD.findall(self.normalise(text)):
-            ids = words.get(word)
+        text = self.normalise(text)
+        if text[:1] == MARK and MARK + MARK not in text:
+            found, mark = text[1:].split(MARK), MARK      # the usual text: one mark before each word
+        else:
+            found, mark = _WORD.findall(text), ""
+        for word in found:
+            ids = words.get((word, mark) if not mark else word)
             if ids is None:
-                ids = self.older.get(word)
+                key = word if mark else (word, mark)
+                ids = self.older.get(key)
                 if ids is None:
-                    ids = array("i", self.merge_path(word) if self.kind == BPE else self.shortest_path(word)).tobytes()
+                    whole = mark + word
+                    ids = array("i", self.merge_path(whole) if self.kind == BPE else self.shortest_path(whole)).tobytes()
                 if len(word) <= 64:
                     if len(words) >= WORDS_KEPT:
                         self.older, self.words = words, {}
                         words = self.words
-                    words[word] = ids
+                    words[key] = ids
             out += ids
         return out
 
@@ -134,9 +145,10 @@ class Machine:
             found = [(at + 1, text[at])] if text[at] in self.ids else [(at + 1, "")]
             for end in range(at + 2, min(len(text), at + self.longest) + 1):
                 piece = text[at:end]
-                if piece not in self.prefixes:
+                whole = self.known.get(piece)
+                if whole is None:
                     break
-                if piece in self.ids:
+                if whole:
                     found.append((end, piece))
             yield at, found
 
@@ -170,7 +182,7 @@ class Machine:
 
         Depth first, longest piece first; a position reached before is not tried again.
         """
-        n, ids, prefixes, allowed, longest = len(text), self.ids, self.prefixes, self.allowed, self.longest
+        n, ids, known, allowed, longest = len(text), self.ids, self.known, self.allowed, self.longest
         reached = bytearray(n + 1)
         path: list[str] = []
         waiting: list[tuple[int, str, list[str]]] = []   # position, last piece, pieces not yet tried
@@ -180,9 +192,10 @@ class Machine:
                 found = [text[at]]
                 for end in range(at + 2, min(n, at + longest) + 1):
                     piece = text[at:end]
-                    if piece not in prefixes:
+                    whole = known.get(piece)
+                    if whole is None:
                         break
-                    if piece in ids:
+                    if whole:
                         found.append(piece)
             while found:
                 piece = found.pop()
@@ -211,24 +224,74 @@ class Machine:
         if known is None:
             if len(self.allowed) >= PAIRS_KEPT:
                 self.allowed.clear()
-            known = self.allowed[left, right] = left + right not in self.ids and self.merge(left + right) == [left, right]
+            known = self.allowed[left, right] = self._stay_apart(left, right)
         return known
 
+    def _stay_apart(self, left: str, right: str) -> bool:
+        """No merge across the border comes before the merges that make both pieces.
+
+        The merges are taken back, the last one first: of the pieces that meet at the border the one
+        made later is replaced by its part at the border.  What could be merged across
+        at that time must come later than the merge taken back (or, to the left of a merge
+        on the right side, not even at the same time, as the leftmost comes first).
+        """
+        if self.split(left) is None or self.split(right) is None:
+            return False
+        ids, scores = self.ids, self.scores
+        limit, also = float("inf"), False
+        while True:
+            across = ids.get(left + right)
+            if across is not None and (-scores[across] < limit or also and -scores[across] == limit):
+                return False
+            l_at = -scores[ids[left]] if len(left) > 1 else None
+            r_at = -scores[ids[right]] if len(right) > 1 else None
+            if l_at is None and r_at is None:
+                return True
+            if r_at is None or l_at is not None and l_at > r_at:
+                limit, also, left = l_at, False, self.split(left)[1]
+            else:
+                limit, also, right = r_at, True, self.split(right)[0]
+
+    def split(self, piece: str) -> tuple[str, str] | None:
+        """The two parts whose merge makes a piece (a character: itself twice); None if merging doesn't end in it."""
+        if len(piece) < 2:
+            return piece, piece
+        if piece not in self.splits:
+            parts, last = list(piece), None
+            while len(parts) > 1 and (j := self._next_merge(parts)) is not None:
+                last = parts[j], parts[j + 1]
+                parts[j:j + 2] = [parts[j] + parts[j + 1]]
+            self.splits[piece] = last if len(parts) == 1 else None
+        return self.splits[piece]
+
+    def _next_merge(self, parts: list[str]) -> int | None:
+        """The best-scored pair that makes a piece, the leftmost on ties."""
+        pairs = [(-self.scores[i], j) for j in range(len(parts) - 1) if (i := self.ids.get(parts[j] + parts[j + 1])) is not None]
+        return min(pairs)[1] if pairs else None
+
     def merge(self, text: str) -> list[str]:
-        """The piece merges of a short text: best-scored pair first, leftmost on ties."""
+        """The piece merges of a short text, carried out."""
         parts = list(text)
-        while len(parts) > 1:
-            pairs = [(-self.scores[i], j) for j in range(len(parts) - 1) if (i := self.ids.get(parts[j] + parts[j + 1])) is not None]
-            if not pairs:
-                break
-            _, j = min(pairs)
+        while (j := self._next_merge(parts)) is not None:
             parts[j:j + 2] = [parts[j] + parts[j + 1]]
         return parts
 
     def decode(self, ids: list[int]) -> str:
-        spelt = self.spelt
-        text = b"".join([spelt[i] for i in ids]).decode("utf-8", "replace").replace(MARK, " ")
-        return text[1:] if self.front and text.startswith(" ") else text
+        return self.decode_all(np.array(ids, np.int64), np.array([0, len(ids)]))[0]
+
+    def decode_all(self, ids: np.ndarray, first: np.ndarray) -> list[str]:
+        """Texts of piece ids laid end to end; ``first``: where each text begins, and the end."""
+        if self.letters is None:
+            self.letters = np.frombuffer(b"".join(self.spelt), np.uint8), np.cumsum([0, *map(len, self.spelt)])
+        flat, at = self.letters
+        size = at[ids + 1] - at[ids]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        body = flat[np.arange(ends[-1]) + np.repeat(at[ids] - ends[:-1], size)].tobytes()
+        cuts, out = ends[first].tolist(), []
+        for a, z in zip(cuts, cuts[1:]):
+            text = body[a:z].decode("utf-8", "replace").replace(MARK, " ")
+            out.append(text[1:] if self.front and text.startswith(" ") else text)
+        return out
 
 
 # a word: marks, then characters that are no mark (no piece goes on past a mark that follows another character)
@@ -265,7 +328,7 @@ def compile_model(data: bytes) -> Machine:
         raise ValueError("a piece goes on past a word mark")
     byte_of = {i: int(p[3:5], 16) for i, (p, k) in enumerate(zip(pieces, kinds)) if k == _BYTE}
     return Machine(kind, pieces, scores, ids, {b: i for i, b in byte_of.items()}, byte_of, unknown, max(map(len, ids)),
-                   {p[:n] for p in ids for n in range(1, len(p) + 1)}, front, squeeze, name != "identity",
+                   {p[:n]: False for p in ids for n in range(1, len(p))} | {p: True for p in ids}, front, squeeze, name != "identity",
                    [bytes([byte_of[i]]) if i in byte_of else p.encode() for i, p in enumerate(pieces)])
 
 
@@ -280,7 +343,11 @@ def _machine(data: bytes) -> Machine:
 
 
 def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", normal: str | None = None) -> DataFrame:
-    """``df`` with the piece ids of its texts, and on request the normalised texts."""
+    """``df`` with the piece ids of its texts, and on request the normalised texts.
+
+    Columns named as the results are replaced; other columns, repeated rows and null keys are kept
+    as they are, a null text has null ids, an empty one none, an empty table gives an empty one.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in df.columns if c not in (ids, normal)]
 
@@ -297,6 +364,8 @@ def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", no
                 if normal:
                     out.append(pa.array([None if t is None else m.plain(t) for t in texts], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=[*kept, ids, *([normal] if normal else [])])
+        m.words, m.older = {}, {}        # a task's words; the next task's are others for the most part
+        common.release()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*kept).schema.fields)
     return df.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, f"{schema}, `{ids}` array<int>" + (f", `{normal}` string" if normal else ""))
@@ -312,8 +381,12 @@ def decode(df: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded")
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 rows = batch.slice(lo, 256)
-                values = rows.column(kept.index(ids)).to_pylist()
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([None if v is None else m.decode(v) for v in values], pa.string())], names=[*kept, text])
+                values = rows.column(kept.index(ids))
+                size = values.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                texts = m.decode_all(values.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate([[0], np.cumsum(size)]).astype(np.int64))
+                null = values.is_null().to_pylist()
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([None if n else t for n, t in zip(null, texts)], pa.string())], names=[*kept, text])
+        common.release()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*[F.col(f"`{c}`") for c in kept]).schema.fields)
     return df.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, f"{schema}, `{text}` string")
