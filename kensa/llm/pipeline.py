@@ -13,6 +13,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kensa import session as _session
 from kensa.llm import common, decontamination, minmax, pii, quality, queries, wfst
 from kensa.sources.tables import table
 
@@ -72,8 +73,17 @@ STAGES = [("quality", quality_stage), ("near-duplicates", near_duplicate_stage),
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written under the shared checkpoint folder and reread."""
-    docs = common.documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = common.scratch(stage(spark, docs, sf_dir), "stage")
+    """All stages over ``documents``, each written under the shared checkpoint folder and reread.
+
+    What a stage wrote along the way, and the stage before it, are removed when it is written.
+    """
+    docs, kept = common.documents(spark, sf_dir), None
+    for _, stage in STAGES:
+        path = _session.scratch_path(spark, "stage")
+        with common.temporary(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if kept:
+            common.remove(spark, kept)
+        docs, kept = spark.read.schema(out.schema).parquet(path), path
     return docs

@@ -5,7 +5,8 @@ shape) are standardised and mapped to random cosines, which approximate a
 Gaussian kernel.  Ridge weights come from normal equations summed per partition;
 an isotonic fit on the other half of the learning rows turns scores into
 probabilities.  Null and empty texts have all-zero counts and are scored like
-any other; ties get equal scores; extra columns are not touched.
+any other, whole texts of any length; repeated rows and ties get equal scores; extra columns
+are not touched; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -78,9 +79,10 @@ def with_statistics(df: DataFrame, text: str = "text", keep: tuple[str, ...] = (
 
     def run(batches):
         for batch in batches:
-            for rows, data, offsets in common.pieces(batch, "__text"):
+            for rows, data, offsets in common.pieces(batch, "__text", common.PIECE_BYTES // 2):
                 s = np.ascontiguousarray(statistics(data, offsets))
                 yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array([r.tobytes() for r in s], pa.binary())], names=[*keep, "stats"])
+        common.release()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
     return narrow.mapInArrow(run, f"{schema}, stats binary")
@@ -133,13 +135,13 @@ def fit(learn: DataFrame, seed: int = 5) -> Model:
     """Learn from rows with ``stats``, ``quality`` (0/1, others are left out) and ``h`` (a hash of the key).
 
     About ``N_LEARN`` rows at most, chosen by ``h``; two thirds give the ridge
-    weights, the others the calibration.
+    weights, the others the calibration.  Without a labelled row every score is a half.
     """
     spark = learn.sparkSession
     rows = learn.where(F.col("quality").isin(0, 1)).select("stats", F.col("quality").cast("double").alias("y"), "h")
     n = rows.count()
     if n == 0:
-        raise ValueError("no labelled row to learn from")
+        return Model(np.zeros(N_STATS), np.ones(N_STATS), np.zeros((N_STATS, N_COSINES)), np.zeros(N_COSINES), np.zeros(N_COSINES + 1), np.zeros(1), np.full(1, 0.5))
     if n > N_LEARN:
         rows = rows.where(F.pmod("h", F.lit(1_000_003)) < int(1_000_003 * N_LEARN / n))
     rows = common.scratch(rows.repartition(16, "h"), "quality")
@@ -210,7 +212,8 @@ def accepted(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for rows, data, offsets in common.pieces(batch, text):
+            for rows, data, offsets in common.pieces(batch, text, common.PIECE_BYTES // 2):
                 yield rows.filter(pa.array(shared.value.score(statistics(data, offsets)) >= THRESHOLD))
+        common.release()
 
     return df.mapInArrow(run, df.schema)
