@@ -224,7 +224,7 @@ def top_centres(unit: np.ndarray, limit: int) -> np.ndarray:
         reach /= BASE
         rest, cover = unit, []
         while len(rest) and len(cover) < limit:
-            cover.append(rest[0])
+            cover.append(rest[0].copy())   # a view would keep all of this round's rest
             rest = rest[2 - 2 * (rest @ rest[0]) > reach ** 2][: len(rest) - 1]
         found = np.array(cover)
     return found

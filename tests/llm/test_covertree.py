@@ -1,5 +1,6 @@
 """Hard negatives against brute force."""
 
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -113,3 +114,17 @@ def test_edges(spark):
     huge = spark.createDataFrame([(0, [1e9], 1, 0, "", 0)], SCHEMA)
     with pytest.raises(ValueError):
         mined(huge)
+
+
+def test_top_centres_hold_only_centres():
+    """Memory of the driver follows the sample, not the sample times the number of centres."""
+    unit = np.random.default_rng(1).standard_normal((2048, 65))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    tracemalloc.start()
+    try:
+        centres = covertree.top_centres(unit, 512)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(centres) == 512
+    assert peak < 6 * unit.nbytes
