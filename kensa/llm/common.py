@@ -43,27 +43,30 @@ def prepare(spark: SparkSession) -> None:
 
 
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def scratch(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
+def scratch(df: DataFrame, name: str, clean: bool = False, batch: int | None = None) -> DataFrame:
     """Write ``df`` once under the shared ``spark.checkpoint.dir`` and read it back.
 
     Cuts lineage: later steps reread the files, also after an executor is lost.
     ``clean``: Spark removes the write's shuffle files at its end instead of at some
-    later garbage collection (set for this write alone, then put back).
+    later garbage collection.  ``batch``: at most so many rows go to a Python worker at once,
+    for rows that are long.  (Both are set for this write alone, then put back.)
     """
     spark = df.sparkSession
     path = _session.ensure_checkpoint_dir(spark).rstrip("/") + f"/kensa-{name}-{uuid.uuid4().hex}"
     if getattr(_TRACKED, "made", None) is not None:
         _TRACKED.made.append(path)
-    before = spark.conf.get(_CLEAN, None) if clean else None
+    settings = ({_CLEAN: "true"} if clean else {}) | ({_BATCH: str(batch)} if batch else {})
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
-        if clean:
-            spark.conf.set(_CLEAN, "true")
+        for k, value in settings.items():
+            spark.conf.set(k, value)
         df.write.parquet(path)
     finally:
-        if clean:
-            spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
+        for k, value in before.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

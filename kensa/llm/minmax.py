@@ -8,7 +8,8 @@ agree too little to be similar (six standard deviations) are given up.  All
 others are confirmed on their full shingle sets.
 
 Texts with equal sets are one class from the start and are never paired.  In a
-bucket of classes, two members are pivots and the others are paired with them.
+bucket of classes, two members are pivots, one after the other: the others are paired with
+the first, then those of other components than the second with that.
 Where a bucket then still holds several components, its classes are compared in
 blocks, and only links between different components leave that step: no candidate is
 lost, and a large group does not become all its pairs.  (Banding itself misses a
@@ -40,6 +41,8 @@ N_BANDS = 2 * N_PERMUTATIONS // ROWS
 SLACK = 0.2            # how far below the threshold a signature may agree
 BLOCK = 128            # classes of a block in the comparison across components
 BLOCK_BYTES = 8 << 20  # and bytes of their sets
+LONG_ROWS = 1000       # rows with a text or a set that go to a Python worker at once
+BLOCK_ROWS = 64        # and rows with one or two blocks
 
 _RNG = np.random.default_rng(77)
 _MUL = _RNG.integers(0, 2**32, N_PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -132,6 +135,7 @@ def _bands(batches):
             b = batch.slice(lo, 2048)
             keys = band_keys(np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint16).reshape(b.num_rows, -1))
             yield pa.RecordBatch.from_arrays([b.column("cls").take(pa.array(np.repeat(np.arange(len(keys)), N_BANDS))), pa.array(keys.ravel())], names=["cls", "key"])
+    common.release()
 
 
 def _agree(least: float):
@@ -141,6 +145,7 @@ def _agree(least: float):
                 x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(b.num_rows, -1) for c in ("sa", "sb"))
                 keep = pa.array((x == y).mean(1) >= least)
                 yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(keep)
+        common.release()
     return run
 
 
@@ -154,6 +159,7 @@ def _confirm(num: int, den: int):
                 both = len(x) + len(y) - len(np.union1d(x, y))
                 ok.append(den * both >= num * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        common.release()
     return run
 
 
@@ -184,8 +190,9 @@ def groups(df: DataFrame, k: int, num: int = 80, den: int = 100, key: str = "doc
                     own = (f1 == part.column("f1").to_numpy()) & (f2 == part.column("f2").to_numpy())
                     yield pa.RecordBatch.from_arrays([part.column("cls").filter(pa.array(own)), pa.array([sets[first[i]:first[i + 1]].tobytes() for i in np.flatnonzero(own)], pa.binary()),
                                                       part.column("f1").filter(pa.array(own)), part.column("f2").filter(pa.array(own))], names=["cls", "x", "f1", "f2"])
+            common.release()
 
-        sets = common.scratch(texts.mapInArrow(full, "cls long, x binary, f1 long, f2 long"), "sets", clean=True)
+        sets = common.scratch(texts.mapInArrow(full, "cls long, x binary, f1 long, f2 long"), "sets", clean=True, batch=LONG_ROWS)
         if not _unique(sets):  # ids given to several rows
             sets = common.scratch(sets.groupBy("cls", "f1", "f2").agg(F.first("x").alias("x")), "sets", clean=True)
         return sets.select("cls", "x")
@@ -202,18 +209,27 @@ def groups(df: DataFrame, k: int, num: int = 80, den: int = 100, key: str = "doc
             .join(sets.select(F.col("cls").alias("b"), F.col("x").alias("xb")), "b")
         return full_pairs.select("a", "b", "xa", "xb").mapInArrow(_confirm(num, den), "a long, b long").distinct()
 
-    # two pivots of every bucket: its smallest class, and one by a hash of class and bucket
-    pivots = buckets.groupBy("key").agg(F.min("cls").alias("p"), F.min(F.struct(F.xxhash64("cls", "key").alias("h"), F.col("cls").alias("q"))).alias("s")).select("key", F.array("p", "s.q").alias("ps"))
-    pairs = buckets.join(pivots, "key").select("cls", F.explode(F.array_distinct("ps")).alias("p")).where("cls != p")
-    links = common.scratch(confirmed(pairs.select(F.least("cls", "p").alias("a"), F.greatest("cls", "p").alias("b")).distinct()), "pairs", clean=True)
-    found = None if links.isEmpty() else common.smallest_labels(links)
-    placed = buckets.withColumn("comp", F.col("cls")) if found is None else \
-        buckets.join(found, F.col("cls") == F.col("node"), "left").select("key", "cls", F.coalesce("component", "cls").alias("comp"))
-    placed = common.scratch(placed, "placed", clean=True)
-    split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    new = common.scratch(_across(common.scratch(placed.join(split, "key"), "split", clean=True), full_sets, light, num, den), "pairs", clean=True)
-    if not new.isEmpty():
-        found = common.smallest_labels(links.unionByName(new))
+    def placed(found: DataFrame | None) -> DataFrame:
+        """(key, cls, comp) of the buckets that hold several components."""
+        where = buckets.withColumn("comp", F.col("cls")) if found is None else \
+            buckets.join(found, F.col("cls") == F.col("node"), "left").select("key", "cls", F.coalesce("component", "cls").alias("comp"))
+        where = common.scratch(where, "placed", clean=True)
+        split = where.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
+        return common.scratch(where.join(split, "key"), "split", clean=True)
+
+    # the first pivot of a bucket is its smallest class, the second one by a hash of class and bucket;
+    # what the first has brought together needs no second
+    first = buckets.groupBy("key").agg(F.min("cls").alias("a"))
+    pairs = buckets.join(first, "key").where("cls != a").select("a", F.col("cls").alias("b")).distinct()
+    found = _joined(None, common.scratch(confirmed(pairs), "pairs", clean=True, batch=LONG_ROWS))
+    apart = placed(found)
+    second = apart.groupBy("key").agg(F.min(F.struct(F.xxhash64("cls", "key").alias("h"), F.col("cls").alias("p"), F.col("comp").alias("of"))).alias("s")).select("key", "s.p", "s.of")
+    pairs = apart.join(second, "key").where("comp != of").select(F.least("cls", "p").alias("a"), F.greatest("cls", "p").alias("b")).distinct()
+    links = common.scratch(confirmed(pairs), "pairs", clean=True, batch=LONG_ROWS)
+    if not links.isEmpty():
+        found = _joined(found, links)
+        apart = placed(found)
+    found = _joined(found, common.scratch(_across(apart, full_sets, light, num, den), "pairs", clean=True, batch=BLOCK_ROWS))
     members = some.select("doc_id", "f1", "f2").distinct().join(classes.select("f1", "f2", "cls"), ["f1", "f2"])
     if found is not None:
         members = members.join(found, F.col("cls") == F.col("node"), "left").select("doc_id", "f1", "f2", F.coalesce("component", "cls").alias("component_id"))
@@ -224,6 +240,20 @@ def groups(df: DataFrame, k: int, num: int = 80, den: int = 100, key: str = "doc
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def _joined(found: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """(node, component) after more links (a, b); only components known so far are linked, not their members."""
+    if links.isEmpty():
+        return found
+    if found is None:
+        return common.scratch(common.smallest_labels(links), "labels", clean=True)
+    for end in ("a", "b"):
+        links = links.join(found, F.col(end) == F.col("node"), "left").withColumn(end, F.coalesce("component", end)).drop("node", "component")
+    above = common.smallest_labels(links).select(F.col("node").alias("component"), F.col("component").alias("above"))
+    # a component's own label is no node of ``found``, nor is a class that was alone
+    moved = found.join(above, "component", "left").select("node", F.coalesce("above", "component").alias("component"))
+    return common.scratch(moved.unionByName(above.select(F.col("component").alias("node"), F.col("above").alias("component"))), "labels", clean=True)
+
+
 def _unique(sets: DataFrame) -> bool:
     n = sets.agg(F.count("*").alias("n"), F.countDistinct("cls").alias("m")).first()
     return n["n"] == n["m"]
@@ -266,8 +296,9 @@ def _across(placed: DataFrame, full_sets, light: DataFrame, num: int, den: int)
                     cls, comp = np.array(sides[0] + sides[1], np.int64).T
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cls), name)), pa.array(np.repeat([0, 1], [len(sides[0]), len(sides[1])])), pa.array(cls), pa.array(comp)],
                                                      names=["grp", "side", "cls", "comp"])
+        common.release()
 
-    groups_ = common.scratch(pairs.mapInArrow(near, "grp long, side long, cls long, comp long").distinct(), "near", clean=True)
+    groups_ = common.scratch(pairs.mapInArrow(near, "grp long, side long, cls long, comp long").distinct(), "near", clean=True, batch=BLOCK_ROWS)
     full = groups_.join(full_sets(groups_.select("cls")), "cls").groupBy("grp").agg(F.collect_list(F.struct("side", "cls", "comp", "x")).alias("members"))
 
     def run(batches):
@@ -278,6 +309,7 @@ def _across(placed: DataFrame, full_sets, light: DataFrame, num: int, den: int)
                 a, b = _links(own, theirs, num, den) if own and theirs else ([], [])
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        common.release()
 
     return full.select("members").mapInArrow(run, "a long, b long").distinct()
 
