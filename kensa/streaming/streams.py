@@ -12,6 +12,8 @@ from __future__ import annotations
 import os
 import threading
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,21 +159,38 @@ def await_streams(spark: SparkSession, prefix: str = "", timeout: float = 60.0)
     return True
 
 
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Files of a batch are looked up by a few tasks a core, instead of a task each (up to
+    10,000) whose start and report cost more than the look-up.  Set while a stream is run here,
+    then put back."""
+    before = spark.conf.get(_LISTING)
+    spark.conf.set(_LISTING, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING, before)
+
+
 def run_until_batch(df: DataFrame, name: str, out_path: str, checkpoint: str, batches: int = 1, timeout: float = 600.0) -> int:
     """Run a stream until it has completed ``batches`` batches and stop it there, ready to
     be started again from its checkpoint; returns the number of completed batches."""
-    q = start_append(df, name, out_path, processing_time="0 seconds", checkpoint=checkpoint)
-    deadline = time.monotonic() + timeout
-    try:
-        while q.isActive and len({p["batchId"] for p in q.recentProgress if p["numInputRows"]}) < batches:
-            if time.monotonic() >= deadline:
-                raise TimeoutError(f"stream {name} did not complete {batches} batches in {timeout}s")
-            time.sleep(0.05)
-        if q.exception() is not None:
-            raise q.exception()
-        return len({p["batchId"] for p in q.recentProgress if p["numInputRows"]})
-    finally:
-        q.stop()
+    with few_listing_tasks(df.sparkSession):
+        q = start_append(df, name, out_path, processing_time="0 seconds", checkpoint=checkpoint)
+        deadline = time.monotonic() + timeout
+        try:
+            while q.isActive and len({p["batchId"] for p in q.recentProgress if p["numInputRows"]}) < batches:
+                if time.monotonic() >= deadline:
+                    raise TimeoutError(f"stream {name} did not complete {batches} batches in {timeout}s")
+                time.sleep(0.05)
+            if q.exception() is not None:
+                raise q.exception()
+            return len({p["batchId"] for p in q.recentProgress if p["numInputRows"]})
+        finally:
+            q.stop()
 
 
 def drain(df: DataFrame, name: str, out_path: str, timeout: float | None = None,
@@ -179,12 +198,13 @@ def drain(df: DataFrame, name: str, out_path: str, timeout: float | None = None,
     """Run a stream over everything available now, then read its output with
     the stream's schema (an empty input gives an empty table).  There is no
     time limit unless one is given."""
-    q = start_append(df, name, out_path, available_now=True, checkpoint=checkpoint)
-    if timeout is None:
-        q.awaitTermination()
-    elif not q.awaitTermination(timeout):
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout}s")
-    if q.exception() is not None:
-        raise q.exception()
+    with few_listing_tasks(df.sparkSession):
+        q = start_append(df, name, out_path, available_now=True, checkpoint=checkpoint)
+        if timeout is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout):
+            q.stop()
+            raise TimeoutError(f"stream {name} did not finish in {timeout}s")
+        if q.exception() is not None:
+            raise q.exception()
     return df.sparkSession.read.schema(df.schema).parquet(out_path)

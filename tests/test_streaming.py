@@ -91,3 +91,21 @@ def test_an_intake_goes_on_where_it_was_stopped(spark, tmp_path):
         (src / f"b{i}.png").write_bytes(png_bytes(2, 3, 3, pattern(2, 3, 3, seed=i)))
     got = st.drain(df, "t_stop", out, checkpoint=ckpt).collect()
     assert len(got) == len({r.origin for r in got}) == 11
+
+
+def test_files_of_a_batch_are_listed_by_few_tasks(spark, tmp_path, monkeypatch):
+    """Tasks of a drained stream do not follow the number of its files."""
+    root = tmp_path / "many"
+    root.mkdir()
+    for i in range(600):
+        (root / f"{i}.bin").write_bytes(bytes([i % 256]))
+    started, start = [], st.start_append
+    monkeypatch.setattr(st, "start_append", lambda *a, **k: started.append(start(*a, **k)) or started[-1])
+    before = spark.conf.get(st._LISTING)
+    got = st.drain(st.stream_images(spark, str(root), decoded=False).select("path", "length"), "kensa_many",
+                   str(tmp_path / "out"), checkpoint=str(tmp_path / "ckpt"))
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(str(started[0].runId)) for s in tracker.getJobInfo(j).stageIds]
+    assert got.count() == 600
+    assert max(s.numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(st._LISTING) == before
