@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import struct
 import time
 from collections import Counter
 from pathlib import Path
@@ -231,3 +232,62 @@ def test_pairs_equal_carried_out_merges():
     assert min(seen.values()) > 300
     for p in pieces[:500]:
         assert (m.split(p) is not None) == (m.merge(p) == [p])
+
+
+def _message(*fields) -> bytes:
+    """A protocol buffer message of (number, int, float or bytes)."""
+    def varint(n):
+        return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
+    return b"".join(varint(k << 3) + varint(v) if isinstance(v, int) else varint(k << 3 | 5) + struct.pack("<f", v) if isinstance(v, float)
+                    else varint(k << 3 | 2) + varint(len(v)) + v for k, v in fields)
+
+
+def _bpe(pieces: list[str], front: int) -> wfst.Machine:
+    """A BPE model of merges, the first the best, over ``<unk>`` and all bytes."""
+    made = [(1, _message((1, b"<unk>"), (2, 0.0), (3, 2)))] + [(1, _message((1, b"<0x%02X>" % b), (2, 0.0), (3, 6))) for b in range(256)]
+    made += [(1, _message((1, p.encode()), (2, -float(i)), (3, 1))) for i, p in enumerate(pieces)]
+    return wfst.compile_model(_message(*made, (2, _message((3, 2), (40, 0))), (3, _message((1, b"identity"), (3, front), (4, front)))))
+
+
+def test_paths_followed_together_equal_single_paths_and_merges():
+    # c, é and the emoji are no pieces, c is in some; "bbb" cannot be made by merges; ties lie between left and right
+    pieces = ["aa", "ab", "ba", "▁a", "bc", "aab", "bcb", "abab", "▁aab", "bbb", "baba", "▁▁", "▁", "a", "b", "caa", "ca"]
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("aaabbbc ▁é\n😀", k=rng.randrange(40))) for _ in range(1500)] + ["", " ", "▁", "a" * 200, "\x00"]
+    for m in (_bpe(pieces, 1), _bpe(pieces, 0)):
+        together = [np.frombuffer(p, np.int32).tolist() for p in m.packed_ids(texts)]
+        for text, ids in zip(texts, together):
+            normal = m.normalise(text)
+            assert ids == m.merge_path(normal) == m.shortest_path(normal)
+            merged = [[m.ids[p]] if p in m.ids else [m.bytes_[b] for b in p.encode()] for p in m.merge(normal)]
+            assert ids == [i for part in merged for i in part]
+            assert m.decode(ids) == m.plain(text)
+
+
+def test_new_words_are_not_followed_one_by_one(monkeypatch):
+    data = Path(queries.TOKENIZER).read_bytes()
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices(["th", "er", "on", "a", "s", "é", ".\n"], k=rng.randrange(1, 8))) for _ in range(60)) for _ in range(40)] + ["y" * 65 + " it"]
+    want = [m.merge_path(m.normalise(t)) for m in [wfst.compile_model(data)] for t in texts]
+    single, alone = [], wfst.Machine.merge_path
+    monkeypatch.setattr(wfst.Machine, "merge_path", lambda self, t: single.append(t) or alone(self, t))
+    monkeypatch.setattr(wfst, "WORDS_KEPT", 500)      # tables change places
+    monkeypatch.setattr(wfst, "TOGETHER", 37)
+    monkeypatch.setattr(wfst, "PAIR_BITS", 3)         # pairs take each other's places
+    m = wfst.compile_model(data)
+    got = [np.frombuffer(p, np.int32).tolist() for lo in range(0, len(texts), 7) for p in m.packed_ids(texts[lo:lo + 7])]
+    assert got == want
+    assert single == ["▁" + "y" * 65] and "y" * 65 not in m.words
+    assert len(m.words) <= 500 and len(m.older) <= 500 and m.older
+
+
+def test_encode_cuts_batches_by_bytes(spark, monkeypatch):
+    rows = [(1, "the end " * 40000, "x"), (2, None, "y"), (None, "", None), (2, "thence\nthere  é", "y"), (2, "thence\nthere  é", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept string").coalesce(1)
+    data = Path(queries.TOKENIZER).read_bytes()
+    m = wfst.compile_model(data)
+    got = wfst.decode(wfst.encode(df, data, normal="normal"), data).collect()
+    assert [(r["doc_id"], r["text"], r["kept"]) for r in got] == rows
+    assert [r["ids"] for r in got] == [None if t is None else m.merge_path(m.normalise(t)) for _, t, _ in rows]
+    assert all(r["decoded"] == r["normal"] for r in got)
+    assert wfst.encode(df.limit(0), data).count() == 0
