@@ -64,7 +64,7 @@ def m7_stream(spark, sf_dir):
     """The image files as a stream, scored by the saved forest."""
     root = sq.write_images(sq.image_files(spark, sf_dir), scratch_path(spark, "m7-images"))
     scored = st.drain(st.score_stream_with(spark, root, saved_image_forest(spark, sf_dir), SIDE), f"kensa_m7_{uuid.uuid4().hex[:8]}",
-                      scratch_path(spark, "m7-out"), checkpoint=scratch_path(spark, "m7-ckpt"))
+                      scratch_path(spark, "m7-out"), checkpoint=scratch_path(spark, "m7-ckpt"), open_cost=st.SMALL_FILE)
     keyed = scored.select(fs.relative_key("origin", root, encoded=True).alias("key"), "label", "score", "error")
     clear = sq.image_files(spark, sf_dir).join(v.features(spark, sf_dir).select("vec_id", "embedding"), "vec_id").select("key", "embedding")
     return clear_label(keyed.join(clear, "key")).select("key", "label", "scored", "error")

@@ -13,7 +13,7 @@ import os
 import threading
 import time
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +33,9 @@ BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
     T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
 
+FILES_PER_BATCH = 10_000
+SMALL_FILE = 64 << 10     # what opening a small file counts for, in bytes
+
 
 def stream_images(spark: SparkSession, path: str, decoded: bool = True, glob: str | None = None,
                   max_files_per_trigger: int | None = None) -> DataFrame:
@@ -42,9 +45,9 @@ def stream_images(spark: SparkSession, path: str, decoded: bool = True, glob: st
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    if decoded:
-        return r.schema(IMAGE_SCHEMA).format("image").load(path)
-    return r.schema(BINARY_FILE_SCHEMA).format("binaryFile").load(path)
+    r = r.schema(IMAGE_SCHEMA).format("image") if decoded else r.schema(BINARY_FILE_SCHEMA).format("binaryFile")
+    with _settings(spark, {_LISTED: "0"}):  # what is there is listed here, and again by the stream
+        return r.load(path)
 
 
 def stream_table_files(spark: SparkSession, folder: str, schema: T.StructType,
@@ -74,10 +77,13 @@ def score_stream(spark: SparkSession, path: str, scorer_factory, glob: str | Non
     return verdict(scored.withColumn("_present", present), "label", present="_present").drop("_present")
 
 
-def score_stream_with(spark: SparkSession, path: str, model_path: str, side: int, glob: str | None = None) -> DataFrame:
-    """X1 + M7: new image files scored with a model that was fitted and saved before."""
+def score_stream_with(spark: SparkSession, path: str, model_path: str, side: int, glob: str | None = None,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """X1 + M7: new image files scored with a model that was fitted and saved before, at most
+    ``max_files_per_trigger`` (``FILES_PER_BATCH``) of them in a batch, as the driver holds a
+    batch's listing and plan."""
     from kensa.operators.ml import load_model, score_images_with
-    images = stream_images(spark, path, glob=glob).withColumn("origin", F.col("image.origin"))
+    images = stream_images(spark, path, glob=glob, max_files_per_trigger=max_files_per_trigger or FILES_PER_BATCH).withColumn("origin", F.col("image.origin"))
     return score_images_with(load_model(model_path), images, side, keep=("origin",))
 
 
@@ -160,19 +166,30 @@ def await_streams(spark: SparkSession, prefix: str = "", timeout: float = 60.0)
 
 
 _LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_LISTED = "spark.sql.hive.filesourcePartitionFileCacheSize"
+_OPEN_COST = "spark.sql.files.openCostInBytes"
 
 
 @contextmanager
-def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
-    """Files of a batch are looked up by a few tasks a core, instead of a task each (up to
-    10,000) whose start and report cost more than the look-up.  Set while a stream is run here,
-    then put back."""
-    before = spark.conf.get(_LISTING)
-    spark.conf.set(_LISTING, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+def _settings(spark: SparkSession, new: dict[str, str]) -> Iterator[None]:
+    """Session settings for a while, then put back."""
+    before = {k: spark.conf.get(k) for k in new}
+    for k, value in new.items():
+        spark.conf.set(k, value)
     try:
         yield
     finally:
-        spark.conf.set(_LISTING, before)
+        for k, value in before.items():
+            spark.conf.set(k, value)
+
+
+def few_listing_tasks(spark: SparkSession, open_cost: int | None = None) -> AbstractContextManager[None]:
+    """Files of a batch are looked up by a few tasks a core, instead of a task each (up to
+    10,000) whose start and report cost more than the look-up, and the driver does not keep what
+    was found; with ``open_cost`` they are also read by fewer tasks, as opening one counts for so
+    many bytes of a task's share.  Set while a stream is run here, then put back."""
+    new = {_LISTING: str(min(int(spark.conf.get(_LISTING)), 4 * spark.sparkContext.defaultParallelism)), _LISTED: "0"}
+    return _settings(spark, new if open_cost is None else new | {_OPEN_COST: str(open_cost)})
 
 
 def run_until_batch(df: DataFrame, name: str, out_path: str, checkpoint: str, batches: int = 1, timeout: float = 600.0) -> int:
@@ -194,11 +211,12 @@ def run_until_batch(df: DataFrame, name: str, out_path: str, checkpoint: str, ba
 
 
 def drain(df: DataFrame, name: str, out_path: str, timeout: float | None = None,
-          checkpoint: str | None = None) -> DataFrame:
+          checkpoint: str | None = None, open_cost: int | None = None) -> DataFrame:
     """Run a stream over everything available now, then read its output with
     the stream's schema (an empty input gives an empty table).  There is no
-    time limit unless one is given."""
-    with few_listing_tasks(df.sparkSession):
+    time limit unless one is given.  ``open_cost`` (``SMALL_FILE`` for many small files): bytes
+    that opening a file counts for when files are dealt to tasks."""
+    with few_listing_tasks(df.sparkSession, open_cost):
         q = start_append(df, name, out_path, available_now=True, checkpoint=checkpoint)
         if timeout is None:
             q.awaitTermination()

@@ -109,3 +109,23 @@ def test_files_of_a_batch_are_listed_by_few_tasks(spark, tmp_path, monkeypatch):
     assert got.count() == 600
     assert max(s.numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism
     assert spark.conf.get(st._LISTING) == before
+
+
+def test_scored_image_files_come_in_bounded_batches_of_few_tasks(spark, monkeypatch):
+    """M7's stream: batches are bounded, their tasks follow the cores, no listing is kept."""
+    from kensa.plans.stream_queries import m7_stream
+    runs, start, settings = [], st.start_append, (st._LISTING, st._LISTED, st._OPEN_COST)
+
+    def started(df, name, path, **how):
+        runs.append((start(df, name, path, **how), path, spark.conf.get(st._LISTED)))
+        return runs[-1][0]
+
+    monkeypatch.setattr(st, "start_append", started)
+    monkeypatch.setattr(st, "FILES_PER_BATCH", 400)
+    before = [spark.conf.get(k) for k in settings]
+    assert m7_stream(spark, SF_SMALL).count() == 500
+    (query, path, listed), = runs
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [400, 100] and listed == "0"
+    written = [open(os.path.join(path, "_spark_metadata", str(b))).read().count('"path"') for b in (0, 1)]
+    assert all(0 < n <= spark.sparkContext.defaultParallelism for n in written)  # a task writes one file
+    assert [spark.conf.get(k) for k in settings] == before
